@@ -7,10 +7,12 @@ per-partition counts (one row per partition — a bound fixed by the partition c
 data) give each partition's offset, and rank → tile is arithmetic:
 with N rows and q, r = divmod(N, n), the first r tiles hold q + 1 rows and the rest q rows.
 
-Consistency between the count branch and the numbering branch: both read the *same* range
-shuffle (Spark reuses identical exchanges within a query, so the range bounds are sampled once,
-and a lost shuffle block is recomputed with the same partitioner). When exchange reuse is turned
-off, the numbered rows are checkpointed to the cluster's checkpoint folder first.
+Consistency between the count branch and the numbering branch: the range bounds are sampled
+from the data, and column pruning makes the two branches' exchanges differ, so Spark would not
+reuse one shuffle for both (checked in the plan) and could sample different bounds. The
+numbered rows are therefore checkpointed once to the cluster's checkpoint folder (reliable
+storage, survives executor loss, cuts the lineage) and both branches read that copy. The copy
+holds one narrow row per ranked entity, far smaller than the data the ranking came from.
 """
 
 from __future__ import annotations
@@ -50,9 +52,8 @@ def ntile(df: DataFrame, n: int, order: Sequence[Column], out: str = "ntile", pa
         .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))
         .drop("_mid")
     )
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        checkpoint_dir(spark)
-        numbered = numbered.checkpoint(eager=True)
+    checkpoint_dir(spark)
+    numbered = numbered.checkpoint(eager=True)
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -384,3 +384,108 @@ def with_ctes(final: str, *needs: str) -> str:
 
 def cte_sql(name: str) -> str:
     return _CTES[name][0]
+
+
+# --- data-quality checks in the form dbt compiles its generic tests to ----------------------
+
+def _q(c: str) -> str:
+    return '"' + c.replace('"', '""') + '"'
+
+
+def check_sql(table: str, check) -> str:
+    """One report row for a ``premiumlake.operators.quality.Check``."""
+    cols = ",".join(check.columns)
+    if check.kind == "not_null":
+        failures = f"(SELECT count(*) FROM {table} WHERE {_q(check.columns[0])} IS NULL)"
+    elif check.kind == "accepted_values":
+        values = ", ".join("'" + str(v).replace("'", "''") + "'" for v in check.values)
+        c = _q(check.columns[0])
+        failures = f"(SELECT count(*) FROM (SELECT {c} FROM {table} WHERE {c} NOT IN ({values}) GROUP BY {c}) v)"
+    elif check.kind == "unique":
+        c = _q(check.columns[0])
+        failures = f"(SELECT count(*) FROM (SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) d)"
+    elif check.kind == "unique_combination":
+        cs = ", ".join(_q(c) for c in check.columns)
+        failures = f"(SELECT count(*) FROM (SELECT {cs} FROM {table} GROUP BY {cs} HAVING count(*) > 1) d)"
+    else:
+        raise ValueError(check.kind)
+    bad = "'warn'" if check.severity == "warn" else "'fail'"
+    return (
+        f"SELECT '{check.name}' AS check_name, '{check.kind}' AS kind, '{cols}' AS column_names, "
+        f"'{check.severity}' AS severity, CAST({failures} AS BIGINT) AS failures, "
+        f"CASE WHEN {failures} = 0 THEN 'pass' ELSE {bad} END AS status, CAST(NULL AS VARCHAR) AS message"
+    )
+
+
+def suite_sql(table: str, checks) -> str:
+    return "\nUNION ALL\n".join(check_sql(table, c) for c in checks)
+
+
+# --- snapshot and load fixtures ---------------------------------------------------------------
+
+SNAPSHOT_COLS = (
+    "transaction_id, transaction_date, transaction_month, premium_amount, premium_currency, party, status, "
+    "status_raw, _status_normalized, _dq_flags, _is_clean"
+)
+
+_cte("snap_b1", f"SELECT {SNAPSHOT_COLS} FROM silver", "silver")
+
+_cte(
+    "snap_b2",
+    """
+SELECT transaction_id, transaction_date, transaction_month,
+  CASE WHEN CAST(transaction_id AS BIGINT) % 17 = 0 THEN CAST(premium_amount + 1.00 AS DECIMAL(18,2)) ELSE premium_amount END AS premium_amount,
+  premium_currency,
+  CASE WHEN CAST(transaction_id AS BIGINT) % 19 = 0 THEN party || '-moved' ELSE party END AS party,
+  CASE WHEN CAST(transaction_id AS BIGINT) % 13 = 0 THEN 'refunded' ELSE status END AS status,
+  status_raw, _status_normalized, _dq_flags, _is_clean
+FROM snap_b1 WHERE CAST(transaction_id AS BIGINT) % 11 <> 0
+UNION ALL
+SELECT 'new-' || transaction_id, transaction_date, transaction_month, premium_amount, premium_currency, party, status,
+  status_raw, _status_normalized, _dq_flags, _is_clean
+FROM (SELECT * FROM snap_b1 ORDER BY CAST(transaction_id AS BIGINT) LIMIT 10) f""",
+    "snap_b1",
+)
+
+SNAP_T1 = "2025-01-01 00:00:00"
+SNAP_T2 = "2025-02-01 00:00:00"
+
+_cte(
+    "snap_history",
+    f"""
+SELECT o.*, '{SNAP_T1}' AS valid_from,
+  CASE WHEN n.transaction_id IS NULL OR n.status IS DISTINCT FROM o.status
+         OR n.premium_amount IS DISTINCT FROM o.premium_amount THEN '{SNAP_T2}' END AS valid_to,
+  NOT (n.transaction_id IS NULL OR n.status IS DISTINCT FROM o.status
+         OR n.premium_amount IS DISTINCT FROM o.premium_amount) AS is_current
+FROM snap_b1 o LEFT JOIN snap_b2 n ON o.transaction_id = n.transaction_id
+UNION ALL
+SELECT n.*, '{SNAP_T2}', CAST(NULL AS VARCHAR), true
+FROM snap_b2 n LEFT JOIN snap_b1 o ON o.transaction_id = n.transaction_id
+WHERE o.transaction_id IS NULL OR n.status IS DISTINCT FROM o.status OR n.premium_amount IS DISTINCT FROM o.premium_amount""",
+    "snap_b1",
+    "snap_b2",
+)
+
+_cte(
+    "policies_recut",
+    f"""
+SELECT user_id, acquisition_date, started_at,
+  least(coalesce(churned_at, {AS_OF}), started_at + 15) AS churned_at, monthly_premium, product_group
+FROM policies WHERE CAST(substr(user_id, 4) AS BIGINT) % 5 = 0
+UNION ALL
+SELECT 'NEW' || CAST(min(c_custkey) AS VARCHAR), DATE '2001-11-20', DATE '2001-11-25', CAST(NULL AS DATE),
+  CAST(10.00 AS DECIMAL(18,2)), 'legal' FROM customer""",
+    "policies",
+)
+
+_cte("activity_batch", _spine_sql("policies_recut"), "policies_recut")
+
+_cte(
+    "customer_batch",
+    """
+SELECT c_custkey, c_name || ' (renamed)' AS c_name, c_nationkey, c_acctbal + 1.0 AS c_acctbal, c_mktsegment
+FROM customer WHERE c_custkey % 9 = 0
+UNION ALL
+SELECT c_custkey + 10000000, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 97 = 0""",
+)

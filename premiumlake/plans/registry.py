@@ -179,3 +179,334 @@ def ltv_deciles(i: Inputs) -> DataFrame:
 @register("premium_waterfall", O.with_ctes("SELECT * FROM waterfall", "waterfall"))
 def waterfall(i: Inputs) -> DataFrame:
     return customer_marts.premium_waterfall(i.user_months)
+
+
+# --- declared data-quality tests -------------------------------------------------------------
+
+from premiumlake.operators import quality as Q  # noqa: E402
+
+LINEITEM_UNIQUE = [Q.unique("l_orderkey"), Q.unique("l_suppkey", severity="warn")]
+LINEITEM_COMBO = [Q.unique_combination("l_orderkey", "l_linenumber"), Q.unique_combination("l_orderkey", "l_partkey", "l_suppkey", severity="warn")]
+RAW_NOT_NULL = Q.not_null("transaction_id", "created_at", "premium_amount", "premium_currency", "charged_party", "status")
+RAW_ACCEPTED = [c for c in Q.raw_transaction_tests() if c.kind == "accepted_values"]
+
+
+@register("dq_not_null", O.with_ctes(O.suite_sql("raw", RAW_NOT_NULL), "raw"))
+def dq_not_null(i: Inputs) -> DataFrame:
+    return Q.run_suite(i.raw, RAW_NOT_NULL)
+
+
+@register("dq_accepted_values", O.with_ctes(O.suite_sql("raw", RAW_ACCEPTED), "raw"))
+def dq_accepted(i: Inputs) -> DataFrame:
+    return Q.run_suite(i.raw, RAW_ACCEPTED)
+
+
+@register("dq_unique", O.suite_sql("lineitem", LINEITEM_UNIQUE))
+def dq_unique(i: Inputs) -> DataFrame:
+    return Q.run_suite(i.table("lineitem"), LINEITEM_UNIQUE)
+
+
+@register("dq_unique_combo", O.suite_sql("lineitem", LINEITEM_COMBO))
+def dq_unique_combo(i: Inputs) -> DataFrame:
+    return Q.run_suite(i.table("lineitem"), LINEITEM_COMBO)
+
+
+@register("dq_silver_declared", O.with_ctes(O.suite_sql("silver", Q.silver_tests()), "silver"))
+def dq_silver(i: Inputs) -> DataFrame:
+    return Q.run_suite(i.silver, Q.silver_tests())
+
+
+@register(
+    "dq_gold_declared",
+    O.with_ctes(
+        "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS table_name, * FROM ({O.suite_sql(cte, tests)})"
+            for name, cte, tests in [
+                ("monthly", "monthly", Q.monthly_tests()),
+                ("recon", "recon", Q.recon_tests()),
+                ("churn", "churn", Q.party_month_tests()),
+                ("hhi", "hhi_mart", Q.concentration_tests()),
+                ("growth", "growth", Q.party_month_tests()),
+                ("cohort", "cohort", Q.cohort_tests()),
+                ("ltv", "ltv", Q.ltv_tests()),
+                ("waterfall", "waterfall", Q.waterfall_tests()),
+            ]
+        ),
+        "monthly", "recon", "churn", "hhi_mart", "growth", "cohort", "ltv", "waterfall",
+    ),
+)
+def dq_gold(i: Inputs) -> DataFrame:
+    marts = [
+        ("monthly", i.monthly, Q.monthly_tests()),
+        ("recon", party_marts.reconcile(i.ledger, i.monthly), Q.recon_tests()),
+        ("churn", party_marts.refund_churn(i.monthly), Q.party_month_tests()),
+        ("hhi", party_marts.concentration(i.monthly), Q.concentration_tests()),
+        ("growth", party_marts.period_growth(i.monthly), Q.party_month_tests()),
+        ("cohort", customer_marts.cohort_retention(i.user_months), Q.cohort_tests()),
+        ("ltv", customer_marts.customer_ltv(i.user_months), Q.ltv_tests()),
+        ("waterfall", customer_marts.premium_waterfall(i.user_months), Q.waterfall_tests()),
+    ]
+    out = None
+    for name, df, tests in marts:
+        part = Q.run_suite(df, tests).select(F.lit(name).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# --- mart audit suites -------------------------------------------------------------------------
+
+def _audit_sql(table: str, cte: str, rows: list[tuple[str, str, str]]) -> str:
+    return O.with_ctes(
+        "\nUNION ALL\n".join(
+            f"SELECT '{table}' AS table_name, '{name}' AS check_name, {passed} AS passed, CAST({metric} AS BIGINT) AS metric FROM ({src}) s"
+            for name, passed, metric, src in rows
+        ),
+        cte,
+    )
+
+
+_MONTHLY_NULLS = " + ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL)" for c in ["party", "month", "premium", "written_premium", "net_premium", "earned_premium"]
+)
+_PARTIES_SQL = ", ".join(f"'{p}'" for p in Q.rv.PARTIES)
+
+
+@register(
+    "suite_monthly",
+    _audit_sql(
+        "gold_fct_monthly_premiums",
+        "monthly",
+        [
+            ("row_count", "true", "n", "SELECT count(*) AS n FROM monthly"),
+            ("null_check", "n = 0", "n", f"SELECT {_MONTHLY_NULLS} AS n FROM monthly"),
+            ("uniqueness_check", "n = 0", "n", "SELECT count(*) AS n FROM (SELECT party, month FROM monthly GROUP BY party, month HAVING count(*) > 1) d"),
+            ("invalid_party_values", "n = 0", "n", f"SELECT count(*) AS n FROM (SELECT party FROM monthly WHERE party NOT IN ({_PARTIES_SQL}) GROUP BY party) d"),
+            ("net_premium_sanity", "n = 0", "n", "SELECT count(*) FILTER (WHERE abs(net_premium - (written_premium - refunded_premium)) > 0.01) AS n FROM monthly"),
+            ("summary_by_party", "true", "n", "SELECT count(DISTINCT party) + max(CASE WHEN party IS NULL THEN 1 ELSE 0 END) AS n FROM monthly"),
+        ],
+    ),
+)
+def suite_monthly(i: Inputs) -> DataFrame:
+    return Q.audit(i.monthly, "gold_fct_monthly_premiums")
+
+
+_RECON_NULLS = " + ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL)" for c in ["party", "month", "accounting_premium", "finance_premium", "reconciliation_status"]
+)
+
+
+@register(
+    "suite_recon",
+    _audit_sql(
+        "gold_fct_accounting_reconciliation",
+        "recon",
+        [
+            ("row_count", "true", "n", "SELECT count(*) AS n FROM recon"),
+            ("null_check", "n = 0", "n", f"SELECT {_RECON_NULLS} AS n FROM recon"),
+            ("uniqueness_check", "n = 0", "n", "SELECT count(*) AS n FROM (SELECT party, month FROM recon GROUP BY party, month HAVING count(*) > 1) d"),
+            ("invalid_status_values", "n = 0", "n", "SELECT count(*) AS n FROM (SELECT reconciliation_status FROM recon WHERE reconciliation_status NOT IN ('MATCH', 'NEAR_MATCH', 'DISCREPANCY') GROUP BY 1) d"),
+            ("status_distribution", "true", "n", "SELECT count(DISTINCT reconciliation_status) AS n FROM recon"),
+            ("top_discrepancies", "true", "n", "SELECT least(count(*), 5) AS n FROM recon"),
+        ],
+    ),
+)
+def suite_recon(i: Inputs) -> DataFrame:
+    return Q.audit(party_marts.reconcile(i.ledger, i.monthly), "reconciliation")
+
+
+_ACT_NULLS = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in ["user_id", "activity_date", "product_group", "daily_premium"])
+
+
+@register(
+    "suite_activity",
+    _audit_sql(
+        "gold_fct_customer_activity_daily",
+        "activity",
+        [
+            ("row_count", "true", "n", "SELECT count(*) AS n FROM activity"),
+            ("null_check", "n = 0", "n", f"SELECT {_ACT_NULLS} AS n FROM activity"),
+            ("uniqueness_check", "n = 0", "n", "SELECT count(*) AS n FROM (SELECT user_id, activity_date FROM activity GROUP BY 1, 2 HAVING count(*) > 1) d"),
+            ("date_range", "true", "n", "SELECT 1 AS n"),
+            ("customer_summary", "true", "n", "SELECT count(*) AS n FROM (SELECT DISTINCT user_id, product_group FROM activity) d"),
+            ("product_group_breakdown", "true", "n", "SELECT count(DISTINCT product_group) AS n FROM activity"),
+        ],
+    ),
+)
+def suite_activity(i: Inputs) -> DataFrame:
+    return Q.audit(i.activity, "daily activity")
+
+
+@register(
+    "summary_by_party",
+    O.with_ctes(
+        "SELECT party, count(*) AS months, min(month) AS earliest_month, max(month) AS latest_month, "
+        "CAST(sum(written_premium) AS DECIMAL(38,2)) AS total_written_eur, CAST(sum(refunded_premium) AS DECIMAL(38,2)) AS total_refunded_eur, "
+        "CAST(sum(net_premium) AS DECIMAL(38,2)) AS total_net_eur, CAST(sum(transaction_count) AS BIGINT) AS total_transactions "
+        "FROM monthly GROUP BY party",
+        "monthly",
+    ),
+)
+def summary_by_party(i: Inputs) -> DataFrame:
+    return Q.suite_monthly(i.monthly)["summary_by_party"]
+
+
+@register(
+    "status_distribution",
+    O.with_ctes(
+        "SELECT reconciliation_status, count(*) AS occurrences, "
+        f"{O.rr('sum(' + O.units('abs(delta)', 2) + ')', 'count(*) * 100', 2)} AS avg_abs_delta_eur, "
+        "CAST(max(abs(delta)) AS DECIMAL(38,2)) AS max_abs_delta_eur, "
+        f"{O.rr('sum(' + O.units('delta_pct', 4) + ')', 'count(delta_pct) * 10000', 4)} AS avg_delta_pct "
+        "FROM recon GROUP BY reconciliation_status",
+        "recon",
+    ),
+)
+def status_distribution(i: Inputs) -> DataFrame:
+    return Q.status_distribution(party_marts.reconcile(i.ledger, i.monthly))
+
+
+@register(
+    "top_discrepancies",
+    O.with_ctes(
+        "SELECT party, month, finance_premium, accounting_premium, delta, delta_pct, reconciliation_status "
+        "FROM recon ORDER BY abs(delta) DESC, party, month LIMIT 5",
+        "recon",
+    ),
+)
+def top_discrepancies(i: Inputs) -> DataFrame:
+    return Q.top_discrepancies(party_marts.reconcile(i.ledger, i.monthly))
+
+
+@register(
+    "customer_summary",
+    O.with_ctes(
+        "SELECT user_id, product_group, min(activity_date) AS first_active, max(activity_date) AS last_active, "
+        "count(*) AS active_days, CAST(round(sum(daily_premium), 2) AS DECIMAL(38,2)) AS total_earned_eur, "
+        "CASE WHEN max(churned_at) IS NOT NULL THEN 'churned' ELSE 'active' END AS status "
+        "FROM activity GROUP BY user_id, product_group",
+        "activity",
+    ),
+)
+def customer_summary(i: Inputs) -> DataFrame:
+    return Q.customer_summary(i.activity)
+
+
+@register(
+    "product_group_breakdown",
+    O.with_ctes(
+        "SELECT product_group, count(DISTINCT user_id) AS customers, "
+        f"{O.rr('sum(' + O.units('monthly_premium', 2) + ')', 'count(monthly_premium) * 100', 2)} AS avg_monthly_premium_eur, "
+        "count(*) FILTER (WHERE churned_at IS NOT NULL) AS churned_user_days FROM activity GROUP BY product_group",
+        "activity",
+    ),
+)
+def product_group_breakdown(i: Inputs) -> DataFrame:
+    return Q.product_group_breakdown(i.activity)
+
+
+_LINEITEM_COLS = [
+    ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+    ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double"),
+    ("l_returnflag", "string"), ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"),
+]
+
+
+@register(
+    "table_profile",
+    "\nUNION ALL\n".join(
+        f"SELECT {n + 1} AS position, '{c}' AS column_name, "
+        "(SELECT CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+        "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' ELSE lower(data_type) END "
+        f"FROM information_schema.columns WHERE table_name = 'lineitem' AND column_name = '{c}') AS data_type, "
+        f"'YES' AS is_nullable, count(*) AS row_count, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM lineitem"
+        for n, (c, _t) in enumerate(_LINEITEM_COLS)
+    ),
+)
+def table_profile(i: Inputs) -> DataFrame:
+    return Q.profile(i.table("lineitem"))
+
+
+# --- keyed history and loads ---------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from premiumlake.operators import history as H  # noqa: E402
+from premiumlake.operators.spine import daily_activity  # noqa: E402
+from premiumlake.sources import fixtures  # noqa: E402
+
+SNAP_T1 = _dt.datetime(2025, 1, 1)
+SNAP_T2 = _dt.datetime(2025, 2, 1)
+
+
+@register("scd2_two_batches", O.with_ctes("SELECT * FROM snap_history", "snap_history"))
+def scd2(i: Inputs) -> DataFrame:
+    b1 = i.silver.select(*[c.strip() for c in O.SNAPSHOT_COLS.split(",")])
+    b2 = fixtures.scd2_second_batch(b1)
+    h1 = H.scd2_snapshot(None, b1, "transaction_id", ["status", "premium_amount"], SNAP_T1)
+    h2 = H.scd2_snapshot(h1, b2, "transaction_id", ["status", "premium_amount"], SNAP_T2)
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return h2.withColumn(H.VALID_FROM, F.date_format(H.VALID_FROM, fmt)).withColumn(H.VALID_TO, F.date_format(H.VALID_TO, fmt))
+
+
+@register(
+    "delete_insert",
+    O.with_ctes(
+        "SELECT * FROM activity t WHERE NOT EXISTS (SELECT 1 FROM activity_batch b "
+        "WHERE b.user_id = t.user_id AND b.activity_date = t.activity_date) "
+        "UNION ALL SELECT * FROM activity_batch",
+        "activity",
+        "activity_batch",
+    ),
+)
+def delete_insert(i: Inputs) -> DataFrame:
+    batch = daily_activity(fixtures.policies_recut(i.policies, i.table("customer"), i.as_of), i.as_of)
+    return H.delete_insert(i.activity, batch, ["user_id", "activity_date"])
+
+
+@register(
+    "schema_sync",
+    O.with_ctes(
+        "SELECT party, month, premium, written_premium, refunded_premium, refund_count, net_premium, transaction_count, "
+        "first_transaction_date, last_transaction_date, CAST(NULL AS DECIMAL(38,2)) AS avg_ticket FROM monthly t "
+        "WHERE NOT EXISTS (SELECT 1 FROM monthly b WHERE b.month >= '2000-01' AND b.party = t.party AND b.month = t.month) "
+        "UNION ALL SELECT party, month, premium, written_premium, refunded_premium, refund_count, net_premium, transaction_count, "
+        f"first_transaction_date, last_transaction_date, {O.rr(O.units('written_premium', 2), 'transaction_count * 100', 2)} AS avg_ticket "
+        "FROM monthly WHERE month >= '2000-01'",
+        "monthly",
+    ),
+)
+def schema_sync(i: Inputs) -> DataFrame:
+    from premiumlake.functions.exact import round_ratio
+
+    batch = (
+        i.monthly.where(F.col("month") >= "2000-01")
+        .withColumn("avg_ticket", round_ratio(F.col("written_premium"), F.col("transaction_count"), 2))
+        .drop("earned_premium")
+    )
+    return H.delete_insert(i.monthly, batch, ["party", "month"], sync=True)
+
+
+@register(
+    "keyed_upsert",
+    O.with_ctes(
+        "SELECT coalesce(t.c_custkey, b.c_custkey) AS c_custkey, "
+        "CASE WHEN t.c_custkey IS NOT NULL THEN t.c_name ELSE b.c_name END AS c_name, "
+        "CASE WHEN t.c_custkey IS NOT NULL THEN t.c_nationkey ELSE b.c_nationkey END AS c_nationkey, "
+        "CASE WHEN b.c_custkey IS NOT NULL THEN b.c_acctbal ELSE t.c_acctbal END AS c_acctbal, "
+        "CASE WHEN t.c_custkey IS NOT NULL THEN t.c_mktsegment ELSE b.c_mktsegment END AS c_mktsegment "
+        "FROM customer t FULL OUTER JOIN customer_batch b ON t.c_custkey = b.c_custkey",
+        "customer_batch",
+    ),
+)
+def keyed_upsert(i: Inputs) -> DataFrame:
+    customer = i.table("customer")
+    return H.upsert(customer, fixtures.customer_update_batch(customer), ["c_custkey"], ["c_acctbal"])
+
+
+@register(
+    "keyed_delete",
+    "SELECT * FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus = 'P' AND o.o_custkey = c.c_custkey)",
+)
+def keyed_delete(i: Inputs) -> DataFrame:
+    doomed = i.table("orders").where(F.col("o_orderstatus") == "P").select(F.col("o_custkey").alias("c_custkey"))
+    return H.delete_keys(i.table("customer"), doomed)
