@@ -36,14 +36,19 @@ def monthly_premiums(silver: DataFrame, at: dt.datetime | None = None) -> DataFr
     from sales drops them. Earned premium prorates each sale by the days left in its month:
     Σ(amount × days_left) is exact and divided once by the month length (constant in a group).
     """
-    eligible = silver.where(F.col("_is_clean") & (F.col("premium_amount") > 0)).select(
+    # No `where` on silver's derived columns: Catalyst would push such a filter below silver's
+    # projection and inline the timestamp / amount parsing into it, parsing every row twice.
+    # The conditions ride inside the conditional aggregates instead; groups without a sale are
+    # dropped after the (map-side combined) aggregate.
+    positive_clean = F.col("_is_clean") & (F.col("premium_amount") > 0)
+    eligible = silver.select(
         "party",
         F.col("transaction_month").alias("month"),
         "premium_amount",
         "transaction_date",
-        (F.col("status") == "processed").alias("_sale"),
-        (F.col("status_raw") == "refunded").alias("_refund"),
-    ).where(F.col("_sale") | F.col("_refund"))
+        ((F.col("status") == "processed") & positive_clean).alias("_sale"),
+        ((F.col("status_raw") == "refunded") & positive_clean).alias("_refund"),
+    )
     sale, refund, amount = F.col("_sale"), F.col("_refund"), F.col("premium_amount")
     agg = eligible.groupBy("party", "month").agg(
         F.sum(F.when(sale, amount)).cast(MONEY).alias("written_premium"),

@@ -510,3 +510,141 @@ def keyed_upsert(i: Inputs) -> DataFrame:
 def keyed_delete(i: Inputs) -> DataFrame:
     doomed = i.table("orders").where(F.col("o_orderstatus") == "P").select(F.col("o_custkey").alias("c_custkey"))
     return H.delete_keys(i.table("customer"), doomed)
+
+
+# --- reports ---------------------------------------------------------------------------------
+
+from premiumlake.operators import guarded_sql as G  # noqa: E402
+from premiumlake.operators import reports as R  # noqa: E402
+
+_SUMS = (
+    "CAST(round(sum(written_premium), 2) AS DECIMAL(38,2)) AS written_premium, "
+    "CAST(round(sum(net_premium), 2) AS DECIMAL(38,2)) AS net_premium, "
+    "CAST(round(sum(refunded_premium), 2) AS DECIMAL(38,2)) AS refunded_premium"
+)
+
+
+@register(
+    "report_by_party",
+    O.with_ctes(f"SELECT party, {_SUMS}, CAST(sum(transaction_count) AS BIGINT) AS transaction_count FROM monthly GROUP BY party", "monthly"),
+)
+def report_by_party(i: Inputs) -> DataFrame:
+    return R.premium_report(i.monthly, "party")
+
+
+@register("report_by_month", O.with_ctes(f"SELECT month, {_SUMS} FROM monthly GROUP BY month", "monthly"))
+def report_by_month(i: Inputs) -> DataFrame:
+    return R.premium_report(i.monthly, "month")
+
+
+@register(
+    "report_party_month",
+    O.with_ctes(f"SELECT party, month, {_SUMS} FROM monthly WHERE party = 'dronant' GROUP BY party, month", "monthly"),
+)
+def report_party_month(i: Inputs) -> DataFrame:
+    # the 'month': 'all' filter is a placeholder and is ignored; 'region' is not an allowed key
+    return R.premium_report(i.monthly, "party_month", {"party": "dronant", "month": "all", "region": "EU"})
+
+
+@register(
+    "filters_year_prefix",
+    O.with_ctes(f"SELECT month, {_SUMS} FROM monthly WHERE month LIKE '1998-%' GROUP BY month", "monthly"),
+)
+def filters_year_prefix(i: Inputs) -> DataFrame:
+    # a bare year becomes a prefix filter; an unsafe value is dropped instead of reaching SQL
+    return R.premium_report(i.monthly, "month", {"month": "1998", "party": "x' OR '1'='1"})
+
+
+@register(
+    "report_recon_party",
+    O.with_ctes(
+        "SELECT party, CAST(round(sum(finance_premium), 2) AS DECIMAL(38,2)) AS finance_premium, "
+        "CAST(round(sum(accounting_premium), 2) AS DECIMAL(38,2)) AS accounting_premium, "
+        "CAST(round(sum(delta), 2) AS DECIMAL(38,2)) AS total_delta, "
+        f"{O.rr('sum(' + O.units('delta_pct', 4) + ')', 'count(delta_pct) * 10000', 2)} AS avg_delta_pct "
+        "FROM recon GROUP BY party",
+        "recon",
+    ),
+)
+def report_recon_party(i: Inputs) -> DataFrame:
+    return R.recon_report(party_marts.reconcile(i.ledger, i.monthly), "party")
+
+
+@register(
+    "report_recon_detail",
+    O.with_ctes(
+        "SELECT party, month, CAST(round(finance_premium, 2) AS DECIMAL(38,2)) AS finance_premium, "
+        "CAST(round(accounting_premium, 2) AS DECIMAL(38,2)) AS accounting_premium, "
+        "CAST(round(delta, 2) AS DECIMAL(38,2)) AS delta, CAST(round(delta_pct, 2) AS DECIMAL(38,2)) AS delta_pct, "
+        "reconciliation_status FROM recon WHERE reconciliation_status = 'DISCREPANCY'",
+        "recon",
+    ),
+)
+def report_recon_detail(i: Inputs) -> DataFrame:
+    return R.recon_report(party_marts.reconcile(i.ledger, i.monthly), "detail", {"reconciliation_status": "DISCREPANCY"})
+
+
+@register(
+    "report_customers",
+    O.with_ctes(
+        "SELECT product_group, count(DISTINCT user_id) AS customers, "
+        "CAST(round(sum(daily_premium), 2) AS DECIMAL(38,2)) AS total_daily_premium, "
+        f"{O.rr('sum(' + O.units('monthly_premium', 2) + ')', 'count(monthly_premium) * 100', 2)} AS avg_monthly_premium "
+        "FROM activity GROUP BY product_group",
+        "activity",
+    ),
+)
+def report_customers(i: Inputs) -> DataFrame:
+    return R.customer_report(i.activity)
+
+
+@register(
+    "month_metric",
+    O.with_ctes("SELECT DISTINCT month, hhi_score, concentration_level, active_parties FROM hhi_mart", "hhi_mart"),
+)
+def month_metric(i: Inputs) -> DataFrame:
+    return R.month_metric(party_marts.concentration(i.monthly))
+
+
+@register("share_by_month", O.with_ctes("SELECT month, party, market_share_pct FROM hhi_mart", "hhi_mart"))
+def share_by_month(i: Inputs) -> DataFrame:
+    return R.share_by_month(party_marts.concentration(i.monthly))
+
+
+@register("top_customers", O.with_ctes("SELECT user_id, product_group, ltv_bucket, lifetime_premium FROM ltv", "ltv"))
+def top_customers(i: Inputs) -> DataFrame:
+    return R.top_customers(customer_marts.customer_ltv(i.user_months))
+
+
+# --- guarded SQL over the supplied tables ------------------------------------------------------
+
+RUN_SELECT_SQL = (
+    "SELECT o_orderstatus, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_price "
+    "FROM orders GROUP BY o_orderstatus"
+)
+RUN_SELECT_PARAM_SQL = (
+    "SELECT c_mktsegment, count(*) AS customers FROM customer WHERE c_acctbal > :min_balance GROUP BY c_mktsegment"
+)
+
+
+def _views(i: Inputs, *names: str) -> None:
+    for n in names:
+        i.table(n).createOrReplaceTempView(n)
+
+
+@register("run_select", RUN_SELECT_SQL)
+def run_select(i: Inputs) -> DataFrame:
+    _views(i, "orders")
+    res = G.run_select(i.spark, RUN_SELECT_SQL + ";")
+    if not res.ok:
+        raise RuntimeError(res.error)
+    return res.df
+
+
+@register("run_select_params", RUN_SELECT_PARAM_SQL.replace(":min_balance", "5000"))
+def run_select_params(i: Inputs) -> DataFrame:
+    _views(i, "customer")
+    res = G.run_select(i.spark, RUN_SELECT_PARAM_SQL, args={"min_balance": 5000})
+    if not res.ok:
+        raise RuntimeError(res.error)
+    return res.df

@@ -77,10 +77,12 @@ def accounting_closing(silver: DataFrame) -> DataFrame:
     """Ledger built from the clean processed rows, bent per (party, month) so that every
     reconciliation status and quirk occurs; some mart keys are left out and four ledger-only
     keys are added."""
+    sale = (F.col("status") == "processed") & F.col("_is_clean") & (F.col("premium_amount") > 0)
     base = (
-        silver.where((F.col("status") == "processed") & F.col("_is_clean") & (F.col("premium_amount") > 0))
-        .groupBy("party", F.col("transaction_month").alias("month"))
-        .agg(F.sum("premium_amount").cast(MONEY).alias("w"))
+        silver.select("party", F.col("transaction_month").alias("month"), "premium_amount", sale.alias("_sale"))
+        .groupBy("party", "month")
+        .agg(F.sum(F.when(F.col("_sale"), F.col("premium_amount"))).cast(MONEY).alias("w"), F.count_if(F.col("_sale")).alias("_n"))
+        .where(F.col("_n") > 0)
     )
     mi = F.substring("month", 1, 4).cast("int") * 12 + F.substring("month", 6, 2).cast("int")
     pix = F.array_position(F.array(*[F.lit(p) for p in rv.PARTIES]), F.col("party")).cast("int") - 1
