@@ -14,16 +14,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY_IN = "decimal(18,2)"  # raw amounts, ledger figures, monthly premiums
-MONEY = "decimal(38,2)"  # sums of money
+# Sums and ratios use precision 28 (Spark's own sum type for decimal(18,2)), never 38: Spark
+# compares decimals in their wider common type, capped at 38 digits by dropping *scale*, so a
+# decimal(38,2) compared with a 4-place value is rounded to 2 places first (0.01 < 0.0149 is
+# false). Ten digits of headroom keep every comparison and product in this library exact.
+MONEY = "decimal(28,2)"  # sums of money
 DAILY = "decimal(18,6)"  # per-day premium
 
 
 def dec(scale: int) -> str:
-    return f"decimal(38,{scale})"
+    return f"decimal(28,{scale})"
 
 
 def money_sum(c: Column) -> Column:
-    """Exact sum of a decimal money column, as decimal(38,2)."""
+    """Exact sum of a decimal money column, as decimal(28,2)."""
     return F.sum(c).cast(MONEY)
 
 

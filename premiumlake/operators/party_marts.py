@@ -102,7 +102,9 @@ def reconcile(
         F.col("refunded_premium").alias("_r"),
         F.col("transaction_count").alias("_c"),
     )
-    joined = ledger.select(*keys, "accounting_premium").join(finance, list(keys), "left")
+    joined = ledger.select(*keys, F.col("accounting_premium").cast(MONEY).alias("accounting_premium")).join(
+        finance, list(keys), "left"
+    )
     acct = F.col("accounting_premium")
     fin = F.coalesce(F.col("_w"), F.lit(Decimal("0.00"))).cast(MONEY)
     diff = fin - acct
@@ -164,12 +166,12 @@ def concentration(
     replaces the reference's two self-joins; the window's groups are parties of one period.
     """
     w = Window.partitionBy(by)
-    v = F.col(value)
+    v = F.col(value).cast(MONEY)  # see MONEY: keeps comparisons with 4-place products exact
     total = F.sum(v).over(w).cast(MONEY)
     staged = mart.select(
         entity,
         by,
-        value,
+        v.alias(value),
         "written_premium",
         "transaction_count",
         total.alias("total_net_premium"),

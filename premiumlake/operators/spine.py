@@ -31,12 +31,25 @@ def _policy_end(as_of: dt.date | Column) -> Column:
     return F.coalesce(F.col("churned_at"), end_default)
 
 
+def _spread(policies: DataFrame) -> DataFrame:
+    """Hash-partition policies by user before the day explode.
+
+    The explode multiplies each row by its length in days, so parallelism must be set on the
+    small input: AQE sizes (and may coalesce) partitions by *input* bytes and would leave a
+    handful of tasks to generate the whole spine. An explicit partition count is not coalesced.
+    Partitioning by user also clusters the spine by user, which per-user aggregates accept
+    without another exchange; a user has few policies, so no hot key can form.
+    """
+    parts = int(policies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return policies.repartition(parts, "user_id")
+
+
 def daily_activity(policies: DataFrame, as_of: dt.date, at: dt.datetime | None = None) -> DataFrame:
     """One row per policy per day from start to churn (both included); open policies run to
     ``as_of``. Policies ending before they start give no rows (guarded: ``sequence`` would
     raise). Every run recomputes all days; loading into a stored mart is ``delete_insert``."""
     end = _policy_end(as_of)
-    days = policies.where(F.col("started_at") <= end).select(
+    days = _spread(policies.where(F.col("started_at") <= end)).select(
         "user_id",
         "product_group",
         "acquisition_date",

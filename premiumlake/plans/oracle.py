@@ -19,7 +19,7 @@ PARTY_LIST = "[" + ", ".join(f"'{p}'" for p in rv.PARTIES) + "]"
 
 def rr(num: str, den: str, scale: int, shift: int = 0) -> str:
     """round(num / den * 10^shift, scale) half away from zero, for integer (HUGEINT) inputs;
-    NULL when den is 0 or NULL. Result DECIMAL(38, scale)."""
+    NULL when den is 0 or NULL. Result DECIMAL(28, scale)."""
     e = scale + shift
     if e < 0:  # move the negative power onto the divisor
         den, e = f"({den}) * {10 ** -e}", 0
@@ -29,7 +29,7 @@ def rr(num: str, den: str, scale: int, shift: int = 0) -> str:
         f"(CASE WHEN ({den}) = 0 THEN NULL ELSE CAST("
         f"(CASE WHEN (({num}) < 0) <> (({den}) < 0) THEN -1 ELSE 1 END) * "
         f"((2 * abs(CAST({num} AS HUGEINT)) * {p} + abs(CAST({den} AS HUGEINT))) // (2 * abs(CAST({den} AS HUGEINT))))"
-        f" AS DECIMAL(38,0)) * {unit} END)::DECIMAL(38,{scale})"
+        f" AS DECIMAL(38,0)) * {unit} END)::DECIMAL(28,{scale})"
     )
 
 
@@ -118,14 +118,14 @@ _cte(
 SELECT a.party, a.month,
   a.written_premium AS premium,
   a.written_premium,
-  CAST(coalesce(r.refunded_premium, 0) AS DECIMAL(38,2)) AS refunded_premium,
+  CAST(coalesce(r.refunded_premium, 0) AS DECIMAL(28,2)) AS refunded_premium,
   CAST(coalesce(r.refund_count, 0) AS BIGINT) AS refund_count,
-  CAST(a.written_premium - coalesce(r.refunded_premium, 0) AS DECIMAL(38,2)) AS net_premium,
+  CAST(a.written_premium - coalesce(r.refunded_premium, 0) AS DECIMAL(28,2)) AS net_premium,
   {rr("a.prorated_cents", "a.month_days", 2, shift=-2)} AS earned_premium,
   a.transaction_count, a.first_transaction_date, a.last_transaction_date
 FROM (
   SELECT party, transaction_month AS month,
-    CAST(sum(premium_amount) AS DECIMAL(38,2)) AS written_premium,
+    CAST(sum(premium_amount) AS DECIMAL(28,2)) AS written_premium,
     sum({units("premium_amount", 2)} * (date_diff('day', transaction_date, last_day(transaction_date)) + 1)) AS prorated_cents,
     max(day(last_day(transaction_date))) AS month_days,
     count(*) AS transaction_count,
@@ -134,7 +134,7 @@ FROM (
   FROM silver WHERE status = 'processed' AND _is_clean AND premium_amount > 0
   GROUP BY party, transaction_month) a
 LEFT JOIN (
-  SELECT party, transaction_month, CAST(sum(premium_amount) AS DECIMAL(38,2)) AS refunded_premium, count(*) AS refund_count
+  SELECT party, transaction_month, CAST(sum(premium_amount) AS DECIMAL(28,2)) AS refunded_premium, count(*) AS refund_count
   FROM silver WHERE status_raw = 'refunded' AND _is_clean AND premium_amount > 0
   GROUP BY party, transaction_month) r
 ON a.party = r.party AND a.month = r.transaction_month""",
@@ -147,7 +147,7 @@ _cte(
 SELECT party, month, CAST(CASE (mi + pix) % 5
     WHEN 0 THEN w WHEN 1 THEN w * 1.005 WHEN 2 THEN w * 1.05 WHEN 3 THEN 0 ELSE -w END AS DECIMAL(18,2)) AS accounting_premium
 FROM (
-  SELECT party, transaction_month AS month, CAST(sum(premium_amount) AS DECIMAL(38,2)) AS w,
+  SELECT party, transaction_month AS month, CAST(sum(premium_amount) AS DECIMAL(28,2)) AS w,
     CAST(substr(transaction_month, 1, 4) AS INTEGER) * 12 + CAST(substr(transaction_month, 6, 2) AS INTEGER) AS mi,
     list_position({PARTY_LIST}, party) - 1 AS pix
   FROM silver WHERE status = 'processed' AND _is_clean AND premium_amount > 0
@@ -171,13 +171,13 @@ SELECT party, month, accounting_premium, finance_premium, net_premium, refunded_
   abs(finance_premium - accounting_premium) < 0.01 AS is_reconciled
 FROM (
   SELECT a.party, a.month, a.accounting_premium,
-    CAST(coalesce(f.written_premium, 0.0) AS DECIMAL(38,2)) AS finance_premium,
-    CAST(coalesce(f.net_premium, 0.0) AS DECIMAL(38,2)) AS net_premium,
-    CAST(coalesce(f.refunded_premium, 0.0) AS DECIMAL(38,2)) AS refunded_premium,
+    CAST(coalesce(f.written_premium, 0.0) AS DECIMAL(28,2)) AS finance_premium,
+    CAST(coalesce(f.net_premium, 0.0) AS DECIMAL(28,2)) AS net_premium,
+    CAST(coalesce(f.refunded_premium, 0.0) AS DECIMAL(28,2)) AS refunded_premium,
     CAST(coalesce(f.transaction_count, 0) AS BIGINT) AS transaction_count,
-    CAST(coalesce(f.written_premium, 0.0) - a.accounting_premium AS DECIMAL(38,2)) AS delta,
+    CAST(coalesce(f.written_premium, 0.0) - a.accounting_premium AS DECIMAL(28,2)) AS delta,
     {rr(units("abs(coalesce(f.written_premium, 0.0) - a.accounting_premium)", 2), units("a.accounting_premium", 2), 4, shift=2)} AS delta_pct,
-    CAST(coalesce(f.net_premium, 0.0) - a.accounting_premium AS DECIMAL(38,2)) AS net_delta
+    CAST(coalesce(f.net_premium, 0.0) - a.accounting_premium AS DECIMAL(28,2)) AS net_delta
   FROM ledger a LEFT JOIN monthly f ON a.party = f.party AND a.month = f.month) x""",
     "ledger",
     "monthly",
@@ -206,7 +206,7 @@ SELECT ps.party, ps.month, ps.net_premium, ps.written_premium, ps.total_net_prem
   h.dominant_party_flag, ps.transaction_count
 FROM (
   SELECT mp.month, mp.party, mp.net_premium, mp.written_premium, mp.transaction_count, t.total_net_premium
-  FROM monthly mp JOIN (SELECT month, CAST(sum(net_premium) AS DECIMAL(38,2)) AS total_net_premium FROM monthly GROUP BY month) t
+  FROM monthly mp JOIN (SELECT month, CAST(sum(net_premium) AS DECIMAL(28,2)) AS total_net_premium FROM monthly GROUP BY month) t
   ON mp.month = t.month) ps
 JOIN (
   SELECT month,
@@ -233,7 +233,7 @@ FROM (SELECT party, month, written_premium,
         LAG(written_premium) OVER (PARTITION BY party ORDER BY month) AS previous_written_premium
       FROM monthly) pg
 JOIN (SELECT party, month,
-        CAST(SUM(written_premium) OVER (PARTITION BY party ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS cumulative_written_premium
+        CAST(SUM(written_premium) OVER (PARTITION BY party ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS cumulative_written_premium
       FROM monthly) cp
 ON pg.party = cp.party AND pg.month = cp.month""",
     "monthly",
@@ -328,7 +328,7 @@ FROM (
     CAST(date_trunc('month', MIN(acquisition_date)) AS DATE) AS cohort_month,
     CAST(date_trunc('month', MAX(activity_date)) AS DATE) AS last_active_month,
     COUNT(DISTINCT date_trunc('month', activity_date)) AS active_months,
-    CAST(SUM(daily_premium) AS DECIMAL(38,6)) AS lifetime_premium
+    CAST(SUM(daily_premium) AS DECIMAL(28,6)) AS lifetime_premium
   FROM activity GROUP BY user_id, product_group) c""",
     "activity",
 )
@@ -355,10 +355,10 @@ lapsed AS (
   WHERE curr.user_id IS NULL
   GROUP BY prev.product_group, CAST(prev.month + INTERVAL 1 MONTH AS DATE))
 SELECT ap.product_group AS party, ap.month,
-  CAST(ROUND(ap.new_business_premium, 2) AS DECIMAL(38,2)) AS new_business_premium,
-  CAST(ROUND(ap.renewal_premium, 2) AS DECIMAL(38,2)) AS renewal_premium,
-  CAST(ROUND(COALESCE(l.lapsed_premium, 0), 2) AS DECIMAL(38,2)) AS lapsed_premium,
-  CAST(ROUND(ap.new_business_premium + ap.renewal_premium - COALESCE(l.lapsed_premium, 0), 2) AS DECIMAL(38,2)) AS net_written_premium,
+  CAST(ROUND(ap.new_business_premium, 2) AS DECIMAL(28,2)) AS new_business_premium,
+  CAST(ROUND(ap.renewal_premium, 2) AS DECIMAL(28,2)) AS renewal_premium,
+  CAST(ROUND(COALESCE(l.lapsed_premium, 0), 2) AS DECIMAL(28,2)) AS lapsed_premium,
+  CAST(ROUND(ap.new_business_premium + ap.renewal_premium - COALESCE(l.lapsed_premium, 0), 2) AS DECIMAL(28,2)) AS net_written_premium,
   {rr(units("COALESCE(l.lapsed_premium, 0)", 6), units("ap.new_business_premium", 6), 2)} AS lapse_to_new_business_ratio
 FROM active_premiums ap LEFT JOIN lapsed l ON ap.product_group = l.product_group AND ap.month = l.month""",
     "ump",

@@ -78,15 +78,15 @@ def monthly(i: Inputs) -> DataFrame:
 @register(
     "earned_premium",
     O.with_ctes(
-        "SELECT month, CAST(sum(written_premium) AS DECIMAL(38,2)) AS written_premium, "
-        "CAST(sum(earned_premium) AS DECIMAL(38,2)) AS earned_premium FROM monthly GROUP BY month",
+        "SELECT month, CAST(sum(written_premium) AS DECIMAL(28,2)) AS written_premium, "
+        "CAST(sum(earned_premium) AS DECIMAL(28,2)) AS earned_premium FROM monthly GROUP BY month",
         "monthly",
     ),
 )
 def earned(i: Inputs) -> DataFrame:
     return i.monthly.groupBy("month").agg(
-        F.sum("written_premium").cast("decimal(38,2)").alias("written_premium"),
-        F.sum("earned_premium").cast("decimal(38,2)").alias("earned_premium"),
+        F.sum("written_premium").cast("decimal(28,2)").alias("written_premium"),
+        F.sum("earned_premium").cast("decimal(28,2)").alias("earned_premium"),
     )
 
 
@@ -138,7 +138,7 @@ def activity_rows(i: Inputs) -> DataFrame:
     "daily_activity_by_month",
     O.with_ctes(
         "SELECT activity_month, product_group, count(*) AS active_days, count(DISTINCT user_id) AS customers, "
-        "CAST(sum(daily_premium) AS DECIMAL(38,6)) AS premium FROM activity GROUP BY activity_month, product_group",
+        "CAST(sum(daily_premium) AS DECIMAL(28,6)) AS premium FROM activity GROUP BY activity_month, product_group",
         "activity",
     ),
 )
@@ -146,7 +146,7 @@ def activity_by_month(i: Inputs) -> DataFrame:
     return i.activity.groupBy("activity_month", "product_group").agg(
         F.count(F.lit(1)).alias("active_days"),
         F.countDistinct("user_id").alias("customers"),
-        F.sum("daily_premium").cast("decimal(38,6)").alias("premium"),
+        F.sum("daily_premium").cast("decimal(28,6)").alias("premium"),
     )
 
 
@@ -163,7 +163,7 @@ def ltv(i: Inputs) -> DataFrame:
 @register(
     "ltv_decile_sizes",
     O.with_ctes(
-        "SELECT decile, count(*) AS customers, CAST(sum(lifetime_premium) AS DECIMAL(38,6)) AS lifetime_premium "
+        "SELECT decile, count(*) AS customers, CAST(sum(lifetime_premium) AS DECIMAL(28,6)) AS lifetime_premium "
         "FROM ltv GROUP BY decile",
         "ltv",
     ),
@@ -172,7 +172,7 @@ def ltv_deciles(i: Inputs) -> DataFrame:
     return (
         customer_marts.customer_ltv(i.user_months)
         .groupBy("decile")
-        .agg(F.count(F.lit(1)).alias("customers"), F.sum("lifetime_premium").cast("decimal(38,6)").alias("lifetime_premium"))
+        .agg(F.count(F.lit(1)).alias("customers"), F.sum("lifetime_premium").cast("decimal(28,6)").alias("lifetime_premium"))
     )
 
 
@@ -340,8 +340,8 @@ def suite_activity(i: Inputs) -> DataFrame:
     "summary_by_party",
     O.with_ctes(
         "SELECT party, count(*) AS months, min(month) AS earliest_month, max(month) AS latest_month, "
-        "CAST(sum(written_premium) AS DECIMAL(38,2)) AS total_written_eur, CAST(sum(refunded_premium) AS DECIMAL(38,2)) AS total_refunded_eur, "
-        "CAST(sum(net_premium) AS DECIMAL(38,2)) AS total_net_eur, CAST(sum(transaction_count) AS BIGINT) AS total_transactions "
+        "CAST(sum(written_premium) AS DECIMAL(28,2)) AS total_written_eur, CAST(sum(refunded_premium) AS DECIMAL(28,2)) AS total_refunded_eur, "
+        "CAST(sum(net_premium) AS DECIMAL(28,2)) AS total_net_eur, CAST(sum(transaction_count) AS BIGINT) AS total_transactions "
         "FROM monthly GROUP BY party",
         "monthly",
     ),
@@ -355,7 +355,7 @@ def summary_by_party(i: Inputs) -> DataFrame:
     O.with_ctes(
         "SELECT reconciliation_status, count(*) AS occurrences, "
         f"{O.rr('sum(' + O.units('abs(delta)', 2) + ')', 'count(*) * 100', 2)} AS avg_abs_delta_eur, "
-        "CAST(max(abs(delta)) AS DECIMAL(38,2)) AS max_abs_delta_eur, "
+        "CAST(max(abs(delta)) AS DECIMAL(28,2)) AS max_abs_delta_eur, "
         f"{O.rr('sum(' + O.units('delta_pct', 4) + ')', 'count(delta_pct) * 10000', 4)} AS avg_delta_pct "
         "FROM recon GROUP BY reconciliation_status",
         "recon",
@@ -381,7 +381,7 @@ def top_discrepancies(i: Inputs) -> DataFrame:
     "customer_summary",
     O.with_ctes(
         "SELECT user_id, product_group, min(activity_date) AS first_active, max(activity_date) AS last_active, "
-        "count(*) AS active_days, CAST(round(sum(daily_premium), 2) AS DECIMAL(38,2)) AS total_earned_eur, "
+        "count(*) AS active_days, CAST(round(sum(daily_premium), 2) AS DECIMAL(28,2)) AS total_earned_eur, "
         "CASE WHEN max(churned_at) IS NOT NULL THEN 'churned' ELSE 'active' END AS status "
         "FROM activity GROUP BY user_id, product_group",
         "activity",
@@ -467,7 +467,7 @@ def delete_insert(i: Inputs) -> DataFrame:
     "schema_sync",
     O.with_ctes(
         "SELECT party, month, premium, written_premium, refunded_premium, refund_count, net_premium, transaction_count, "
-        "first_transaction_date, last_transaction_date, CAST(NULL AS DECIMAL(38,2)) AS avg_ticket FROM monthly t "
+        "first_transaction_date, last_transaction_date, CAST(NULL AS DECIMAL(28,2)) AS avg_ticket FROM monthly t "
         "WHERE NOT EXISTS (SELECT 1 FROM monthly b WHERE b.month >= '2000-01' AND b.party = t.party AND b.month = t.month) "
         "UNION ALL SELECT party, month, premium, written_premium, refunded_premium, refund_count, net_premium, transaction_count, "
         f"first_transaction_date, last_transaction_date, {O.rr(O.units('written_premium', 2), 'transaction_count * 100', 2)} AS avg_ticket "
@@ -518,9 +518,9 @@ from premiumlake.operators import guarded_sql as G  # noqa: E402
 from premiumlake.operators import reports as R  # noqa: E402
 
 _SUMS = (
-    "CAST(round(sum(written_premium), 2) AS DECIMAL(38,2)) AS written_premium, "
-    "CAST(round(sum(net_premium), 2) AS DECIMAL(38,2)) AS net_premium, "
-    "CAST(round(sum(refunded_premium), 2) AS DECIMAL(38,2)) AS refunded_premium"
+    "CAST(round(sum(written_premium), 2) AS DECIMAL(28,2)) AS written_premium, "
+    "CAST(round(sum(net_premium), 2) AS DECIMAL(28,2)) AS net_premium, "
+    "CAST(round(sum(refunded_premium), 2) AS DECIMAL(28,2)) AS refunded_premium"
 )
 
 
@@ -558,9 +558,9 @@ def filters_year_prefix(i: Inputs) -> DataFrame:
 @register(
     "report_recon_party",
     O.with_ctes(
-        "SELECT party, CAST(round(sum(finance_premium), 2) AS DECIMAL(38,2)) AS finance_premium, "
-        "CAST(round(sum(accounting_premium), 2) AS DECIMAL(38,2)) AS accounting_premium, "
-        "CAST(round(sum(delta), 2) AS DECIMAL(38,2)) AS total_delta, "
+        "SELECT party, CAST(round(sum(finance_premium), 2) AS DECIMAL(28,2)) AS finance_premium, "
+        "CAST(round(sum(accounting_premium), 2) AS DECIMAL(28,2)) AS accounting_premium, "
+        "CAST(round(sum(delta), 2) AS DECIMAL(28,2)) AS total_delta, "
         f"{O.rr('sum(' + O.units('delta_pct', 4) + ')', 'count(delta_pct) * 10000', 2)} AS avg_delta_pct "
         "FROM recon GROUP BY party",
         "recon",
@@ -573,9 +573,9 @@ def report_recon_party(i: Inputs) -> DataFrame:
 @register(
     "report_recon_detail",
     O.with_ctes(
-        "SELECT party, month, CAST(round(finance_premium, 2) AS DECIMAL(38,2)) AS finance_premium, "
-        "CAST(round(accounting_premium, 2) AS DECIMAL(38,2)) AS accounting_premium, "
-        "CAST(round(delta, 2) AS DECIMAL(38,2)) AS delta, CAST(round(delta_pct, 2) AS DECIMAL(38,2)) AS delta_pct, "
+        "SELECT party, month, CAST(round(finance_premium, 2) AS DECIMAL(28,2)) AS finance_premium, "
+        "CAST(round(accounting_premium, 2) AS DECIMAL(28,2)) AS accounting_premium, "
+        "CAST(round(delta, 2) AS DECIMAL(28,2)) AS delta, CAST(round(delta_pct, 2) AS DECIMAL(28,2)) AS delta_pct, "
         "reconciliation_status FROM recon WHERE reconciliation_status = 'DISCREPANCY'",
         "recon",
     ),
@@ -588,7 +588,7 @@ def report_recon_detail(i: Inputs) -> DataFrame:
     "report_customers",
     O.with_ctes(
         "SELECT product_group, count(DISTINCT user_id) AS customers, "
-        "CAST(round(sum(daily_premium), 2) AS DECIMAL(38,2)) AS total_daily_premium, "
+        "CAST(round(sum(daily_premium), 2) AS DECIMAL(28,2)) AS total_daily_premium, "
         f"{O.rr('sum(' + O.units('monthly_premium', 2) + ')', 'count(monthly_premium) * 100', 2)} AS avg_monthly_premium "
         "FROM activity GROUP BY product_group",
         "activity",
@@ -619,7 +619,7 @@ def top_customers(i: Inputs) -> DataFrame:
 # --- guarded SQL over the supplied tables ------------------------------------------------------
 
 RUN_SELECT_SQL = (
-    "SELECT o_orderstatus, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_price "
+    "SELECT o_orderstatus, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total_price "
     "FROM orders GROUP BY o_orderstatus"
 )
 RUN_SELECT_PARAM_SQL = (
