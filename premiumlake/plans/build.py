@@ -3,9 +3,8 @@ daily mart, one database per layer.
 
 Every model reads its inputs from the *published* upstream tables, so each write cuts the lineage
 (a lost executor recomputes from the last table, not from the raw feed) and the day-level mart is
-produced once and scanned by its three consumers. Publishing writes a staging table and swaps it
-in, so no table is overwritten while the plan that produces it still reads it (delete+insert and
-snapshots read their own previous version).
+produced once and scanned by its three consumers. Models that read their own previous version
+(delete+insert, snapshot) are checkpointed before they overwrite it.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from premiumlake.operators import customer_marts, party_marts
 from premiumlake.operators.history import IS_CURRENT, delete_insert, scd2_snapshot
 from premiumlake.operators.ingest import clean_transactions, ingest_raw
 from premiumlake.operators.spine import daily_activity, user_months
+from premiumlake.session import checkpoint_dir
 
 LAYERS = ("seeds", "bronze", "silver", "gold", "snapshots")
 
@@ -63,17 +63,23 @@ def table_name(model: str, prefix: str = "") -> str:
     return f"{prefix}{MODELS[model]['layer']}.{model}"
 
 
-def publish(spark: SparkSession, df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> None:
-    """Write ``df`` as ``name`` via a staging table and a swap (drop + rename)."""
-    staging = f"{name}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+def publish(spark: SparkSession, df: DataFrame, name: str, partition_by: Iterable[str] = (), reads_self: bool = False) -> None:
+    """Write ``df`` as table ``name`` (overwrite).
+
+    A model that reads its own previous version (delete+insert, snapshot) is first checkpointed
+    to the cluster's shared checkpoint folder: that cuts the lineage to the files about to be
+    replaced, so the overwrite never reads what it deletes, and a failed write can be retried
+    from the checkpoint.
+    """
+    if reads_self:
+        checkpoint_dir(spark)
+        df = df.checkpoint(eager=True)
     writer = df.write.mode("overwrite").format("parquet")
     parts = list(partition_by)
     if parts:
         writer = writer.partitionBy(*parts)
-    writer.saveAsTable(staging)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    writer.saveAsTable(name)
+    spark.catalog.refreshTable(name)
 
 
 def _write_activity(df: DataFrame) -> DataFrame:
@@ -102,7 +108,8 @@ def build_all(
 
     def run(model: str, make, partition_by: Iterable[str] = ()) -> None:
         if model in wanted:
-            publish(spark, make(), t(model), partition_by)
+            reads_self = MODELS[model]["materialized"] in ("incremental", "snapshot")
+            publish(spark, make(), t(model), partition_by, reads_self=reads_self)
             written.append(t(model))
 
     run("accounting_closing", lambda: sources.accounting_closing)

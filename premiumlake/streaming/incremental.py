@@ -29,7 +29,7 @@ def merge_policies_batch(spark: SparkSession, batch: DataFrame, table: str, as_o
     spine = daily_activity(batch, as_of)
     if spark.catalog.tableExists(table):
         spine = delete_insert(spark.table(table), spine, ACTIVITY_KEYS)
-    publish(spark, _write_activity(spine), table, partition_by=("activity_month",))
+    publish(spark, _write_activity(spine), table, partition_by=("activity_month",), reads_self=True)
 
 
 def stream_activity(
