@@ -1,10 +1,11 @@
 """Data-quality checks (M17–M21), the three mart audit suites (M22–M24) and table profiling (M25).
 
-Plan shape: every count-style check of a suite (nulls, accepted values, row-level business
-rules, row count) folds into ONE global aggregate — one scan, partial aggregation on every
-task, a single-row final stage — and is unpivoted into report rows with ``explode`` in the same
-projection. Only checks that need grouping (duplicate keys, per-group summaries) add their own
-aggregate. Nothing is collected: reports are DataFrames.
+Plan shape: every row-level counter of a suite (NULL counts, row-level business rules, row
+count, date range) folds into ONE global aggregate — one scan, partial aggregation on every task,
+a single-row final stage — unpivoted into report rows with ``inline`` in the same projection.
+Checks that need grouping (duplicate keys, distinct offending values, per-group summaries) add
+one aggregate each, with map-side combining, so a hot value is collapsed on every task before
+the shuffle. Nothing is collected: reports are DataFrames.
 """
 
 from __future__ import annotations
@@ -94,9 +95,11 @@ def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
         if chk.kind == "not_null":
             counters.append((chk, F.count_if(_bq(chk.columns[0]).isNull())))
         elif chk.kind == "accepted_values":
+            # Own aggregate over the offending rows only: a distinct count inside the shared
+            # aggregate would make Spark expand every row of the table once per distinct column.
             col = _bq(chk.columns[0])
-            bad = F.when(~col.isin(*chk.values), col)
-            counters.append((chk, F.count_distinct(bad)))
+            bad = df.where(~col.isin(*chk.values)).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+            grouped.append(bad.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(_row(chk, F.col("n"))))))
         elif chk.kind == "expression":
             counters.append((chk, F.count_if(F.coalesce(chk.failing, F.lit(False)))))
         elif chk.kind in ("unique", "unique_combination"):
@@ -363,33 +366,63 @@ def resolve_table(name: str | None) -> str:
     return name
 
 
+# Global counters of each suite, computed in ONE aggregate per audit (check name, metric
+# expression, pass test on the metric); grouped checks come from the suite's named queries.
+def _global_checks(table: str) -> list[tuple[str, Column, object]]:
+    def nulls(cols):
+        return sum((F.count_if(F.col(c).isNull()) for c in cols), F.lit(0))
+
+    rows = F.count(F.lit(1))
+    if table == "gold_fct_monthly_premiums":
+        net_gap = F.abs(F.col("net_premium") - (F.col("written_premium") - F.col("refunded_premium")))
+        return [
+            ("row_count", rows, None),
+            ("null_check", nulls(["party", "month", "premium", "written_premium", "net_premium", "earned_premium"]), 0),
+            ("net_premium_sanity", F.count_if(net_gap > F.lit(Decimal(rv.NET_IDENTITY_TOLERANCE))), 0),
+        ]
+    if table == "gold_fct_accounting_reconciliation":
+        return [
+            ("row_count", rows, None),
+            ("null_check", nulls(["party", "month", "accounting_premium", "finance_premium", "reconciliation_status"]), 0),
+        ]
+    return [
+        ("row_count", rows, None),
+        ("null_check", nulls(["user_id", "activity_date", "product_group", "daily_premium"]), 0),
+    ]
+
+
 def audit(df: DataFrame, table: str) -> DataFrame:
-    """Pass/fail report of a mart's suite: one row per check (check, passed, metric, detail).
+    """Pass/fail report of a mart's suite: one row per check (check, passed, metric).
 
     Row count and summaries are informational and always pass; a null check fails when any
     count is above 0; a uniqueness or sanity check fails on a non-zero count; an invalid-values
     check fails when it returns any row. Unknown tables raise (the reference returned a payload
-    its own parser could not read).
+    its own parser could not read). All row-level counters share one scan; each grouped check
+    (duplicates, invalid values, summaries) adds one aggregate.
     """
     resolved = resolve_table(table)
     if resolved not in SUITES:
         raise ValueError(f"no audit suite for table {table!r}")
-    results = SUITES[resolved](df)
-    parts = []
-    for name, res in results.items():
-        if name == "row_count":
-            row = res.select(F.lit(True).alias("passed"), F.col("total_rows").alias("metric"))
-        elif name == "null_check":
-            total = sum((F.col(c) for c in res.columns), F.lit(0))
-            row = res.select((total == 0).alias("passed"), total.alias("metric"))
-        elif name in ("uniqueness_check",):
+    counters = _global_checks(resolved)
+    one_pass = df.agg(*[expr.alias(f"g{i}") for i, (_, expr, _) in enumerate(counters)])
+    rows = [
+        F.struct(
+            F.lit(name).alias("check_name"),
+            (F.lit(True) if ok is None else (F.col(f"g{i}") == ok)).alias("passed"),
+            F.col(f"g{i}").cast("long").alias("metric"),
+        )
+        for i, (name, _, ok) in enumerate(counters)
+    ]
+    parts = [one_pass.select(F.inline(F.array(*rows)))]
+    done = {name for name, _, _ in counters}
+    for name, res in SUITES[resolved](df).items():
+        if name in done or name in ("row_count", "null_check"):
+            continue
+        if name == "uniqueness_check":
             row = res.select((F.col("duplicate_grain_rows") == 0).alias("passed"), F.col("duplicate_grain_rows").alias("metric"))
         elif name.startswith("invalid"):
             n = res.agg(F.count(F.lit(1)).alias("n"))
             row = n.select((F.col("n") == 0).alias("passed"), F.col("n").alias("metric"))
-        elif name.endswith("sanity"):
-            c = res.columns[0]
-            row = res.select((F.col(c) == 0).alias("passed"), F.col(c).alias("metric"))
         elif name in _INFORMATIONAL:
             n = res.agg(F.count(F.lit(1)).alias("n"))
             row = n.select(F.lit(True).alias("passed"), F.col("n").alias("metric"))
