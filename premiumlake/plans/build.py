@@ -20,7 +20,7 @@ from premiumlake.operators import customer_marts, party_marts
 from premiumlake.operators.history import IS_CURRENT, delete_insert, scd2_snapshot
 from premiumlake.operators.ingest import clean_transactions, ingest_raw
 from premiumlake.operators.spine import daily_activity, user_months
-from premiumlake.session import checkpoint_dir
+from premiumlake.sources.tables import publish
 
 LAYERS = ("seeds", "bronze", "silver", "gold", "snapshots")
 
@@ -63,25 +63,6 @@ def table_name(model: str, prefix: str = "") -> str:
     return f"{prefix}{MODELS[model]['layer']}.{model}"
 
 
-def publish(spark: SparkSession, df: DataFrame, name: str, partition_by: Iterable[str] = (), reads_self: bool = False) -> None:
-    """Write ``df`` as table ``name`` (overwrite).
-
-    A model that reads its own previous version (delete+insert, snapshot) is first checkpointed
-    to the cluster's shared checkpoint folder: that cuts the lineage to the files about to be
-    replaced, so the overwrite never reads what it deletes, and a failed write can be retried
-    from the checkpoint.
-    """
-    if reads_self:
-        checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
-    writer = df.write.mode("overwrite").format("parquet")
-    parts = list(partition_by)
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.saveAsTable(name)
-    spark.catalog.refreshTable(name)
-
-
 def _write_activity(df: DataFrame) -> DataFrame:
     """Range-partition the day mart on (month, user) before writing it partitioned by month:
     tasks of even size, each writing into one or two month folders (no tiny-file explosion,

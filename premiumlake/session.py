@@ -51,7 +51,9 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) is a private folder created and set.
+    Only a local-mode session without the setting (tests, the local bench) gets a private
+    scratch folder; on a cluster a machine-local folder would not survive an executor loss, so
+    the setting is required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (checkpoints must survive executor loss)")
     path = tempfile.mkdtemp(prefix="premiumlake-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

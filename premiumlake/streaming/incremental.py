@@ -18,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from premiumlake.operators.history import delete_insert
 from premiumlake.operators.spine import daily_activity
-from premiumlake.plans.build import _write_activity, publish
+from premiumlake.plans.build import _write_activity
+from premiumlake.sources.tables import publish
 from premiumlake.session import checkpoint_dir
 
 ACTIVITY_KEYS = ["user_id", "activity_date"]

@@ -89,3 +89,23 @@ def test_upsert_b23_keeps_unlisted_columns(spark):
 def test_delete_keys(spark):
     target = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     assert rows(H.delete_keys(target, spark.createDataFrame([(2,), (2,), (9,)], "k int")), "k") == [(1,), (3,)]
+
+
+def test_state_table_lifecycle(spark):
+    from premiumlake.operators import state as S
+    from premiumlake.sources.catalog import SOURCES
+
+    assert set(SOURCES) == {"raw_transactions", "accounting_closing", "policies"}
+    spark.sql("CREATE DATABASE IF NOT EXISTS st")
+    name = "st.tracked"
+    assert S.load_state(spark, name).count() == 0
+    first = spark.createDataFrame([(7, "m", "T-1", "i1")], "pr_number int, model_name string, ticket_identifier string, issue_id string")
+    S.upsert_state(spark, name, first, dt.datetime(2025, 1, 1))
+    again = spark.createDataFrame([(7, "m2", "T-1", "i1", ["a"]), (8, "n", "T-2", "i2", None)],
+                                  "pr_number int, model_name string, ticket_identifier string, issue_id string, label_ids array<string>")
+    S.upsert_state(spark, name, again, dt.datetime(2025, 2, 1))
+    got = {r.pr_number: r for r in S.load_state(spark, name).collect()}
+    assert (got[7].model_name, got[7].label_ids, got[7].created_at) == ("m2", ["a"], dt.datetime(2025, 1, 1))
+    assert (got[8].label_ids, got[8].created_at) == ([], dt.datetime(2025, 2, 1))
+    S.delete_state(spark, name, spark.createDataFrame([(7,)], "pr_number int"))
+    assert [r.pr_number for r in S.load_state(spark, name).collect()] == [8]
