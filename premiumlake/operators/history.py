@@ -122,7 +122,9 @@ def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str], sync
     columns are first aligned to the batch (schema evolution of an incremental load).
     """
     base = sync_columns(target, batch) if sync else target
-    batch_keys = batch.select(*keys)
+    # Distinct keys: a key repeated in the batch is combined map-side, and the aggregate's
+    # hash partitioning on the keys is the one the anti join needs (no extra shuffle).
+    batch_keys = batch.select(*keys).distinct()
     survivors = base.join(batch_keys, list(keys), "left_anti")
     return survivors.unionByName(batch)
 

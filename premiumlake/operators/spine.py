@@ -32,16 +32,16 @@ def _policy_end(as_of: dt.date | Column) -> Column:
 
 
 def _spread(policies: DataFrame) -> DataFrame:
-    """Hash-partition policies by user before the day explode.
+    """Hash-partition policies on (user, start) before the day explode.
 
     The explode multiplies each row by its length in days, so parallelism must be set on the
     small input: AQE sizes (and may coalesce) partitions by *input* bytes and would leave a
-    handful of tasks to generate the whole spine. An explicit partition count is not coalesced.
-    Partitioning by user also clusters the spine by user, which per-user aggregates accept
-    without another exchange; a user has few policies, so no hot key can form.
+    handful of tasks to generate the whole spine; an explicit partition count is not coalesced.
+    The start date is part of the key so that even a user holding a large share of all
+    policies is spread over many tasks.
     """
     parts = int(policies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return policies.repartition(parts, "user_id")
+    return policies.repartition(parts, "user_id", "started_at")
 
 
 def daily_activity(policies: DataFrame, as_of: dt.date, at: dt.datetime | None = None) -> DataFrame:
@@ -76,18 +76,17 @@ def daily_activity(policies: DataFrame, as_of: dt.date, at: dt.datetime | None =
     return days.select(*cols)
 
 
-def _user_month_agg(df: DataFrame, premium: Column, combine_first: bool) -> DataFrame:
-    """Aggregate to the user-month grain, ending hash-partitioned on (user, product) so every
-    later window and aggregate of the customer marts is satisfied without a new exchange.
+def _user_month_agg(df: DataFrame, premium: Column) -> DataFrame:
+    """Aggregate to the user-month grain, then hash-partition the (small) result on
+    (user, product) so every later window and aggregate of the customer marts is satisfied
+    without a new exchange.
 
-    From daily rows, map-side partial aggregation shrinks the data ~30× before any shuffle, so
-    aggregate first and re-partition the small result. From policy-months the rows are already
-    near the grain, so partition once on (user, product), which the 4-key aggregate accepts.
+    Aggregating on all four keys first lets map-side partial aggregation shrink the input
+    before any shuffle and spreads even a very large user over tasks by month; the grain
+    itself is bounded (months × acquisition months per user and product).
     """
     aggs = [F.sum(premium).cast(dec(6)).alias("premium"), F.min("acquisition_date").alias("acquisition_date")]
-    if combine_first:
-        return df.groupBy(*USER_MONTH_KEYS).agg(*aggs).repartition("user_id", "product_group")
-    return df.repartition("user_id", "product_group").groupBy(*USER_MONTH_KEYS).agg(*aggs)
+    return df.groupBy(*USER_MONTH_KEYS).agg(*aggs).repartition("user_id", "product_group")
 
 
 def user_months(activity: DataFrame) -> DataFrame:
@@ -101,7 +100,7 @@ def user_months(activity: DataFrame) -> DataFrame:
         "acquisition_date",
         "daily_premium",
     )
-    return _user_month_agg(staged, F.col("daily_premium"), combine_first=True)
+    return _user_month_agg(staged, F.col("daily_premium"))
 
 
 def user_months_from_policies(policies: DataFrame, as_of: dt.date) -> DataFrame:
@@ -131,4 +130,4 @@ def user_months_from_policies(policies: DataFrame, as_of: dt.date) -> DataFrame:
         "acquisition_date",
         (daily_premium(F.col("monthly_premium"), m) * covered).alias("_premium"),
     )
-    return _user_month_agg(staged, F.col("_premium"), combine_first=False)
+    return _user_month_agg(staged, F.col("_premium"))

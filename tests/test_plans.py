@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from decimal import Decimal as D
 
 import pytest
@@ -53,10 +54,13 @@ def test_waterfall_has_no_join(spark):
 
 def test_customer_marts_reuse_user_month_partitioning(spark):
     i = Inputs(spark, SF_SMALL)
-    plan = plan_of(C.premium_waterfall(i.user_months))
-    # user-month hash partitioning on (user, product) serves both windows: one exchange on
-    # (user_id, product_group), then only the small (product, month) aggregate shuffles.
-    assert plan.count("hashpartitioning(user_id") == 1
+    plan = re.sub(r"#\d+L?", "", plan_of(C.premium_waterfall(i.user_months)))
+    # the user-month aggregate, then one re-partition on (user_id, product_group) that serves
+    # both windows; after that only the small (product, month) aggregate shuffles.
+    assert plan.count("hashpartitioning(user_id, product_group, month, acquisition_month") == 1
+    assert plan.count("hashpartitioning(user_id, product_group, 8)") == 1
+    assert plan.count("hashpartitioning(product_group, _groupingexpression") == 1
+    assert plan.count("Exchange") - plan.count("BroadcastExchange") == 5  # 2 fixture + 3 above
 
 
 # --- properties ----------------------------------------------------------------------------------
