@@ -23,6 +23,31 @@ REQUIRED_CONF = {
 }
 
 
+# Starting point for a large cluster (hundreds of executors, tens of TB per run). Shuffles start
+# wide and AQE coalesces them to the advisory size, so a stage never holds more than a few
+# hundred MB per task in memory before spilling; input splits are sized the same way; AQE splits
+# skewed shuffle partitions of sort-merge joins. The day spine and the NTILE range partitioning
+# take their partition count from `spark.sql.shuffle.partitions`.
+CLUSTER_CONF = {
+    **REQUIRED_CONF,
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> SparkSession:
+    """Apply ``CLUSTER_CONF`` (plus overrides) to a running session."""
+    for key, value in {**CLUSTER_CONF, **(overrides or {})}.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "premiumlake") -> SparkSession:
     """Session for tests and the local bench. A cluster job builds its own session and only
     needs ``REQUIRED_CONF``."""
