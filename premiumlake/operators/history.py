@@ -69,37 +69,33 @@ def scd2_snapshot(
     opened = lambda df: df.select(*cols, ts.alias(VALID_FROM), F.lit(None).cast("timestamp").alias(VALID_TO), F.lit(True).alias(IS_CURRENT))
     if history is None:
         return opened(src)
-    closed_before = history.where(~F.col(IS_CURRENT))
+    closed_before = history.where(~F.col(IS_CURRENT)).select(*cols, VALID_FROM, VALID_TO, IS_CURRENT)
     open_now = history.where(F.col(IS_CURRENT))
     j = open_now.alias("h").join(src.alias("s"), F.col(f"h.{key}") == F.col(f"s.{key}"), "full_outer")
     h_present, s_present = F.col(f"h.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
     changed = h_present & s_present & _changed(check_cols)
-    vanished = h_present & ~s_present
-    close = changed | (vanished if close_deletes else F.lit(False))
-    staged = j.select(
-        *[F.col(f"h.{c}").alias(f"_h_{c}") for c in cols],
-        F.col(f"h.{VALID_FROM}").alias("_h_from"),
-        F.col(f"h.{VALID_TO}").alias("_h_to"),
-        *[F.col(f"s.{c}").alias(f"_s_{c}") for c in cols],
-        h_present.alias("_h"),
-        s_present.alias("_s"),
-        close.alias("_close"),
-        (changed | (s_present & ~h_present)).alias("_open"),
+    close = changed | ((h_present & ~s_present) if close_deletes else F.lit(False))
+    opens = changed | (s_present & ~h_present)
+    types = {f.name: f.dataType for f in current.schema.fields}
+
+    def version(side: str, valid_from: Column, valid_to: Column, is_current: Column) -> Column:
+        return F.struct(
+            *[F.col(f"{side}.{c}").cast(types[c]).alias(c) for c in cols],
+            valid_from.cast("timestamp").alias(VALID_FROM),
+            valid_to.cast("timestamp").alias(VALID_TO),
+            is_current.alias(IS_CURRENT),
+        )
+
+    # One full outer join; each joined row emits the open version it carried (closed or still
+    # current) and/or the version it opens. Filtering the join twice instead would make Catalyst
+    # split it into a left and a right outer join, reading both tables twice.
+    kept = F.when(
+        h_present,
+        version("h", F.col(f"h.{VALID_FROM}"), F.when(close, ts).otherwise(F.col(f"h.{VALID_TO}")), ~close),
     )
-    # Every open history row survives (closed or not); sources open a version when new or changed.
-    kept = staged.where(F.col("_h")).select(
-        *[F.col(f"_h_{c}").alias(c) for c in cols],
-        F.col("_h_from").alias(VALID_FROM),
-        F.when(F.col("_close"), ts).otherwise(F.col("_h_to")).alias(VALID_TO),
-        (~F.col("_close")).alias(IS_CURRENT),
-    )
-    new_versions = staged.where(F.col("_open")).select(
-        *[F.col(f"_s_{c}").alias(c) for c in cols],
-        ts.alias(VALID_FROM),
-        F.lit(None).cast("timestamp").alias(VALID_TO),
-        F.lit(True).alias(IS_CURRENT),
-    )
-    return closed_before.unionByName(kept).unionByName(new_versions)
+    opened_version = F.when(opens, version("s", ts, F.lit(None), F.lit(True)))
+    versions = F.filter(F.array(kept, opened_version), lambda v: v.isNotNull())
+    return closed_before.unionByName(j.select(F.inline(versions)))
 
 
 def sync_columns(target: DataFrame, batch: DataFrame) -> DataFrame:

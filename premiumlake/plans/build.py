@@ -78,31 +78,44 @@ def build_all(
     as_of: dt.date,
     prefix: str = "",
     select: Iterable[str] | None = None,
+    buckets: int | None = None,
 ) -> list[str]:
     """Build the models in dependency order; returns the tables written. ``select`` limits the
-    run to the given models (their upstream tables must already exist)."""
+    run to the given models (their upstream tables must already exist).
+
+    Silver and the snapshot are stored bucketed on ``transaction_id`` into the same number of
+    ``buckets`` (default: the session's shuffle partitions), so each snapshot run joins the
+    open history with the new silver without shuffling either table. Keep the count stable
+    between runs; a changed count costs one shuffle on the next run and is then re-bucketed.
+    """
     wanted = set(select) if select is not None else set(MODELS)
+    n_buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_transaction = (n_buckets, ["transaction_id"])
     for layer in LAYERS:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}")
     t = lambda m: table_name(m, prefix)
     written: list[str] = []
 
-    def run(model: str, make, partition_by: Iterable[str] = ()) -> None:
+    def run(model: str, make, partition_by: Iterable[str] = (), bucket_by=None) -> None:
         if model in wanted:
             reads_self = MODELS[model]["materialized"] in ("incremental", "snapshot")
-            publish(spark, make(), t(model), partition_by, reads_self=reads_self)
+            publish(spark, make(), t(model), partition_by, reads_self=reads_self, bucket_by=bucket_by)
             written.append(t(model))
 
     run("accounting_closing", lambda: sources.accounting_closing)
     run("bronze_raw_transactions", lambda: ingest_raw(sources.raw_transactions, at=at))
-    run("silver_transactions", lambda: clean_transactions(spark.table(t("bronze_raw_transactions")), at=at))
+    run(
+        "silver_transactions",
+        lambda: clean_transactions(spark.table(t("bronze_raw_transactions")), at=at),
+        bucket_by=by_transaction,
+    )
 
     def snapshot() -> DataFrame:
         current = spark.table(t("silver_transactions")).select(*SNAPSHOT_COLUMNS)
         history = spark.table(t("snp_silver_transactions")) if spark.catalog.tableExists(t("snp_silver_transactions")) else None
         return scd2_snapshot(history, current, "transaction_id", ["status", "premium_amount"], at)
 
-    run("snp_silver_transactions", snapshot)
+    run("snp_silver_transactions", snapshot, bucket_by=by_transaction)
     run("gold_fct_monthly_premiums", lambda: party_marts.monthly_premiums(spark.table(t("silver_transactions")), at=at))
     monthly = lambda: spark.table(t("gold_fct_monthly_premiums"))
     run(

@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from premiumlake.session import checkpoint_dir
 
 
-def publish(spark: SparkSession, df: DataFrame, name: str, partition_by: Iterable[str] = (), reads_self: bool = False) -> None:
+def publish(
+    spark: SparkSession,
+    df: DataFrame,
+    name: str,
+    partition_by: Iterable[str] = (),
+    reads_self: bool = False,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
+) -> None:
     """Write ``df`` as table ``name`` (overwrite).
 
     A model that reads its own previous version (delete+insert, snapshot, upsert) is first
     checkpointed to the cluster's shared checkpoint folder: that cuts the lineage to the files
     about to be replaced, so the overwrite never reads what it deletes, and a failed write can be
-    retried from the checkpoint.
+    retried from the checkpoint. ``bucket_by=(n, keys)`` stores the table hash-bucketed and
+    sorted on ``keys``: a later join or window on those keys between tables bucketed the same
+    way needs no shuffle.
     """
     if reads_self:
         checkpoint_dir(spark)
@@ -24,5 +33,8 @@ def publish(spark: SparkSession, df: DataFrame, name: str, partition_by: Iterabl
     parts = list(partition_by)
     if parts:
         writer = writer.partitionBy(*parts)
+    if bucket_by is not None:
+        n, keys = bucket_by
+        writer = writer.bucketBy(n, *keys).sortBy(*keys)
     writer.saveAsTable(name)
     spark.catalog.refreshTable(name)

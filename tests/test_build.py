@@ -89,3 +89,29 @@ def test_csv_edge_round_trip(spark):
     fixtures.accounting_closing(i.silver).write.option("header", True).csv(ledger_dir)
     ledger = read_source(spark, "accounting_closing", ledger_dir)
     assert dict(ledger.dtypes)["accounting_premium"] == "decimal(18,2)" and ledger.count() == 293
+
+
+def test_bucketed_snapshot_join_needs_no_shuffle(spark):
+    """With silver and the snapshot bucketed alike, the SCD2 run's key join and duplicate-key
+    window read both tables without an exchange on transaction_id."""
+    import re
+
+    from premiumlake.operators.history import scd2_snapshot
+
+    i = Inputs(spark, SF_SMALL)
+    src = B.Sources(i.raw, fixtures.accounting_closing(i.silver), i.policies)
+    B.build_all(spark, src, AT1, fixtures.AS_OF, prefix="bk_", buckets=4,
+                select=["accounting_closing", "bronze_raw_transactions", "silver_transactions", "snp_silver_transactions"])
+    silver = spark.table("bk_silver.silver_transactions").select(*B.SNAPSHOT_COLUMNS)
+    history = spark.table("bk_snapshots.snp_silver_transactions")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of cluster size
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # inspect the static plan
+    try:
+        out = scd2_snapshot(history, silver, "transaction_id", ["status", "premium_amount"], AT2)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and "FullOuter" in plan
+        assert not re.search(r"Exchange hashpartitioning\(transaction_id", plan)
+        assert out.count() == history.count()  # unchanged feed: no new versions
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
