@@ -26,10 +26,6 @@ def dec(scale: int) -> str:
     return f"decimal(28,{scale})"
 
 
-def money_sum(c: Column) -> Column:
-    """Exact sum of a decimal money column, as decimal(28,2)."""
-    return F.sum(c).cast(MONEY)
-
 
 def int_div(a: Column, b: Column) -> Column:
     """SQL ``a div b``: exact truncating integral division, NULL when either side is NULL."""
@@ -55,7 +51,3 @@ def round_ratio(num: Column, den: Column, scale: int, shift: int = 0) -> Column:
 def round_money(c: Column, scale: int = 2) -> Column:
     """Round a decimal half away from zero (Spark's ``round`` on decimals is HALF_UP)."""
     return F.round(c, scale).cast(dec(scale))
-
-
-def nullif_zero(c: Column) -> Column:
-    return F.when(c != 0, c)

@@ -165,10 +165,3 @@ def delete_keys(target: DataFrame, keys_df: DataFrame, keys: Sequence[str] | Non
     """Drop target rows whose key is in ``keys_df``."""
     keys = list(keys or keys_df.columns)
     return target.join(keys_df.select(*keys), keys, "left_anti")
-
-
-def ensure_table(spark, name: str, schema) -> DataFrame:
-    """Create-if-absent for a keyed state table registered in the catalog; returns it."""
-    if not spark.catalog.tableExists(name):
-        spark.createDataFrame([], schema).write.saveAsTable(name)
-    return spark.table(name)

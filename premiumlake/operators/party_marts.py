@@ -242,8 +242,3 @@ def period_growth(
         f"cumulative_{value}",
     )
     return _audit(out, "_created_at", at)
-
-
-def money_col(c: str | Column, scale: int = 2) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return col.cast(dec(scale))

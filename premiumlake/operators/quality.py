@@ -460,7 +460,3 @@ def profile(df: DataFrame) -> DataFrame:
         for i, f in enumerate(fields)
     ]
     return counts.select(F.inline(F.array(*rows)))
-
-
-def money_total(c: str) -> Column:
-    return F.sum(c).cast(MONEY)

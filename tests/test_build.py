@@ -46,6 +46,7 @@ def test_build_all_then_incremental_rerun(spark):
     assert t("gold_fct_customer_activity_daily").count() == expected
     assert t("snp_silver_transactions").count() == snap_rows  # nothing changed: no new versions
     assert t("snp_silver_transactions").where(~F.col("is_current")).count() == 0
+    assert B.current_snapshot(spark, "b1_").count() == snap_rows
 
 
 def test_stream_drives_incremental_load(spark):

@@ -121,3 +121,34 @@ def test_b24_cap_always_applies_and_errors_are_values(spark):
     bad = G.run_select(spark, "DELETE FROM r500")
     assert not bad.ok and bad.df is None and bad.error
     assert G.table_ready(spark, "no_such_table_anywhere") is False
+
+
+def test_report_dispatch_views_and_ranges(spark):
+    from premiumlake.session import CLUSTER_CONF, cluster_conf
+    from premiumlake.sources.files import register_views
+    from tests.conftest import SF_SMALL
+
+    mart = spark.createDataFrame(
+        [("dronant", "1998-01", D("1.00"), D("1.00"), D("0"), 1, D("10.00")), ("getland", "1999-12", D("2.00"), D("2.00"), D("0"), 1, D("90.00"))],
+        "party string, month string, written_premium decimal(28,2), net_premium decimal(28,2), refunded_premium decimal(28,2), "
+        "transaction_count long, market_share_pct decimal(28,2)",
+    )
+    assert R.month_range(mart, "1998", "1998").count() == 1
+    assert R.month_range(mart, "1998-02", None).count() == 1
+    tables = {"gold_fct_monthly_premiums": mart, "some_table": mart}
+    assert R.dashboard(tables, None, "party").columns[0] == "party"
+    assert R.dashboard(tables, "some_table", filters={"party": "dronant"}).count() == 2  # not an allowed key there
+    assert R.default_view("gold_fct_premium_share_by_party", mart).columns == ["month", "party", "market_share_pct"]
+    assert R.default_view("anything_else", mart).count() == 2
+    register_views(spark, SF_SMALL, ["nation"])
+    assert G.run_select(spark, "SELECT count(*) AS n FROM nation").df.collect()[0].n == 25
+    saved = {k: spark.conf.get(k, None) for k in CLUSTER_CONF}
+    try:
+        cluster_conf(spark, {"spark.sql.shuffle.partitions": "8"})
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == CLUSTER_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
