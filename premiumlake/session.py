@@ -23,6 +23,13 @@ REQUIRED_CONF = {
 }
 
 
+# JVM option for the driver (local mode) and every executor; it must be given at launch
+# (spark-submit --conf spark.executor.extraJavaOptions=... / spark.driver.extraJavaOptions=...).
+# Whole-stage codegen fuses a stage's expressions into one method; HotSpot by default never
+# JIT-compiles a method above 8,000 bytecodes, so a wide fused stage (parse + flags + conditional
+# aggregates) would run in the bytecode interpreter. Measured locally: about 2x faster marts.
+JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
+
 # Starting point for a large cluster (hundreds of executors, tens of TB per run). Shuffles start
 # wide and AQE coalesces them to the advisory size, so a stage never holds more than a few
 # hundred MB per task in memory before spilling; input splits are sized the same way; AQE splits
@@ -58,6 +65,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("PREMIUMLAKE_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.extraJavaOptions", JVM_OPTIONS)
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)

@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from premiumlake import schemas
 from premiumlake.functions.exact import MONEY_IN
@@ -34,9 +35,22 @@ TEST_TABLES = (
 )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One supplied table as a lazy Parquet scan (filters and projections push into it)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One supplied table as a lazy Parquet scan (filters and projections push into it).
+
+    The footer schema is inferred once per path and then passed explicitly, which saves a
+    schema-inference job on every later read of the same table.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def register_views(spark: SparkSession, sf_dir: str, names: Iterable[str] = TEST_TABLES) -> None:

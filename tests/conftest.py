@@ -16,7 +16,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from premiumlake.session import REQUIRED_CONF, checkpoint_dir
+    from premiumlake.session import JVM_OPTIONS, REQUIRED_CONF, checkpoint_dir
 
     scratch = tempfile.mkdtemp(prefix="premiumlake-tests-")
     builder = (
@@ -26,6 +26,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
+        .config("spark.driver.extraJavaOptions", JVM_OPTIONS)
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
