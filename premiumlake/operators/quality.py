@@ -388,9 +388,32 @@ def _global_checks(table: str) -> list[tuple[str, Column, object]]:
     return [
         ("row_count", rows, None),
         ("null_check", nulls(["user_id", "activity_date", "product_group", "daily_premium"]), 0),
+        # the date-range query is a global aggregate: it always returns exactly one row
+        ("date_range", F.lit(1).cast("long"), None),
     ]
 
 
+def _shared_metrics(table: str, df: DataFrame) -> DataFrame | None:
+    """Row counts of informational per-group summaries that one aggregate can provide."""
+    if table != "gold_fct_customer_activity_daily":
+        return None
+    per_customer = df.groupBy("user_id", "product_group").agg(F.count(F.lit(1)).alias("_n"))
+    counts = per_customer.agg(
+        F.count(F.lit(1)).alias("customer_summary"),
+        F.count_distinct("product_group").alias("_pg"),
+        F.max(F.when(F.col("product_group").isNull(), 1).otherwise(0)).alias("_pg_null"),
+    )
+    rows = [
+        F.struct(F.lit("customer_summary").alias("check_name"), F.lit(True).alias("passed"), F.col("customer_summary").alias("metric")),
+        F.struct(
+            F.lit("product_group_breakdown").alias("check_name"),
+            F.lit(True).alias("passed"),
+            (F.col("_pg") + F.coalesce(F.col("_pg_null"), F.lit(0))).cast("long").alias("metric"),
+        ),
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def audit(df: DataFrame, table: str) -> DataFrame:
     """Pass/fail report of a mart's suite: one row per check (check, passed, metric).
 
@@ -415,6 +438,10 @@ def audit(df: DataFrame, table: str) -> DataFrame:
     ]
     parts = [one_pass.select(F.inline(F.array(*rows)))]
     done = {name for name, _, _ in counters}
+    shared = _shared_metrics(resolved, df)
+    if shared is not None:
+        parts.append(shared)
+        done |= {"customer_summary", "product_group_breakdown"}
     for name, res in SUITES[resolved](df).items():
         if name in done or name in ("row_count", "null_check"):
             continue
