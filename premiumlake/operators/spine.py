@@ -1,7 +1,7 @@
 """Daily activity spine (M5) and the user-month table the customer marts share.
 
-The spine multiplies rows (one per policy per day), so it is a narrow ``explode`` with no
-shuffle. The customer marts (cohort, LTV, waterfall) only need user × month figures; they start
+The spine multiplies rows (one per policy per day): the small policy input is spread over an
+explicit number of tasks first, then the ``explode`` itself is narrow. The customer marts (cohort, LTV, waterfall) only need user × month figures; they start
 from ``user_months`` — either aggregated from stored daily rows, or, for a fresh build, derived
 straight from the policies by exploding *months* instead of days (about 30× fewer rows, same
 exact sums because a policy's daily premium is constant within a month).
