@@ -286,12 +286,36 @@ _cte(
 SELECT user_id, product_group,
   CAST(date_trunc('month', activity_date) AS DATE) AS month,
   CAST(date_trunc('month', acquisition_date) AS DATE) AS acquisition_month,
-  SUM(daily_premium) AS premium
+  CAST(SUM(daily_premium) AS DECIMAL(28,6)) AS premium,
+  MIN(acquisition_date) AS acquisition_date
 FROM activity
 GROUP BY user_id, product_group, CAST(date_trunc('month', activity_date) AS DATE), CAST(date_trunc('month', acquisition_date) AS DATE)""",
     "activity",
 )
 
+_cte(
+    "classified",
+    """
+SELECT user_id, product_group, month, premium,
+  CASE WHEN month = acquisition_month THEN 'new_business'
+       WHEN LAG(month) OVER (PARTITION BY user_id, product_group ORDER BY month) = CAST(month - INTERVAL 1 MONTH AS DATE) THEN 'renewal'
+       ELSE 'reactivation' END AS transaction_type
+FROM ump""",
+    "ump",
+)
+
+_cte(
+    "lapsed",
+    """
+SELECT prev.product_group, CAST(prev.month + INTERVAL 1 MONTH AS DATE) AS month, CAST(SUM(prev.premium) AS DECIMAL(28,6)) AS lapsed_premium
+FROM ump prev LEFT JOIN ump curr
+  ON prev.user_id = curr.user_id AND prev.product_group = curr.product_group
+ AND curr.month = CAST(prev.month + INTERVAL 1 MONTH AS DATE)
+WHERE curr.user_id IS NULL
+GROUP BY prev.product_group, CAST(prev.month + INTERVAL 1 MONTH AS DATE)""",
+    "ump",
+)
+
 _cte(
     "cohort",
     f"""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from premiumlake.operators import customer_marts, party_marts
 from premiumlake.plans import oracle as O
+from premiumlake.operators.spine import user_months
 from premiumlake.plans.inputs import Inputs
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -176,6 +177,36 @@ def ltv_deciles(i: Inputs) -> DataFrame:
     )
 
 
+@register("user_months", O.with_ctes("SELECT * FROM ump", "ump"))
+def user_month_table(i: Inputs) -> DataFrame:
+    # the stored-table path: aggregated from the daily spine rows
+    return user_months(i.activity)
+
+
+@register(
+    "waterfall_classes",
+    O.with_ctes(
+        "SELECT transaction_type, count(*) AS user_months, CAST(sum(premium) AS DECIMAL(28,6)) AS premium "
+        "FROM classified GROUP BY transaction_type",
+        "classified",
+    ),
+)
+def waterfall_classes(i: Inputs) -> DataFrame:
+    return (
+        customer_marts.classify_user_months(i.user_months)
+        .groupBy("transaction_type")
+        .agg(F.count(F.lit(1)).alias("user_months"), F.sum("premium").cast("decimal(28,6)").alias("premium"))
+    )
+
+
+@register("lapsed_premium", O.with_ctes("SELECT * FROM lapsed", "lapsed"))
+def lapsed_premium(i: Inputs) -> DataFrame:
+    lapses = customer_marts.classify_user_months(i.user_months).where(F.col("lapses_next_month"))
+    return lapses.groupBy("product_group", F.add_months("month", 1).alias("month")).agg(
+        F.sum("premium").cast("decimal(28,6)").alias("lapsed_premium")
+    )
+
+
 @register("premium_waterfall", O.with_ctes("SELECT * FROM waterfall", "waterfall"))
 def waterfall(i: Inputs) -> DataFrame:
     return customer_marts.premium_waterfall(i.user_months)
