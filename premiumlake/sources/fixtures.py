@@ -126,26 +126,24 @@ def policies(customer: DataFrame, orders: DataFrame) -> DataFrame:
         .otherwise(F.date_add(started, (k % 400 + 30).cast("int")))
     )
     premium = (F.abs(F.col("c_acctbal")).cast(MONEY_IN) / F.lit(100)).cast(MONEY_IN)
-    first = customer.join(first_order, "c_custkey").select(
-        k,
-        F.concat(F.lit("USR"), k.cast("string")).alias("user_id"),
-        F.col("acquisition_date"),
-        started.alias("started_at"),
-        churned.alias("churned_at"),
-        premium.alias("monthly_premium"),
-        _product_group(F.col("c_mktsegment")).alias("product_group"),
-    )
-    second_start = F.date_add("churned_at", 90)
-    second = first.where((k % 7 == 0) & (k % 20 != 0) & (k % 50 != 1)).select(
-        k,
-        "user_id",
-        "acquisition_date",
-        second_start.alias("started_at"),
-        F.date_add(second_start, 60).alias("churned_at"),
-        "monthly_premium",
-        "product_group",
-    )
-    return first.unionByName(second).drop("c_custkey")
+    user = F.concat(F.lit("USR"), k.cast("string"))
+    group = _product_group(F.col("c_mktsegment"))
+
+    def policy(start: Column, end: Column) -> Column:
+        return F.struct(
+            user.alias("user_id"),
+            F.col("acquisition_date"),
+            start.alias("started_at"),
+            end.alias("churned_at"),
+            premium.alias("monthly_premium"),
+            group.alias("product_group"),
+        )
+
+    # Both policies of a customer come from one joined row (one join, one pass).
+    second_start = F.date_add(churned, 90)
+    second = F.when((k % 7 == 0) & (k % 20 != 0) & (k % 50 != 1), policy(second_start, F.date_add(second_start, 60)))
+    both = F.filter(F.array(policy(started, churned), second), lambda p: p.isNotNull())
+    return customer.join(first_order, "c_custkey").select(F.inline(both))
 
 
 def policy_key(user_id: Column) -> Column:
