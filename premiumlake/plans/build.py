@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from premiumlake.operators import customer_marts, party_marts
-from premiumlake.operators.history import IS_CURRENT, delete_insert, scd2_snapshot
+from premiumlake.operators.history import IS_CURRENT, scd2_snapshot
 from premiumlake.operators.ingest import clean_transactions, ingest_raw
 from premiumlake.operators.spine import daily_activity, user_months
-from premiumlake.sources.tables import publish
+from premiumlake.sources.tables import merge_partitions, publish
 
 LAYERS = ("seeds", "bronze", "silver", "gold", "snapshots")
 
@@ -126,14 +126,17 @@ def build_all(
     run("gold_fct_premium_concentration_hhi", lambda: party_marts.concentration(monthly(), at=at))
     run("gold_fct_premium_mom_growth", lambda: party_marts.period_growth(monthly(), at=at))
 
-    def activity() -> DataFrame:
-        batch = daily_activity(sources.policies, as_of, at=at)
-        name = t("gold_fct_customer_activity_daily")
-        if spark.catalog.tableExists(name):
-            batch = delete_insert(spark.table(name), batch, ["user_id", "activity_date"])
-        return _write_activity(batch)
-
-    run("gold_fct_customer_activity_daily", activity, partition_by=("activity_month",))
+    if "gold_fct_customer_activity_daily" in wanted:
+        # delete+insert scoped to the month partitions the batch touches (dynamic overwrite)
+        merge_partitions(
+            spark,
+            t("gold_fct_customer_activity_daily"),
+            daily_activity(sources.policies, as_of, at=at),
+            ["user_id", "activity_date"],
+            "activity_month",
+            prepare=_write_activity,
+        )
+        written.append(t("gold_fct_customer_activity_daily"))
     um = lambda: user_months(spark.table(t("gold_fct_customer_activity_daily")))
     run("gold_fct_cohort_retention", lambda: customer_marts.cohort_retention(um(), at=at))
     run("gold_fct_customer_ltv", lambda: customer_marts.customer_ltv(um(), at=at))

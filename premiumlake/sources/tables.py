@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from premiumlake.session import checkpoint_dir
 
@@ -38,3 +39,48 @@ def publish(
         writer = writer.bucketBy(n, *keys).sortBy(*keys)
     writer.saveAsTable(name)
     spark.catalog.refreshTable(name)
+
+
+def merge_partitions(
+    spark: SparkSession,
+    name: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    partition_col: str,
+    prepare=None,
+    max_partitions: int = 10_000,
+) -> None:
+    """Delete+insert ``batch`` into the table partitioned by ``partition_col``, rewriting only
+    the partitions the batch touches.
+
+    ``partition_col`` must be a function of ``keys`` (the daily mart: month of the activity
+    date), so a target row whose key is in the batch can only live in a partition the batch
+    touches; rows elsewhere are neither read nor rewritten. The touched partition values are
+    partition metadata, capped at ``max_partitions``; beyond the cap, or when the batch changes
+    the schema, the whole table is merged and rewritten instead. ``prepare`` (e.g. a range
+    re-partitioning) is applied to the rows before they are written.
+    """
+    from premiumlake.operators.history import delete_insert
+
+    prepare = prepare or (lambda df: df)
+    if not spark.catalog.tableExists(name):
+        publish(spark, prepare(batch), name, partition_by=[partition_col])
+        return
+    target = spark.table(name)
+    same_schema = {f.name: f.dataType for f in target.schema.fields} == {f.name: f.dataType for f in batch.schema.fields}
+    values = [r[0] for r in batch.select(partition_col).distinct().limit(max_partitions + 1).collect()]
+    if not same_schema or len(values) > max_partitions:
+        merged = delete_insert(target, batch, keys, sync=True)
+        publish(spark, prepare(merged), name, partition_by=[partition_col], reads_self=True)
+        return
+    touched = target.where(F.col(partition_col).isin(values))
+    checkpoint_dir(spark)
+    merged = prepare(delete_insert(touched, batch, keys, sync=False)).checkpoint(eager=True)
+    mode_key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(mode_key)
+    spark.conf.set(mode_key, "dynamic")  # replace only the partitions present in `merged`
+    try:
+        merged.select(*target.columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode_key, previous)
+    spark.catalog.refreshTable(name)

@@ -16,21 +16,18 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from premiumlake.operators.history import delete_insert
 from premiumlake.operators.spine import daily_activity
 from premiumlake.plans.build import _write_activity
-from premiumlake.sources.tables import publish
+from premiumlake.sources.tables import merge_partitions
 from premiumlake.session import checkpoint_dir
 
 ACTIVITY_KEYS = ["user_id", "activity_date"]
 
 
 def merge_policies_batch(spark: SparkSession, batch: DataFrame, table: str, as_of: dt.date) -> None:
-    """Expand one batch of policies to days and delete+insert it into ``table``."""
-    spine = daily_activity(batch, as_of)
-    if spark.catalog.tableExists(table):
-        spine = delete_insert(spark.table(table), spine, ACTIVITY_KEYS)
-    publish(spark, _write_activity(spine), table, partition_by=("activity_month",), reads_self=True)
+    """Expand one batch of policies to days and delete+insert it into ``table``, rewriting only
+    the month partitions the batch touches."""
+    merge_partitions(spark, table, daily_activity(batch, as_of), ACTIVITY_KEYS, "activity_month", prepare=_write_activity)
 
 
 def stream_activity(

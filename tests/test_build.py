@@ -116,3 +116,30 @@ def test_bucketed_snapshot_join_needs_no_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_merge_rewrites_only_touched_partitions(spark):
+    from premiumlake.operators.history import delete_insert
+    from premiumlake.sources.tables import merge_partitions
+
+    i = Inputs(spark, SF_SMALL)
+    spark.sql("CREATE DATABASE IF NOT EXISTS mp")
+    name = "mp.activity"
+    keys = ["user_id", "activity_date"]
+    first = daily_activity(i.policies, fixtures.AS_OF)
+    merge_partitions(spark, name, first, keys, "activity_month")
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()[0].data_type
+    root = location.replace("file:", "")
+
+    def files():
+        return {d: sorted(os.listdir(os.path.join(root, d))) for d in os.listdir(root) if d.startswith("activity_month=")}
+
+    before = files()
+    newcomer = fixtures.policies_recut(i.policies, i.table("customer")).where(F.col("user_id").startswith("NEW"))
+    batch = daily_activity(newcomer, fixtures.AS_OF)  # 2001-11-25 .. 2001-12-31
+    expected = sorted(tuple(r) for r in delete_insert(first, batch, keys).select(*spark.table(name).columns).collect())
+    merge_partitions(spark, name, batch, keys, "activity_month")
+    after = files()
+    touched = {"activity_month=2001-11", "activity_month=2001-12"}
+    assert {d for d in after if after[d] != before.get(d)} == touched
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == expected
