@@ -27,6 +27,11 @@ def publish(
     sorted on ``keys``: a later join or window on those keys between tables bucketed the same
     way needs no shuffle.
     """
+    if bucket_by is not None:
+        # One task per bucket: Spark's bucket id is the same Murmur3 hash as `repartition(n,
+        # keys)`, so each task writes exactly one file per bucket instead of every task writing
+        # a file into every bucket (tasks × buckets files).
+        df = df.repartition(bucket_by[0], *bucket_by[1])
     if reads_self:
         checkpoint_dir(spark)
         df = df.checkpoint(eager=True)

@@ -143,3 +143,15 @@ def test_merge_rewrites_only_touched_partitions(spark):
     touched = {"activity_month=2001-11", "activity_month=2001-12"}
     assert {d for d in after if after[d] != before.get(d)} == touched
     assert sorted(tuple(r) for r in spark.table(name).collect()) == expected
+
+
+def test_bucketed_write_has_one_file_per_bucket(spark):
+    from premiumlake.sources.tables import publish
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS bw")
+    df = spark.range(20000).selectExpr("cast(id as string) AS transaction_id", "id % 7 AS v").repartition(13)
+    publish(spark, df, "bw.t", bucket_by=(4, ["transaction_id"]))
+    location = spark.sql("DESCRIBE TABLE EXTENDED bw.t").where("col_name = 'Location'").collect()[0].data_type
+    parts = [f for f in os.listdir(location.replace("file:", "")) if f.startswith("part-")]
+    assert len(parts) == 4
+    assert spark.table("bw.t").count() == 20000
