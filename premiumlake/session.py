@@ -40,6 +40,8 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "8192",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    # honour the advisory size instead of sizing coalesced partitions for parallelism only
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",

@@ -80,6 +80,29 @@ def policies_from_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), schemas.POLICIES)
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> DataFrame:
-    """Optional relational source; needs the JDBC driver on the classpath of the cluster."""
-    return spark.read.jdbc(url, table, properties=properties or {})
+def read_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: dict | None = None,
+    partition_column: str | None = None,
+    lower_bound: int | None = None,
+    upper_bound: int | None = None,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Optional relational source; needs the JDBC driver on the cluster's classpath.
+
+    With ``partition_column`` (numeric, date or timestamp) and bounds, Spark reads
+    ``num_partitions`` ranges over parallel connections instead of one query on one connection.
+    """
+    if partition_column is None:
+        return spark.read.jdbc(url, table, properties=properties or {})
+    return spark.read.jdbc(
+        url,
+        table,
+        column=partition_column,
+        lowerBound=lower_bound,
+        upperBound=upper_bound,
+        numPartitions=num_partitions,
+        properties=properties or {},
+    )
