@@ -3,9 +3,10 @@
 The reference's only stream-shaped behaviour is the keyed delete+insert load of the daily
 activity mart. Here a stream of policy records (any streaming source: files landing in a
 folder, a message bus) drives it: each micro-batch is expanded to its day spine and merged into
-the published table with ``delete_insert`` through ``foreachBatch``, which gives exactly-once
-table updates together with the stream checkpoint. The checkpoint lives under the cluster's
-shared ``spark.checkpoint.dir`` unless a location is given.
+the published table through ``foreachBatch``, rewriting only the month partitions the batch
+touches. A micro-batch retried after a failure applies the same keyed delete+insert again, which
+is idempotent, so with the stream checkpoint each batch takes effect exactly once. The
+checkpoint lives under the cluster's shared ``spark.checkpoint.dir`` unless a location is given.
 """
 
 from __future__ import annotations
