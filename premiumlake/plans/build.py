@@ -20,7 +20,8 @@ from premiumlake.operators import customer_marts, party_marts
 from premiumlake.operators.history import IS_CURRENT, scd2_snapshot
 from premiumlake.operators.ingest import clean_transactions, ingest_raw
 from premiumlake.operators.spine import daily_activity, user_months
-from premiumlake.sources.tables import merge_partitions, publish
+from premiumlake.session import checkpoint_dir
+from premiumlake.sources.tables import merge_partitions, overwrite_partitions, publish
 
 LAYERS = ("seeds", "bronze", "silver", "gold", "snapshots")
 
@@ -110,12 +111,9 @@ def build_all(
         bucket_by=by_transaction,
     )
 
-    def snapshot() -> DataFrame:
-        current = spark.table(t("silver_transactions")).select(*SNAPSHOT_COLUMNS)
-        history = spark.table(t("snp_silver_transactions")) if spark.catalog.tableExists(t("snp_silver_transactions")) else None
-        return scd2_snapshot(history, current, "transaction_id", ["status", "premium_amount"], at)
-
-    run("snp_silver_transactions", snapshot, bucket_by=by_transaction)
+    if "snp_silver_transactions" in wanted:
+        snapshot_run(spark, t("snp_silver_transactions"), spark.table(t("silver_transactions")), at, n_buckets)
+        written.append(t("snp_silver_transactions"))
     run("gold_fct_monthly_premiums", lambda: party_marts.monthly_premiums(spark.table(t("silver_transactions")), at=at))
     monthly = lambda: spark.table(t("gold_fct_monthly_premiums"))
     run(
@@ -144,5 +142,33 @@ def build_all(
     return written
 
 
+CLOSED_RUN = "_closed_run"  # partition column: NULL for open versions, else the closing run
+
+
+def snapshot_run(spark: SparkSession, name: str, silver: DataFrame, at: dt.datetime, buckets: int) -> None:
+    """One SCD2 run of the silver snapshot, reading and writing only what a run can change.
+
+    The table is partitioned on ``_closed_run``: open versions live in the NULL partition,
+    versions closed by a run in that run's partition, and all of it is bucketed on the key.
+    A run joins the open partition with silver (no exchange: both sides bucketed alike), then
+    one dynamic-overwrite write replaces the open partition and creates this run's partition.
+    Closed history is never read or rewritten, and a retried run replaces the same two
+    partitions (idempotent).
+    """
+    current = silver.select(*SNAPSHOT_COLUMNS)
+    keys = (buckets, ["transaction_id"])
+    if not spark.catalog.tableExists(name):
+        first = scd2_snapshot(None, current, "transaction_id", ["status", "premium_amount"], at)
+        publish(spark, first.withColumn(CLOSED_RUN, F.lit(None).cast("string")), name, partition_by=[CLOSED_RUN], bucket_by=keys)
+        return
+    open_versions = spark.table(name).where(F.col(CLOSED_RUN).isNull()).drop(CLOSED_RUN)
+    out = scd2_snapshot(open_versions, current, "transaction_id", ["status", "premium_amount"], at).withColumn(
+        CLOSED_RUN, F.when(~F.col(IS_CURRENT), F.date_format(F.col("valid_to"), "yyyyMMddHHmmss"))
+    )
+    checkpoint_dir(spark)
+    out = out.repartition(buckets, "transaction_id").checkpoint(eager=True)  # reads the open partition
+    overwrite_partitions(spark, out, name)
+
+
 def current_snapshot(spark: SparkSession, prefix: str = "") -> DataFrame:
     return spark.table(table_name("snp_silver_transactions", prefix)).where(F.col(IS_CURRENT))

@@ -89,3 +89,17 @@ def merge_partitions(
     finally:
         spark.conf.set(mode_key, previous)
     spark.catalog.refreshTable(name)
+
+
+def overwrite_partitions(spark: SparkSession, df: DataFrame, name: str) -> None:
+    """Replace exactly the partitions of ``name`` that ``df`` has rows in (dynamic partition
+    overwrite); ``df`` must carry the table's columns. Other partitions are not touched."""
+    target_cols = spark.table(name).columns
+    mode_key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(mode_key)
+    spark.conf.set(mode_key, "dynamic")
+    try:
+        df.select(*target_cols).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode_key, previous)
+    spark.catalog.refreshTable(name)

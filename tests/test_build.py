@@ -155,3 +155,37 @@ def test_bucketed_write_has_one_file_per_bucket(spark):
     parts = [f for f in os.listdir(location.replace("file:", "")) if f.startswith("part-")]
     assert len(parts) == 4
     assert spark.table("bw.t").count() == 20000
+
+
+def test_snapshot_runs_touch_only_open_and_new_partitions(spark):
+    from premiumlake.operators.history import scd2_snapshot
+    from premiumlake.operators.ingest import clean_transactions, ingest_raw
+
+    i = Inputs(spark, SF_SMALL)
+    spark.sql("CREATE DATABASE IF NOT EXISTS sn")
+    name = "sn.snap"
+    silver1 = clean_transactions(ingest_raw(i.raw, at=AT1), at=AT1)
+    rows1 = spark.createDataFrame(silver1.select(*B.SNAPSHOT_COLUMNS).collect(), silver1.select(*B.SNAPSHOT_COLUMNS).schema)
+    rows2 = fixtures.scd2_second_batch(rows1)
+    rows2 = spark.createDataFrame(rows2.collect(), rows2.schema)
+    checks = ["status", "premium_amount"]
+
+    B.snapshot_run(spark, name, rows1, AT1, 4)
+    B.snapshot_run(spark, name, rows2, AT2, 4)
+    expected = scd2_snapshot(scd2_snapshot(None, rows1, "transaction_id", checks, AT1), rows2, "transaction_id", checks, AT2)
+    cols = expected.columns
+
+    def content():
+        return sorted((tuple(r) for r in spark.table(name).select(*cols).collect()), key=repr)
+
+    assert content() == sorted((tuple(r) for r in expected.collect()), key=repr)
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()[0].data_type.replace("file:", "")
+    closed_dir = os.path.join(location, "_closed_run=20250201000000")
+    closed_files = sorted(os.listdir(closed_dir))
+    assert closed_files and spark.table(name).where("_closed_run = '20250201000000'").count() > 0
+
+    before = content()
+    B.snapshot_run(spark, name, rows2, AT2, 4)  # a retried run: same input, same timestamp
+    assert content() == before
+    B.snapshot_run(spark, name, rows2, dt.datetime(2025, 3, 1), 4)  # nothing changed since
+    assert content() == before and sorted(os.listdir(closed_dir)) == closed_files
