@@ -57,7 +57,9 @@ def cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "premiumlake") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "premiumlake", conf: dict[str, str] | None = None
+) -> SparkSession:
     """Session for tests and the local bench. A cluster job builds its own session and only
     needs ``REQUIRED_CONF``."""
     builder = (
@@ -69,7 +71,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", os.environ.get("PREMIUMLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.driver.extraJavaOptions", JVM_OPTIONS)
     )
-    for key, value in REQUIRED_CONF.items():
+    for key, value in {**REQUIRED_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -36,6 +36,17 @@ def test_build_all_then_incremental_rerun(spark):
     assert t("gold_fct_gwp_waterfall").count() == 252
     assert "_created_at" in t("gold_fct_monthly_premiums").columns
     assert B.models_tagged("finance") == ["gold_fct_monthly_premiums", "gold_fct_accounting_reconciliation"]
+    # the customer marts read the bucketed intermediate without re-shuffling it on (user, product)
+    from premiumlake.operators import customer_marts as C
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for mart in (C.premium_waterfall, C.cohort_retention):
+            plan = mart(t("int_customer_months"))._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange hashpartitioning(user_id" not in plan, mart.__name__
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert t("int_customer_months").count() == 1294  # 108 new + 1,127 renewal + 59 reactivation
     snap_rows = t("snp_silver_transactions").count()
 
     # second run: re-cut policies (delete+insert keeps stale later days) and an unchanged feed
