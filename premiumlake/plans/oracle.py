@@ -115,14 +115,14 @@ FROM parsed""",
 _cte(
     "monthly",
     f"""
-SELECT a.party, a.month,
-  a.written_premium AS premium,
-  a.written_premium,
-  CAST(coalesce(r.refunded_premium, 0) AS DECIMAL(28,2)) AS refunded_premium,
-  CAST(coalesce(r.refund_count, 0) AS BIGINT) AS refund_count,
-  CAST(a.written_premium - coalesce(r.refunded_premium, 0) AS DECIMAL(28,2)) AS net_premium,
-  {rr("a.prorated_cents", "a.month_days", 2, shift=-2)} AS earned_premium,
-  a.transaction_count, a.first_transaction_date, a.last_transaction_date
+SELECT sales.party, sales.month,
+  sales.written_premium AS premium,
+  sales.written_premium,
+  CAST(coalesce(refs.refunded, 0) AS DECIMAL(28,2)) AS refunded_premium,
+  CAST(coalesce(refs.n_refunds, 0) AS BIGINT) AS refund_count,
+  CAST(sales.written_premium - coalesce(refs.refunded, 0) AS DECIMAL(28,2)) AS net_premium,
+  {rr("sales.prorated_cents", "sales.month_days", 2, shift=-2)} AS earned_premium,
+  sales.transaction_count, sales.first_transaction_date, sales.last_transaction_date
 FROM (
   SELECT party, transaction_month AS month,
     CAST(sum(premium_amount) AS DECIMAL(28,2)) AS written_premium,
@@ -132,12 +132,12 @@ FROM (
     min(transaction_date) AS first_transaction_date,
     max(transaction_date) AS last_transaction_date
   FROM silver WHERE status = 'processed' AND _is_clean AND premium_amount > 0
-  GROUP BY party, transaction_month) a
+  GROUP BY party, transaction_month) sales
 LEFT JOIN (
-  SELECT party, transaction_month, CAST(sum(premium_amount) AS DECIMAL(28,2)) AS refunded_premium, count(*) AS refund_count
+  SELECT party, transaction_month, CAST(sum(premium_amount) AS DECIMAL(28,2)) AS refunded, count(*) AS n_refunds
   FROM silver WHERE status_raw = 'refunded' AND _is_clean AND premium_amount > 0
-  GROUP BY party, transaction_month) r
-ON a.party = r.party AND a.month = r.transaction_month""",
+  GROUP BY party, transaction_month) refs
+ON refs.party = sales.party AND refs.transaction_month = sales.month""",
     "silver",
 )
 
@@ -163,22 +163,22 @@ _cte(
     f"""
 SELECT party, month, accounting_premium, finance_premium, net_premium, refunded_premium, net_delta,
   transaction_count, delta, delta_pct,
-  CASE WHEN abs(finance_premium - accounting_premium) < 0.01 THEN 'MATCH'
-       WHEN accounting_premium <> 0 AND
-            {units("abs(finance_premium - accounting_premium)", 2)} * 100 < {units("accounting_premium", 2)}
-            OR accounting_premium < 0 THEN 'NEAR_MATCH'
+  CASE WHEN gap_cents = 0 THEN 'MATCH'
+       WHEN ledger_cents < 0 OR (ledger_cents > 0 AND abs(gap_cents) * 100 < ledger_cents) THEN 'NEAR_MATCH'
        ELSE 'DISCREPANCY' END AS reconciliation_status,
-  abs(finance_premium - accounting_premium) < 0.01 AS is_reconciled
+  gap_cents = 0 AS is_reconciled
 FROM (
-  SELECT a.party, a.month, a.accounting_premium,
-    CAST(coalesce(f.written_premium, 0.0) AS DECIMAL(28,2)) AS finance_premium,
-    CAST(coalesce(f.net_premium, 0.0) AS DECIMAL(28,2)) AS net_premium,
-    CAST(coalesce(f.refunded_premium, 0.0) AS DECIMAL(28,2)) AS refunded_premium,
-    CAST(coalesce(f.transaction_count, 0) AS BIGINT) AS transaction_count,
-    CAST(coalesce(f.written_premium, 0.0) - a.accounting_premium AS DECIMAL(28,2)) AS delta,
-    {rr(units("abs(coalesce(f.written_premium, 0.0) - a.accounting_premium)", 2), units("a.accounting_premium", 2), 4, shift=2)} AS delta_pct,
-    CAST(coalesce(f.net_premium, 0.0) - a.accounting_premium AS DECIMAL(28,2)) AS net_delta
-  FROM ledger a LEFT JOIN monthly f ON a.party = f.party AND a.month = f.month) x""",
+  SELECT l.party, l.month, l.accounting_premium,
+    CAST(coalesce(m.written_premium, 0) AS DECIMAL(28,2)) AS finance_premium,
+    CAST(coalesce(m.net_premium, 0) AS DECIMAL(28,2)) AS net_premium,
+    CAST(coalesce(m.refunded_premium, 0) AS DECIMAL(28,2)) AS refunded_premium,
+    CAST(coalesce(m.transaction_count, 0) AS BIGINT) AS transaction_count,
+    CAST(coalesce(m.written_premium, 0) - l.accounting_premium AS DECIMAL(28,2)) AS delta,
+    CAST(coalesce(m.net_premium, 0) - l.accounting_premium AS DECIMAL(28,2)) AS net_delta,
+    {units("coalesce(m.written_premium, 0) - l.accounting_premium", 2)} AS gap_cents,
+    {units("l.accounting_premium", 2)} AS ledger_cents,
+    {rr(units("abs(coalesce(m.written_premium, 0) - l.accounting_premium)", 2), units("l.accounting_premium", 2), 4, shift=2)} AS delta_pct
+  FROM ledger l LEFT JOIN monthly m ON m.party = l.party AND m.month = l.month) cmp""",
     "ledger",
     "monthly",
 )
@@ -197,45 +197,43 @@ FROM monthly""",
 _cte(
     "hhi_mart",
     f"""
-SELECT ps.party, ps.month, ps.net_premium, ps.written_premium, ps.total_net_premium,
-  {rr(units("ps.net_premium", 2), units("ps.total_net_premium", 2), 2, shift=2)} AS market_share_pct,
-  h.hhi_score, h.active_parties,
-  CASE WHEN h.hhi_score < 1500 THEN 'competitive'
-       WHEN h.hhi_score <= 2500 THEN 'moderately_concentrated'
-       ELSE 'highly_concentrated' END AS concentration_level,
-  h.dominant_party_flag, ps.transaction_count
-FROM (
-  SELECT mp.month, mp.party, mp.net_premium, mp.written_premium, mp.transaction_count, t.total_net_premium
-  FROM monthly mp JOIN (SELECT month, CAST(sum(net_premium) AS DECIMAL(28,2)) AS total_net_premium FROM monthly GROUP BY month) t
-  ON mp.month = t.month) ps
-JOIN (
+WITH month_sums AS (
   SELECT month,
-    {rr("sum(" + units("net_premium", 2) + " * " + units("net_premium", 2) + ") * 10000",
-        units("any_value(total_net_premium)", 2) + " * " + units("any_value(total_net_premium)", 2), 2)} AS hhi_score,
-    count(DISTINCT party) AS active_parties,
-    coalesce(CASE WHEN any_value(total_net_premium) > 0 THEN max(net_premium) > 0.40 * any_value(total_net_premium)
-                  WHEN any_value(total_net_premium) < 0 THEN min(net_premium) < 0.40 * any_value(total_net_premium)
-             END, false) AS dominant_party_flag
-  FROM (SELECT mp.*, t.total_net_premium FROM monthly mp
-        JOIN (SELECT month, sum(net_premium) AS total_net_premium FROM monthly GROUP BY month) t ON mp.month = t.month) s
-  GROUP BY month) h
-ON ps.month = h.month""",
+    CAST(sum(net_premium) AS DECIMAL(28,2)) AS tot,
+    sum({units("net_premium", 2)} * {units("net_premium", 2)}) AS sq_cents,
+    count(DISTINCT party) AS n_parties,
+    max(net_premium) AS hi, min(net_premium) AS lo
+  FROM monthly GROUP BY month),
+month_index AS (
+  SELECT month, tot, n_parties,
+    {rr("sq_cents * 10000", units("tot", 2) + " * " + units("tot", 2), 2)} AS hhi,
+    coalesce(CASE WHEN tot > 0 THEN hi > 0.40 * tot WHEN tot < 0 THEN lo < 0.40 * tot END, false) AS dom
+  FROM month_sums)
+SELECT mm.party, mm.month, mm.net_premium, mm.written_premium, mi.tot AS total_net_premium,
+  {rr(units("mm.net_premium", 2), units("mi.tot", 2), 2, shift=2)} AS market_share_pct,
+  mi.hhi AS hhi_score, mi.n_parties AS active_parties,
+  CASE WHEN mi.hhi < 1500 THEN 'competitive' WHEN mi.hhi <= 2500 THEN 'moderately_concentrated'
+       ELSE 'highly_concentrated' END AS concentration_level,
+  mi.dom AS dominant_party_flag, mm.transaction_count
+FROM monthly mm JOIN month_index mi ON mi.month = mm.month""",
     "monthly",
 )
 
 _cte(
     "growth",
     f"""
-SELECT pg.party, pg.month, pg.previous_written_premium, pg.written_premium,
-  {rr(units("pg.written_premium - pg.previous_written_premium", 2), units("pg.previous_written_premium", 2), 2, shift=2)} AS percentage_change,
-  cp.cumulative_written_premium
-FROM (SELECT party, month, written_premium,
-        LAG(written_premium) OVER (PARTITION BY party ORDER BY month) AS previous_written_premium
-      FROM monthly) pg
-JOIN (SELECT party, month,
-        CAST(SUM(written_premium) OVER (PARTITION BY party ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS cumulative_written_premium
-      FROM monthly) cp
-ON pg.party = cp.party AND pg.month = cp.month""",
+SELECT party, month, previous_written_premium, written_premium,
+  {rr(units("written_premium - previous_written_premium", 2), units("previous_written_premium", 2), 2, shift=2)} AS percentage_change,
+  cumulative_written_premium
+FROM (
+  SELECT cur.party, cur.month, cur.written_premium,
+    (SELECT before.written_premium FROM monthly before
+      WHERE before.party = cur.party
+        AND before.month = (SELECT max(b2.month) FROM monthly b2 WHERE b2.party = cur.party AND b2.month < cur.month)
+    ) AS previous_written_premium,
+    (SELECT CAST(sum(upto.written_premium) AS DECIMAL(28,2)) FROM monthly upto
+      WHERE upto.party = cur.party AND upto.month <= cur.month) AS cumulative_written_premium
+  FROM monthly cur) series""",
     "monthly",
 )
 
@@ -282,60 +280,61 @@ _cte("activity", _spine_sql("policies"), "policies")
 
 _cte(
     "ump",
-    """
-SELECT user_id, product_group,
-  CAST(date_trunc('month', activity_date) AS DATE) AS month,
-  CAST(date_trunc('month', acquisition_date) AS DATE) AS acquisition_month,
-  CAST(SUM(daily_premium) AS DECIMAL(28,6)) AS premium,
-  MIN(acquisition_date) AS acquisition_date
-FROM activity
-GROUP BY user_id, product_group, CAST(date_trunc('month', activity_date) AS DATE), CAST(date_trunc('month', acquisition_date) AS DATE)""",
+    f"""
+SELECT user_id, product_group, m AS month, c AS acquisition_month,
+  CAST(sum(daily_premium) AS DECIMAL(28,6)) AS premium,
+  min(acquisition_date) AS acquisition_date
+FROM (SELECT user_id, product_group, daily_premium, acquisition_date,
+        CAST(date_trunc('month', activity_date) AS DATE) AS m,
+        CAST(date_trunc('month', acquisition_date) AS DATE) AS c
+      FROM activity) d
+GROUP BY user_id, product_group, m, c""",
     "activity",
 )
 
 _cte(
-    "classified",
-    """
+    "kinds",
+    f"""
 SELECT user_id, product_group, month, premium,
   CASE WHEN month = acquisition_month THEN 'new_business'
-       WHEN LAG(month) OVER (PARTITION BY user_id, product_group ORDER BY month) = CAST(month - INTERVAL 1 MONTH AS DATE) THEN 'renewal'
+       WHEN lag(month) OVER (PARTITION BY user_id, product_group ORDER BY month) = CAST(month - INTERVAL 1 MONTH AS DATE)
+         THEN 'renewal'
        ELSE 'reactivation' END AS transaction_type
 FROM ump""",
     "ump",
 )
 
 _cte(
-    "lapsed",
-    """
-SELECT prev.product_group, CAST(prev.month + INTERVAL 1 MONTH AS DATE) AS month, CAST(SUM(prev.premium) AS DECIMAL(28,6)) AS lapsed_premium
-FROM ump prev LEFT JOIN ump curr
-  ON prev.user_id = curr.user_id AND prev.product_group = curr.product_group
- AND curr.month = CAST(prev.month + INTERVAL 1 MONTH AS DATE)
-WHERE curr.user_id IS NULL
-GROUP BY prev.product_group, CAST(prev.month + INTERVAL 1 MONTH AS DATE)""",
+    "gone",
+    f"""
+SELECT u.product_group, CAST(u.month + INTERVAL 1 MONTH AS DATE) AS month, CAST(sum(u.premium) AS DECIMAL(28,6)) AS lapsed_premium
+FROM ump u
+WHERE NOT EXISTS (
+  SELECT 1 FROM ump nxt
+  WHERE nxt.user_id = u.user_id AND nxt.product_group = u.product_group
+    AND nxt.month = CAST(u.month + INTERVAL 1 MONTH AS DATE))
+GROUP BY u.product_group, CAST(u.month + INTERVAL 1 MONTH AS DATE)""",
     "ump",
 )
 
 _cte(
     "cohort",
     f"""
-WITH user_monthly AS (
+WITH spans AS (
   SELECT DISTINCT user_id, product_group,
-    CAST(date_trunc('month', activity_date) AS DATE) AS activity_month,
-    CAST(date_trunc('month', acquisition_date) AS DATE) AS cohort_month
+    CAST(date_trunc('month', acquisition_date) AS DATE) AS c,
+    CAST(date_trunc('month', activity_date) AS DATE) AS m
   FROM activity),
-cohort_size AS (
-  SELECT cohort_month, product_group, COUNT(DISTINCT user_id) AS cohort_size
-  FROM user_monthly WHERE activity_month = cohort_month GROUP BY cohort_month, product_group),
-active_customers AS (
-  SELECT cohort_month, product_group, activity_month, COUNT(DISTINCT user_id) AS active_customers
-  FROM user_monthly GROUP BY cohort_month, product_group, activity_month)
-SELECT ac.cohort_month, ac.product_group,
-  CAST((year(ac.activity_month) * 12 + month(ac.activity_month)) - (year(ac.cohort_month) * 12 + month(ac.cohort_month)) AS INTEGER) AS months_since_acquisition,
-  cs.cohort_size, ac.active_customers,
-  {rr("ac.active_customers", "cs.cohort_size", 1, shift=2)} AS retention_rate
-FROM active_customers ac LEFT JOIN cohort_size cs
-ON ac.cohort_month = cs.cohort_month AND ac.product_group = cs.product_group""",
+per_month AS (
+  SELECT c, product_group, m, count(DISTINCT user_id) AS n FROM spans GROUP BY c, product_group, m),
+per_cohort AS (
+  SELECT c, product_group, count(DISTINCT user_id) FILTER (WHERE m = c) AS n0 FROM spans GROUP BY c, product_group)
+SELECT pm.c AS cohort_month, pm.product_group,
+  CAST(date_diff('month', pm.c, pm.m) AS INTEGER) AS months_since_acquisition,
+  CASE WHEN pc.n0 > 0 THEN pc.n0 END AS cohort_size,
+  pm.n AS active_customers,
+  {rr("pm.n", "CASE WHEN pc.n0 > 0 THEN pc.n0 END", 1, shift=2)} AS retention_rate
+FROM per_month pm JOIN per_cohort pc ON pc.c = pm.c AND pc.product_group = pm.product_group""",
     "activity",
 )
 
@@ -344,48 +343,38 @@ _cte(
     f"""
 SELECT user_id, product_group, cohort_month, last_active_month, active_months, lifetime_premium,
   {rr(units("lifetime_premium", 6), "active_months", 2, shift=-6)} AS avg_monthly_premium,
-  CAST(NTILE(10) OVER (ORDER BY lifetime_premium DESC NULLS FIRST, user_id, product_group) AS INTEGER) AS decile,
-  CASE WHEN lifetime_premium < 50 THEN '0-50 EUR' WHEN lifetime_premium < 200 THEN '50-200 EUR'
-       WHEN lifetime_premium < 500 THEN '200-500 EUR' ELSE '500+ EUR' END AS ltv_bucket
+  CAST(ntile(10) OVER (ORDER BY lifetime_premium DESC NULLS FIRST, user_id, product_group) AS INTEGER) AS decile,
+  CASE WHEN lifetime_premium >= 500 OR lifetime_premium IS NULL THEN '500+ EUR'
+       WHEN lifetime_premium >= 200 THEN '200-500 EUR'
+       WHEN lifetime_premium >= 50 THEN '50-200 EUR'
+       ELSE '0-50 EUR' END AS ltv_bucket
 FROM (
   SELECT user_id, product_group,
-    CAST(date_trunc('month', MIN(acquisition_date)) AS DATE) AS cohort_month,
-    CAST(date_trunc('month', MAX(activity_date)) AS DATE) AS last_active_month,
-    COUNT(DISTINCT date_trunc('month', activity_date)) AS active_months,
-    CAST(SUM(daily_premium) AS DECIMAL(28,6)) AS lifetime_premium
-  FROM activity GROUP BY user_id, product_group) c""",
+    min(CAST(date_trunc('month', acquisition_date) AS DATE)) AS cohort_month,
+    max(CAST(date_trunc('month', activity_date) AS DATE)) AS last_active_month,
+    count(DISTINCT CAST(date_trunc('month', activity_date) AS DATE)) AS active_months,
+    CAST(sum(daily_premium) AS DECIMAL(28,6)) AS lifetime_premium
+  FROM activity GROUP BY user_id, product_group) per_customer""",
     "activity",
 )
 
 _cte(
     "waterfall",
     f"""
-WITH classified AS (
-  SELECT user_id, product_group, month, premium,
-    CASE WHEN month = acquisition_month THEN 'new_business'
-         WHEN LAG(month) OVER (PARTITION BY user_id, product_group ORDER BY month) = CAST(month - INTERVAL 1 MONTH AS DATE) THEN 'renewal'
-         ELSE 'reactivation' END AS transaction_type
-  FROM ump),
-active_premiums AS (
+WITH book AS (
   SELECT product_group, month,
-    SUM(CASE WHEN transaction_type = 'new_business' THEN premium ELSE 0 END) AS new_business_premium,
-    SUM(CASE WHEN transaction_type = 'renewal' THEN premium ELSE 0 END) AS renewal_premium
-  FROM classified GROUP BY product_group, month),
-lapsed AS (
-  SELECT prev.product_group, CAST(prev.month + INTERVAL 1 MONTH AS DATE) AS month, SUM(prev.premium) AS lapsed_premium
-  FROM ump prev LEFT JOIN ump curr
-    ON prev.user_id = curr.user_id AND prev.product_group = curr.product_group
-   AND curr.month = CAST(prev.month + INTERVAL 1 MONTH AS DATE)
-  WHERE curr.user_id IS NULL
-  GROUP BY prev.product_group, CAST(prev.month + INTERVAL 1 MONTH AS DATE))
-SELECT ap.product_group AS party, ap.month,
-  CAST(ROUND(ap.new_business_premium, 2) AS DECIMAL(28,2)) AS new_business_premium,
-  CAST(ROUND(ap.renewal_premium, 2) AS DECIMAL(28,2)) AS renewal_premium,
-  CAST(ROUND(COALESCE(l.lapsed_premium, 0), 2) AS DECIMAL(28,2)) AS lapsed_premium,
-  CAST(ROUND(ap.new_business_premium + ap.renewal_premium - COALESCE(l.lapsed_premium, 0), 2) AS DECIMAL(28,2)) AS net_written_premium,
-  {rr(units("COALESCE(l.lapsed_premium, 0)", 6), units("ap.new_business_premium", 6), 2)} AS lapse_to_new_business_ratio
-FROM active_premiums ap LEFT JOIN lapsed l ON ap.product_group = l.product_group AND ap.month = l.month""",
-    "ump",
+    coalesce(sum(premium) FILTER (WHERE transaction_type = 'new_business'), 0) AS nb,
+    coalesce(sum(premium) FILTER (WHERE transaction_type = 'renewal'), 0) AS rn
+  FROM kinds GROUP BY product_group, month)
+SELECT b.product_group AS party, b.month,
+  CAST(round(b.nb, 2) AS DECIMAL(28,2)) AS new_business_premium,
+  CAST(round(b.rn, 2) AS DECIMAL(28,2)) AS renewal_premium,
+  CAST(round(coalesce(g.lapsed_premium, 0), 2) AS DECIMAL(28,2)) AS lapsed_premium,
+  CAST(round(b.nb + b.rn - coalesce(g.lapsed_premium, 0), 2) AS DECIMAL(28,2)) AS net_written_premium,
+  {rr(units("coalesce(g.lapsed_premium, 0)", 6), units("b.nb", 6), 2)} AS lapse_to_new_business_ratio
+FROM book b LEFT JOIN gone g ON g.product_group = b.product_group AND g.month = b.month""",
+    "kinds",
+    "gone",
 )
 
 

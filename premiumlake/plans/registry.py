@@ -187,8 +187,8 @@ def user_month_table(i: Inputs) -> DataFrame:
     "waterfall_classes",
     O.with_ctes(
         "SELECT transaction_type, count(*) AS user_months, CAST(sum(premium) AS DECIMAL(28,6)) AS premium "
-        "FROM classified GROUP BY transaction_type",
-        "classified",
+        "FROM kinds GROUP BY transaction_type",
+        "kinds",
     ),
 )
 def waterfall_classes(i: Inputs) -> DataFrame:
@@ -199,7 +199,7 @@ def waterfall_classes(i: Inputs) -> DataFrame:
     )
 
 
-@register("lapsed_premium", O.with_ctes("SELECT * FROM lapsed", "lapsed"))
+@register("lapsed_premium", O.with_ctes("SELECT * FROM gone", "gone"))
 def lapsed_premium(i: Inputs) -> DataFrame:
     lapses = customer_marts.classify_user_months(i.user_months).where(F.col("lapses_next_month"))
     return lapses.groupBy("product_group", F.add_months("month", 1).alias("month")).agg(
