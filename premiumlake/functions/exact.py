@@ -41,11 +41,18 @@ def round_ratio(num: Column, den: Column, scale: int, shift: int = 0) -> Column:
     """
     den_nz = F.when(den != 0, den)
     factor = F.lit(Decimal(10) ** (scale + shift))
-    quotient = int_div(F.lit(2) * F.abs(num) * factor + F.abs(den_nz), F.lit(2) * F.abs(den_nz))
+    quotient = floor_div_nonneg(F.lit(2) * F.abs(num) * factor + F.abs(den_nz), F.lit(2) * F.abs(den_nz))
     negative = (num < 0) != (den_nz < 0)
     signed = F.when(negative, -quotient).otherwise(quotient)
     unit = F.lit(Decimal(1).scaleb(-scale))
-    return (signed.cast("decimal(38,0)") * unit).cast(dec(scale))
+    return (signed * unit).cast(dec(scale))
+
+
+def floor_div_nonneg(a: Column, b: Column) -> Column:
+    """floor(a / b) for non-negative exact a, b > 0, as an integral decimal: a − (a mod b) is a
+    multiple of b, so the division is exact. Unlike ``div`` (a long) it cannot overflow for
+    large quotients."""
+    return ((a - a % b) / b).cast("decimal(38,0)")
 
 
 def round_money(c: Column, scale: int = 2) -> Column:

@@ -48,3 +48,9 @@ def test_round_ratio_is_exact(spark):
         got = [r.r for r in df.select(round_ratio(F.col("n"), F.col("d"), scale, shift).alias("r")).collect()]
         want = [exact(n, d, scale, shift) for n, d in rows]
         assert got == want, (scale, shift)
+
+
+def test_round_ratio_handles_huge_quotients(spark):
+    df = spark.createDataFrame([(Decimal("1000000000000000.00"), Decimal("0.01"))], "n decimal(28,2), d decimal(28,2)")
+    got = df.select(round_ratio(F.col("n"), F.col("d"), 4, shift=2).alias("r")).collect()[0].r
+    assert got == Decimal("10000000000000000000.0000")  # 1e19 %: beyond a long once scaled by 10^4
