@@ -92,7 +92,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     scratch folder; on a cluster a machine-local folder would not survive an executor loss, so
     the setting is required there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
