@@ -14,12 +14,12 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from premiumlake import reference_values as rv
 from premiumlake.functions.calendar import days_in_month, days_left_in_month
-from premiumlake.functions.exact import MONEY, dec, round_ratio
+from premiumlake.functions.exact import MONEY, round_ratio
 
 
 def _audit(df: DataFrame, name: str, at: dt.datetime | None) -> DataFrame:
