@@ -91,6 +91,32 @@ def earned(i: Inputs) -> DataFrame:
     )
 
 
+@register(
+    "refund_only_dropped",
+    O.with_ctes(
+        "SELECT r.party, r.month, r.refund_count FROM ("
+        "SELECT party, transaction_month AS month, count(*) AS refund_count FROM silver "
+        "WHERE status_raw = 'refunded' AND _is_clean AND premium_amount > 0 GROUP BY party, transaction_month) r "
+        "WHERE NOT EXISTS (SELECT 1 FROM monthly m WHERE m.party = r.party AND m.month = r.month)",
+        "silver",
+        "monthly",
+    ),
+)
+def refund_only_dropped(i: Inputs) -> DataFrame:
+    """Party-months with clean refunds but no sale: the monthly mart leaves them out (T10)."""
+    positive_clean = F.col("_is_clean") & (F.col("premium_amount") > 0)
+    flags = i.silver.select(
+        "party",
+        F.col("transaction_month").alias("month"),
+        ((F.col("status_raw") == "refunded") & positive_clean).alias("_refund"),
+        ((F.col("status") == "processed") & positive_clean).alias("_sale"),
+    )
+    groups = flags.groupBy("party", "month").agg(
+        F.count_if(F.col("_refund")).alias("refund_count"), F.count_if(F.col("_sale")).alias("_sales")
+    )
+    return groups.where((F.col("refund_count") > 0) & (F.col("_sales") == 0)).drop("_sales")
+
+
 @register("reconcile", O.with_ctes("SELECT * FROM recon", "recon"))
 def reconcile(i: Inputs) -> DataFrame:
     return party_marts.reconcile(i.ledger, i.monthly)
