@@ -116,3 +116,18 @@ def test_waterfall_classes_partition_active_premium(spark):
     assert per_kind == um.agg(F.sum("premium").alias("t")).collect()[0].t
     counts = {r.transaction_type: r.n for r in cls.groupBy("transaction_type").agg(F.count("*").alias("n")).collect()}
     assert counts == {"new_business": 108, "renewal": 1127, "reactivation": 59}  # acceptance numbers, sf0.001
+
+
+def test_hot_user_spine_is_spread_over_tasks(spark):
+    """One user holding every policy: the day explode still runs on many tasks."""
+    import datetime as dt
+
+    from premiumlake.operators.spine import daily_activity
+    from premiumlake.sources.files import policies_from_rows
+
+    base = dt.date(2020, 1, 1)
+    rows = [("HOT", base, base + dt.timedelta(days=i), base + dt.timedelta(days=i + 60), D("30.00"), "legal") for i in range(400)]
+    spine = daily_activity(policies_from_rows(spark, rows), dt.date(2021, 12, 31))
+    per_task = [r.n for r in spine.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(per_task) == 400 * 61
+    assert len(per_task) >= 6 and max(per_task) < 0.4 * sum(per_task)
