@@ -200,3 +200,14 @@ def test_snapshot_runs_touch_only_open_and_new_partitions(spark):
     assert content() == before
     B.snapshot_run(spark, name, rows2, dt.datetime(2025, 3, 1), 4)  # nothing changed since
     assert content() == before and sorted(os.listdir(closed_dir)) == closed_files
+
+
+def test_parquet_policy_source(spark):
+    from premiumlake.sources.catalog import read_source
+
+    i = Inputs(spark, SF_SMALL)
+    folder = os.path.join(tempfile.mkdtemp(prefix="policies-"), "p")
+    i.policies.write.parquet(folder)
+    back = read_source(spark, "policies", folder)
+    assert back.schema.simpleString() == schemas.POLICIES.simpleString()
+    assert back.count() == 170 and back.where(F.col("churned_at").isNull()).count() == 8  # FIXTURES: 170 policies, 8 open
