@@ -157,6 +157,8 @@ def concentration(
     value: str = "net_premium",
     dominant_share: str = rv.DOMINANT_SHARE,
     at: dt.datetime | None = None,
+    competitive_below: int = rv.HHI_COMPETITIVE_BELOW,
+    moderate_up_to: int = rv.HHI_MODERATE_UP_TO,
 ) -> DataFrame:
     """Market share and Herfindahl-Hirschman index per period.
 
@@ -189,8 +191,8 @@ def concentration(
         .otherwise(F.lit(False))
     )
     level = (
-        F.when(hhi < rv.HHI_COMPETITIVE_BELOW, F.lit("competitive"))
-        .when(hhi <= rv.HHI_MODERATE_UP_TO, F.lit("moderately_concentrated"))
+        F.when(hhi < competitive_below, F.lit("competitive"))
+        .when(hhi <= moderate_up_to, F.lit("moderately_concentrated"))
         .otherwise(F.lit("highly_concentrated"))
     )
     out = staged.select(

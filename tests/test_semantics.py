@@ -303,3 +303,11 @@ def test_decimal38_inputs_keep_comparisons_exact(spark):
     ledger = spark.createDataFrame([("a", "m1", D("401.00"))], "party string, month string, accounting_premium decimal(38,2)")
     mart = spark.createDataFrame([("a", "m1", D("404.99"), D("1"), D("0"), 1)], "party string, month string, written_premium decimal(38,2), net_premium decimal(38,2), refunded_premium decimal(38,2), transaction_count long")
     assert one(P.reconcile(ledger, mart)).reconciliation_status == "NEAR_MATCH"  # 3.99 < 0.01 × 401.00 = 4.01
+
+
+def test_concentration_thresholds_are_parameters(spark):
+    m = _mart(spark, [("a", "m1", D("1.00"), D("0"), D("1.00"), 1), ("b", "m1", D("1.00"), D("0"), D("1.00"), 1),
+                      ("c", "m1", D("1.00"), D("0"), D("1.00"), 1), ("d", "m1", D("1.00"), D("0"), D("1.00"), 1)])
+    assert {r.concentration_level for r in P.concentration(m).collect()} == {"moderately_concentrated"}  # HHI 2500
+    assert {r.concentration_level for r in P.concentration(m, moderate_up_to=2000).collect()} == {"highly_concentrated"}
+    assert {r.concentration_level for r in P.concentration(m, competitive_below=3000).collect()} == {"competitive"}
