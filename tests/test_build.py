@@ -58,6 +58,10 @@ def test_build_all_then_incremental_rerun(spark):
     assert t("snp_silver_transactions").count() == snap_rows  # nothing changed: no new versions
     assert t("snp_silver_transactions").where(~F.col("is_current")).count() == 0
     assert B.current_snapshot(spark, "b1_").count() == snap_rows
+    # rebuild only the models tagged finance, on top of the tables already there
+    again = B.build_all(spark, src, AT2, fixtures.AS_OF, prefix="b1_", select=B.models_tagged("finance"))
+    assert again == ["b1_gold.gold_fct_monthly_premiums", "b1_gold.gold_fct_accounting_reconciliation"]
+    assert t("gold_fct_accounting_reconciliation").count() == 293
 
 
 def test_stream_drives_incremental_load(spark):
