@@ -1,9 +1,9 @@
 """Exact decimal arithmetic as Column expressions.
 
 Money stays DECIMAL end to end. Ratios are never rounded twice: ``round_ratio`` computes
-round-half-away-from-zero of ``num / den`` with Spark's exact integral division (SQL ``div`` on
-decimals divides to an integral value without intermediate rounding), so the result is the exact
-rounding whatever the magnitudes. Everything is a built-in expression inside whole-stage codegen.
+round-half-away-from-zero of ``num / den`` as an exact floor division on decimals
+((a − a mod b) / b divides exactly), so the result is the exact rounding whatever the
+magnitudes, with no long overflow. Everything is a built-in expression inside whole-stage codegen.
 """
 
 from __future__ import annotations
