@@ -7,6 +7,7 @@ AQE for join-strategy choice at run time. Nothing here reads the wall clock.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -103,7 +104,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (checkpoints must survive executor loss)")
     path = tempfile.mkdtemp(prefix="premiumlake-ckpt-")
     sc.setCheckpointDir(path)
