@@ -105,7 +105,8 @@ def corpus_counts(docs: DataFrame, labels: DataFrame | None, ratio: Ratio, id_co
         rows = rows.select("text", F.lit(False).alias("trusted"))
     else:
         good = labels.select(F.col(labels.columns[0]).alias("id")).where("id is not null").distinct()
-        rows = rows.join(good.withColumn("trusted", F.lit(True)), "id", "left").select("text", "trusted")
+        # always a merge join: the plan is the same at every size of the label table
+        rows = rows.join(good.withColumn("trusted", F.lit(True)).hint("merge"), "id", "left").select("text", "trusted")
 
     def run(batches):
         raw, target = np.zeros(ratio.buckets, np.int64), np.zeros(ratio.buckets, np.int64)
