@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiumlake.llm import byte_bpe, pu_quality, quality_rules, url_filter
+from premiumlake.llm import byte_bpe, pu_quality, quality_rules, sharding, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,6 +52,39 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op2_label_propagation")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.sha1(text.cast("binary")).alias("link"),
+    )
+    placed = sharding.assign_shards(docs, docs.select(F.col("doc_id").alias("id"), "link"), shards=8, id_col="doc_id")
+    return docs.drop("link").join(placed.withColumnRenamed("id", "doc_id"), "doc_id").select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+_PAGES_SQL = """
+WITH sized AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex, url FROM pages),
+newest AS (SELECT *, max(page_id) OVER (PARTITION BY hex, payload_bytes) AS top FROM sized)
+SELECT page_id, payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * (k // 4), 5))::INTEGER >> (15 - 5 * (k % 4))) & 31)::INTEGER, 1)
+    FOR k IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM newest
+"""
+
+
+@register("op4_warc_index", _PAGES_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @register("op6_quality_rules")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_rules.score_documents(table(spark, sf_dir, "documents"), trusted_labels(spark, sf_dir))
