@@ -122,3 +122,16 @@ def span_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:])
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+#: Bytes that no word of running text holds: ASCII other than letters, digits and the underscore.
+PUNCTUATION = np.ones(256, bool)
+PUNCTUATION[[*range(0x30, 0x3A), *range(0x41, 0x5B), 0x5F, *range(0x61, 0x7B)]] = False
+PUNCTUATION[0x80:] = False
+
+
+def lower_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, words before each row) of the lower-cased words of a text column."""
+    data, offsets = buffers(pc.utf8_lower(column))
+    start, end, row = word_spans(data, offsets, PUNCTUATION)
+    return span_hashes(data, start, end), row, np.searchsorted(row, np.arange(len(column) + 1))

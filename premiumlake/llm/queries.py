@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiumlake.llm import byte_bpe, pu_quality, quality_rules, sharding, url_filter, warc
+from premiumlake.llm import byte_bpe, decontaminate, license_scan, pu_quality, quality_rules, sharding, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,6 +67,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op3_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = decontaminate.question_and_answer(table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), items).withColumnRenamed("item", "item_id")
+
+
 _PAGES_SQL = """
 WITH sized AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex, url FROM pages),
 newest AS (SELECT *, max(page_id) OVER (PARTITION BY hex, payload_bytes) AS top FROM sized)
@@ -85,6 +91,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@register("op5_license_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @register("op6_quality_rules")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_rules.score_documents(table(spark, sf_dir, "documents"), trusted_labels(spark, sf_dir))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from premiumlake.llm._store import stored
 
-ROUNDS = 4
+ROUNDS = 6
 #: During the rounds a shard may hold so many times its even share; the last pass, which moves those
 #: without neighbours first, takes the excess back.
 SLACK = 1.25
@@ -40,21 +40,23 @@ def _per_link(state: DataFrame, members: DataFrame, shards: int) -> DataFrame:
     return by.select("link", F.array(*[f"c{k}" for k in range(shards)]).alias("counts"))
 
 
-def _neighbours(state: DataFrame, members: DataFrame, shards: int) -> DataFrame:
-    """``state`` with near: members of a document's links by shard, itself included; best: the
-    shard with the most, ties by a hash that neighbours share; lot and links."""
+def _neighbours(state: DataFrame, members: DataFrame, shards: int, number: int = 0) -> DataFrame:
+    """``state`` with near: neighbours by shard over a document's links, and itself once; best: the
+    shard with the most, ties by a hash that members of a link share and that changes with the
+    round ``number``, so that two neighbours don't swap places for ever; lot and links."""
     sums = members.join(_per_link(state, members, shards), "link").groupBy("id").agg(
         *[F.sum(F.col("counts")[k]).alias(f"n{k}") for k in range(shards)],
         F.count(F.lit(1)).alias("links"),
         F.min("link").alias("first"),
     )
     rows = state.join(sums, "id", "left")
-    near = F.array(*[F.coalesce(F.col(f"n{k}"), F.lit(0)) for k in range(shards)])
+    own = lambda k: F.when(F.col("shard") == k, F.lit(1) - F.coalesce("links", F.lit(0))).otherwise(0)
+    near = F.array(*[F.coalesce(F.col(f"n{k}"), F.lit(0)) + own(k) for k in range(shards)])
     rows = rows.select(
         "id", "shard", near.alias("near"), F.coalesce("links", F.lit(0)).alias("links"),
         F.xxhash64(F.coalesce("first", F.col("id").cast("string"))).alias("seed"),
     )
-    best = F.expr("array_max(transform(near, (n, k) -> struct(n AS n, xxhash64(seed, k) AS tie, k AS k))).k")
+    best = F.expr(f"array_max(transform(near, (n, k) -> struct(n AS n, xxhash64(seed, {number}, k) AS tie, k AS k))).k")
     return rows.select(
         "id", "shard", "near", "links",
         F.when(F.col("links") > 0, best).otherwise(F.col("shard")).alias("best"),
@@ -81,7 +83,7 @@ def propagate(members: DataFrame, ids: DataFrame, shards: int, rounds: int = ROU
     start = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(shards)).cast("int")
     state = stored(ids.select("id", start.alias("shard")), "labels-0")
     for number in range(1, rounds + 1):
-        wishes = _neighbours(state, members, shards).select("id", "shard", "best", "lot")
+        wishes = _neighbours(state, members, shards, number).select("id", "shard", "best", "lot")
         wishes = stored(wishes, f"wishes-{number}")
         held, wish = [0] * shards, {}
         for s, t, n in wishes.groupBy("shard", "best").count().collect():  # shards x shards rows
@@ -97,7 +99,7 @@ def propagate(members: DataFrame, ids: DataFrame, shards: int, rounds: int = ROU
         moved = F.when(F.col("lot") < allowed * _LOTS, F.col("best")).otherwise(F.col("shard"))
         state = stored(wishes.select("id", moved.cast("int").alias("shard")), f"labels-{number}")
     near = _neighbours(state, members, shards)
-    return near.select("id", "shard", (F.col("near")[F.col("shard")] - F.col("links")).alias("cohesion"), "lot")
+    return near.select("id", "shard", (F.col("near")[F.col("shard")] - 1).alias("cohesion"), "lot")
 
 
 def numbered(rows: DataFrame, within: str, order: list[str], name: str) -> DataFrame:
