@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiumlake.llm import byte_bpe, decontaminate, license_scan, pu_quality, quality_rules, sharding, url_filter, warc
+from premiumlake.llm import byte_bpe, decontaminate, jaccard_join, license_scan, pu_quality, quality_rules, sharding, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -102,6 +102,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *quality_rules.ADDED)
 
 
+@register("op8_jaccard_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("digest")
+
+
 @register("op9_pu_quality")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
