@@ -299,12 +299,12 @@ def find_links(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFra
 
 
 def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, class_id, n_links, n_copies, text_links, digest) for every row of ``docs``.
+    """(id_col, class_id, n_links, n_copies, text_links, class_no, digest) for every row of ``docs``.
 
     ``class_id``: the lowest id of the documents that are connected by links (null if all their ids
     are). ``n_links``: the other documents whose texts have a similarity of ``threshold`` or more,
     copies included; ``n_copies`` of them are equal texts, ``text_links`` is the number of different
-    texts among the rest. ``digest`` identifies a text.
+    texts among the rest. ``digest`` identifies a text, ``class_no`` a class also without ids.
 
     Words are runs of bytes other than white space. Null texts are empty ones; texts without words
     are linked to their copies only; rows that repeat are copies of each other; null ids are
@@ -323,6 +323,7 @@ def near_duplicates(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id"
         (F.coalesce("docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         (F.col("copies") - 1).alias("n_copies"),
         F.coalesce("texts", F.lit(0)).alias("text_links"),
+        F.col("root").alias("class_no"),
     )
     found = rows.select("id", "digest").join(texts, "digest")
-    return found.select(F.col("id").alias(id_col), "class_id", "n_links", "n_copies", "text_links", "digest")
+    return found.select(F.col("id").alias(id_col), "class_id", "n_links", "n_copies", "text_links", "class_no", "digest")

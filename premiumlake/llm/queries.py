@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiumlake.llm import byte_bpe, decontaminate, jaccard_join, license_scan, pu_quality, quality_rules, sharding, url_filter, warc
+from premiumlake.llm import byte_bpe, decontaminate, jaccard_join, license_scan, pu_quality, quality_rules, sharding, suffix_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -102,9 +102,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *quality_rules.ADDED)
 
 
+@register("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    texts = suffix_dedup.with_counts(suffix_dedup.kept_texts(docs))
+    texts = texts.select("key", "lowest", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return suffix_dedup.per_document(docs, suffix_dedup.stored(texts, "kept"), "kept_sha256", nothing)
+
+
 @register("op8_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("digest")
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("digest", "class_no")
 
 
 @register("op9_pu_quality")
