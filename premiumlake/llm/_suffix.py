@@ -78,29 +78,37 @@ def _induce_buckets(s: np.ndarray, kind: np.ndarray, lms: np.ndarray, size: np.n
 def _induce_elements(s: np.ndarray, kind: np.ndarray, lms: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The same, an element at a time, for large alphabets."""
     n = len(s)
-    text, is_s, out = s.tolist(), kind.tolist(), [-1] * n
-    tail = np.cumsum(size).tolist()
-    head = (np.cumsum(size) - size).tolist()
-    for p in reversed(lms.tolist()):
-        c = text[p]
-        tail[c] -= 1
-        out[tail[c]] = p
-    c = text[n - 1]
+    # of each position, the character before it if that is of the wanted type, else -1; the
+    # entry for position -1 (not yet known) is the last
+    before = np.r_[-1, s[:-1].astype(np.int64), -1]
+    before_l = np.where(np.r_[False, ~kind[:-1], False], before, -1).tolist()
+    before_s = np.where(np.r_[False, kind[:-1], False], before, -1).tolist()
+    end = np.cumsum(size)
+    order = np.argsort(s[lms], kind="stable")
+    char = s[lms][order]
+    count = np.bincount(char, minlength=len(size))
+    start = np.full(n, -1, np.int64)
+    start[end[char] - count[char] + np.arange(len(lms)) - (np.cumsum(count) - count)[char]] = lms[order]
+    head = (end - size).tolist()
+    out = start.tolist()
+    c = int(s[n - 1])
     out[head[c]] = n - 1
     head[c] += 1
     for k in range(n):
-        p = out[k] - 1
-        if p >= 0 and not is_s[p]:
-            c = text[p]
-            out[head[c]] = p
-            head[c] += 1
-    tail = np.cumsum(size).tolist()
+        p = out[k]
+        c = before_l[p]
+        if c >= 0:
+            at = head[c]
+            out[at] = p - 1
+            head[c] = at + 1
+    tail = end.tolist()
     for k in range(n - 1, -1, -1):
-        p = out[k] - 1
-        if p >= 0 and is_s[p]:
-            c = text[p]
-            tail[c] -= 1
-            out[tail[c]] = p
+        p = out[k]
+        c = before_s[p]
+        if c >= 0:
+            at = tail[c] - 1
+            out[at] = p - 1
+            tail[c] = at
     return np.array(out, np.int64)
 
 

@@ -196,13 +196,20 @@ def _mark_by_suffix_arrays(candidates: DataFrame, rule: Repeats) -> DataFrame:
         for table in whole_groups(batches, ["seed"], rule.job_bytes):
             data, offsets = _text.buffers(table.column("bytes").combine_chunks())
             lowest, windows, begin, key = (table.column(c).to_numpy() for c in ("lowest", "windows", "start", "key"))
-            # equal stretches are sorted once, for the smallest of their documents
+            # equal stretches are sorted once, for the smallest of their documents; a seed that has
+            # one stretch only needs no sorting: all its windows are that document's
             code = _text.span_hashes(data, offsets[:-1], offsets[1:])
             _, sample, of = np.unique(code, return_index=True, return_inverse=True)
             smallest = np.full(len(sample), LAST, np.int64)
             np.minimum.at(smallest, of, lowest)
-            size = np.diff(offsets)[sample]
-            least = least_owners(data[_ranges(offsets[sample], size)], np.r_[0, np.cumsum(size)], windows[sample], smallest, rule)
+            _, shard, variants = np.unique(table.column("seed").to_numpy()[sample], return_inverse=True, return_counts=True)
+            several = variants[shard] > 1
+            least = np.repeat(smallest, windows[sample])
+            if several.any():
+                some = sample[several]
+                size = np.diff(offsets)[some]
+                ends = np.r_[0, np.cumsum(size)]
+                least[np.repeat(several, windows[sample])] = least_owners(data[_ranges(offsets[some], size)], ends, windows[some], smallest[several], rule)
             at = np.cumsum(windows[sample]) - windows[sample]
             marked = least[_ranges(at[of], windows)] < np.repeat(lowest, windows)
             row = np.repeat(np.arange(len(key)), windows)
