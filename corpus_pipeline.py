@@ -8,14 +8,35 @@ first stage. ``n_chars`` follows the text where a stage changes it.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from premiumlake.llm import byte_bpe, decontaminate, jaccard_join, quality_rules, suffix_dedup
-from premiumlake.llm._store import stored
+from premiumlake.llm._store import drop_written, release_shuffles, stored, written
 from premiumlake.llm.queries import rank_file, table, trusted_labels
 
 
+_scratch = [0, 0]
+
+
+def _stage(function):
+    """A stage that removes what the stage before left in the shared folder."""
+
+    @wraps(function)
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_written(*_scratch)
+        release_shuffles(spark)
+        _scratch[0] = written()
+        try:
+            return function(spark, docs, sf_dir)
+        finally:
+            _scratch[1] = written()
+
+    return call
+
+
 def _digest() -> Column:
     return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
 
@@ -25,6 +46,7 @@ def _row_key(digest: Column) -> Column:
     return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), digest)
 
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio."""
     rows = docs.select("doc_id", "text", F.struct("*").alias("row"))
@@ -32,6 +54,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("kept").select("row.*")
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the one with the smallest id (null ids last)."""
     found = jaccard_join.near_duplicates(docs)
@@ -42,6 +65,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return marked.join(keys, "__key").dropDuplicates(["__key"]).select(*docs.columns)
 
 
+@_stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what documents with smaller ids hold too; a document of which nothing is left
     goes."""
@@ -57,6 +81,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return rows.select(*docs.columns)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     items = decontaminate.question_and_answer(table(spark, sf_dir, "benchmark"))
@@ -65,6 +90,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return marked.join(leaks, "__key", "left_anti").select(*docs.columns)
 
 
+@_stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): the ids of every document, and the digest of the
     bytes that they decode to."""

@@ -8,6 +8,7 @@ driver's interpreter ends.
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,17 +27,33 @@ def folder(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back."""
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     path = folder(spark, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df, writer
+    release_shuffles(spark)
+    return spark.read.schema(schema).parquet(path)
 
 
-def drop_written() -> None:
-    """Remove the tables written so far (results that still read them become unreadable)."""
-    while _written:
-        spark, path = _written.pop()
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that nothing refers to any more; they would stay
+    on the executors' disks until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def written() -> int:
+    """How many folders were made so far; a mark for ``drop_written``."""
+    return len(_written)
+
+
+def drop_written(start: int = 0, end: int | None = None) -> None:
+    """Remove the tables written between two marks; results that still read them become
+    unreadable."""
+    removed = _written[start:end]
+    _written[start:end] = []
+    for spark, path in removed:
         try:
             jvm = spark.sparkContext._jvm
             target = jvm.org.apache.hadoop.fs.Path(path)

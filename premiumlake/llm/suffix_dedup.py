@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from premiumlake.llm import _text
 from premiumlake.llm._groups import whole_groups
-from premiumlake.llm._store import folder, stored
+from premiumlake.llm._store import folder, release_shuffles, stored
 from premiumlake.llm._suffix import common_prefixes, suffix_array
 
 LAST = (1 << 63) - 1
@@ -115,6 +115,8 @@ def _distinct_texts(docs: DataFrame, rule: Repeats) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = texts.write.bucketBy(buckets, "key").option("path", folder(spark, "distinct")).option("compression", "zstd")
     writer.saveAsTable(name)
+    del texts, writer
+    release_shuffles(spark)
     return spark.table(name)
 
 
@@ -246,7 +248,7 @@ def kept_texts(
     goes only if all its bytes do, so that what is left is text again."""
     rows = _keyed(docs, id_col, text_col)
     texts = _distinct_texts(rows, rule)
-    shared = _shared_seeds(texts, rule)
+    shared = stored(_shared_seeds(texts, rule), "shared")
     candidates = stored(_candidates(texts, shared, rule), "candidates", partition_by="hot")
     marks = _mark_by_suffix_arrays(candidates, rule).unionByName(_mark_by_rows(candidates, rule))
     spans = marks.groupBy("key").agg(F.collect_list(F.struct("first", "after")).alias("marks"))
