@@ -4,18 +4,24 @@ table-readiness gate.
 A first-keyword test (SELECT / WITH) is not enough on Spark: ``WITH x AS (…) INSERT INTO t …``
 passes it and ``spark.sql`` runs commands eagerly. Instead the text is wrapped as the body of a
 subquery, ``SELECT * FROM (\\n<sql>\\n)``, which only a query can be: INSERT, DROP, multiple
-statements and WITH…INSERT fail at parse time, before anything runs. The cap is always applied
-as ``limit(n)`` on the DataFrame, whatever the text contains.
+statements and WITH…INSERT fail at parse time, before anything runs. A cap is applied as
+``limit(n)`` on the DataFrame, whatever the text contains. Calls of JVM methods and relations
+that name a path are refused.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from premiumlake import reference_values as rv
+
+# Expressions that run arbitrary JVM methods, as an analysed plan names them.
+_REFUSED = re.compile(r"(?i)\b(java_method|reflect|try_reflect)\(")
+# format.`path`: a file read in place of a catalog table.
+_PATH_RELATION = re.compile(r"(?i)\b(parquet|orc|csv|json|text|xml|avro|binaryfile|delta)\s*\.\s*`[^`]*`")
 
 
 def _wrap(sql: str) -> str:
@@ -29,16 +35,37 @@ def validate_select(spark: SparkSession, sql: str, args: Mapping | Sequence | No
     """(True, None) when ``sql`` is a query that analyses against the catalog, else (False,
     error text). Nothing is executed: parsing and analysis only."""
     try:
-        spark.sql(_wrap(sql), args=args).schema  # analysis is eager; execution is not
+        plan = spark.sql(_wrap(sql), args=args)._jdf.queryExecution().analyzed().toString()  # analysed, not run
+        if found := _REFUSED.search(plan):
+            return False, f"not allowed in a read-only query: {found.group(0)}"
+        if found := _PATH_RELATION.search(sql):
+            return False, f"not allowed in a read-only query: {found.group(0)}"
         return True, None
     except Exception as exc:  # noqa: BLE001 - the error text is the result
-        return False, str(exc).strip().splitlines()[0]
+        return False, str(exc).strip()
 
 
 @dataclass
 class SelectResult:
+    """``df`` holds the rows (lazy); ``columns``, ``row_count`` and ``truncated`` (rows beyond the
+    caller's limit exist) describe them, the last two by a job each."""
+
     df: DataFrame | None
     error: str | None
+    limit: int | None = None
+    whole: DataFrame | None = None
+
+    @property
+    def columns(self) -> list[str]:
+        return self.df.columns if self.df is not None else []
+
+    @property
+    def row_count(self) -> int:
+        return self.df.count() if self.df is not None else 0
+
+    @property
+    def truncated(self) -> bool:
+        return self.limit is not None and self.whole is not None and not self.whole.offset(self.limit).isEmpty()
 
     @property
     def ok(self) -> bool:
@@ -46,13 +73,15 @@ class SelectResult:
 
 
 def run_select(
-    spark: SparkSession, sql: str, limit: int = rv.DEFAULT_ROW_CAP, args: Mapping | Sequence | None = None
+    spark: SparkSession, sql: str, limit: int | None = None, args: Mapping | Sequence | None = None
 ) -> SelectResult:
-    """Validated read-only query capped at ``limit`` rows (lazy). Errors come back as values."""
+    """Validated read-only query (lazy), cut to ``limit`` rows only where the caller asks for it.
+    Errors come back as values."""
     ok, err = validate_select(spark, sql, args)
     if not ok:
         return SelectResult(None, err)
-    return SelectResult(spark.sql(_wrap(sql), args=args).limit(limit), None)
+    whole = spark.sql(_wrap(sql), args=args)
+    return SelectResult(whole if limit is None else whole.limit(limit), None, limit, whole)
 
 
 def table_ready(spark: SparkSession, name: str) -> bool:

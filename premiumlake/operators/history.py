@@ -70,9 +70,11 @@ def scd2_snapshot(
     if history is None:
         return opened(src)
     closed_before = history.where(~F.col(IS_CURRENT)).select(*cols, VALID_FROM, VALID_TO, IS_CURRENT)
-    open_now = history.where(F.col(IS_CURRENT))
-    j = open_now.alias("h").join(src.alias("s"), F.col(f"h.{key}") == F.col(f"s.{key}"), "full_outer")
-    h_present, s_present = F.col(f"h.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
+    # markers tell which side a joined row has, also where the key itself is NULL
+    open_now = history.where(F.col(IS_CURRENT)).withColumn("_in_history", F.lit(True))
+    src = src.withColumn("_in_source", F.lit(True))
+    j = open_now.alias("h").join(src.alias("s"), F.col(f"h.{key}").eqNullSafe(F.col(f"s.{key}")), "full_outer")
+    h_present, s_present = F.col("h._in_history").isNotNull(), F.col("s._in_source").isNotNull()
     changed = h_present & s_present & _changed(check_cols)
     close = changed | ((h_present & ~s_present) if close_deletes else F.lit(False))
     opens = changed | (s_present & ~h_present)
@@ -94,8 +96,9 @@ def scd2_snapshot(
         version("h", F.col(f"h.{VALID_FROM}"), F.when(close, ts).otherwise(F.col(f"h.{VALID_TO}")), ~close),
     )
     opened_version = F.when(opens, version("s", ts, F.lit(None), F.lit(True)))
-    versions = F.filter(F.array(kept, opened_version), lambda v: v.isNotNull())
-    return closed_before.unionByName(j.select(F.inline(versions)))
+    # a version that a row lacks is a NULL struct, whose fields are NULL too
+    versions = j.select(F.inline(F.array(kept, opened_version))).where(F.col(IS_CURRENT).isNotNull())
+    return closed_before.unionByName(versions)
 
 
 def sync_columns(target: DataFrame, batch: DataFrame) -> DataFrame:

@@ -150,32 +150,39 @@ def build_all(
     return written
 
 
-CLOSED_RUN = "_closed_run"  # partition column: NULL for open versions, else the closing run
+CLOSED_RUN = "_closed_run"  # partition column: the closing run, or OPEN for open versions
+OPEN = "open"
 
 
 def snapshot_run(spark: SparkSession, name: str, silver: DataFrame, at: dt.datetime, buckets: int) -> None:
     """One SCD2 run of the silver snapshot, reading and writing only what a run can change.
 
-    The table is partitioned on ``_closed_run``: open versions live in the NULL partition,
+    The table is partitioned on ``_closed_run``: open versions live in the partition ``open``,
     versions closed by a run in that run's partition, and all of it is bucketed on the key.
     A run joins the open partition with silver (no exchange: both sides bucketed alike), then
     one dynamic-overwrite write replaces the open partition and creates this run's partition.
-    Closed history is never read or rewritten, and a retried run replaces the same two
-    partitions (idempotent).
+    History that other runs closed is never read or rewritten. A run that is repeated with the
+    same ``at`` also reads the versions it closed before and keeps them, so a corrected source
+    closes more without losing those; versions that opened at ``at`` and are replaced by the
+    repeat have no duration and go. When no version stays open, the open partition is dropped:
+    a dynamic overwrite leaves partitions without rows as they are.
     """
     current = silver.select(*SNAPSHOT_COLUMNS)
     keys = (buckets, ["transaction_id"])
     if not spark.catalog.tableExists(name):
         first = scd2_snapshot(None, current, "transaction_id", ["status", "premium_amount"], at)
-        publish(spark, first.withColumn(CLOSED_RUN, F.lit(None).cast("string")), name, partition_by=[CLOSED_RUN], bucket_by=keys)
+        publish(spark, first.withColumn(CLOSED_RUN, F.lit(OPEN)), name, partition_by=[CLOSED_RUN], bucket_by=keys)
         return
-    open_versions = spark.table(name).where(F.col(CLOSED_RUN).isNull()).drop(CLOSED_RUN)
-    out = scd2_snapshot(open_versions, current, "transaction_id", ["status", "premium_amount"], at).withColumn(
-        CLOSED_RUN, F.when(~F.col(IS_CURRENT), F.date_format(F.col("valid_to"), "yyyyMMddHHmmss"))
-    )
+    run = at.strftime("%Y%m%d%H%M%S") + (f"{at.microsecond:06d}" if at.microsecond else "")
+    history = spark.table(name).where(F.col(CLOSED_RUN).isin(OPEN, run)).drop(CLOSED_RUN)
+    out = scd2_snapshot(history, current, "transaction_id", ["status", "premium_amount"], at)
+    out = out.where(F.col(IS_CURRENT) | (F.col("valid_from") < F.col("valid_to")))
+    out = out.withColumn(CLOSED_RUN, F.when(F.col(IS_CURRENT), F.lit(OPEN)).otherwise(F.lit(run)))
     checkpoint_dir(spark)
     out = out.repartition(buckets, "transaction_id").checkpoint(eager=True)  # reads the open partition
     overwrite_partitions(spark, out, name)
+    if out.where(F.col(IS_CURRENT)).isEmpty():
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({CLOSED_RUN} = '{OPEN}')")
 
 
 def current_snapshot(spark: SparkSession, prefix: str = "") -> DataFrame:

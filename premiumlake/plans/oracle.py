@@ -456,7 +456,7 @@ FROM snap_b1 WHERE CAST(transaction_id AS BIGINT) % 11 <> 0
 UNION ALL
 SELECT 'new-' || transaction_id, transaction_date, transaction_month, premium_amount, premium_currency, party, status,
   status_raw, _status_normalized, _dq_flags, _is_clean
-FROM (SELECT * FROM snap_b1 ORDER BY CAST(transaction_id AS BIGINT) LIMIT 10) f""",
+FROM snap_b1 WHERE CAST(transaction_id AS BIGINT) % 101 = 0""",
     "snap_b1",
 )
 

@@ -29,8 +29,8 @@ SOURCES = {
     for s in (
         Source(
             "raw_transactions",
-            "Premium transaction records from the billing system, one row per charge event; every "
-            "column lands as text (timestamps as M/D/YYYY H:MM:SS).",
+            "Charges and refunds as the billing export delivers them; all columns are text, and times "
+            "are written as month/day/year.",
             "csv",
             schemas.RAW_TRANSACTIONS,
         ),

@@ -192,7 +192,7 @@ def scd2_second_batch(snapshot_rows: DataFrame) -> DataFrame:
         ]
     )
     newcomers = (
-        snapshot_rows.orderBy(k).limit(10).withColumn("transaction_id", F.concat(F.lit("new-"), F.col("transaction_id")))
+        snapshot_rows.where(k % 101 == 0).withColumn("transaction_id", F.concat(F.lit("new-"), F.col("transaction_id")))
     )
     return changed.unionByName(newcomers)
 

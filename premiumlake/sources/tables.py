@@ -53,16 +53,16 @@ def merge_partitions(
     keys: Sequence[str],
     partition_col: str,
     prepare=None,
-    max_partitions: int = 10_000,
 ) -> None:
     """Delete+insert ``batch`` into the table partitioned by ``partition_col``, rewriting only
     the partitions the batch touches.
 
     ``partition_col`` must be a function of ``keys`` (the daily mart: month of the activity
     date), so a target row whose key is in the batch can only live in a partition the batch
-    touches; rows elsewhere are neither read nor rewritten. The touched partition values are
-    partition metadata, capped at ``max_partitions``; beyond the cap, or when the batch changes
-    the schema, the whole table is merged and rewritten instead. ``prepare`` (e.g. a range
+    touches; rows elsewhere are neither read nor rewritten. The target is semi-joined to the
+    batch's distinct partition values (dynamic partition pruning at any number of them), the
+    partition of NULL values included. A batch that changes the schema has the whole table
+    merged and rewritten. ``prepare`` (e.g. a range
     re-partitioning) is applied to the rows before they are written.
     """
     from premiumlake.operators.history import delete_insert
@@ -73,13 +73,16 @@ def merge_partitions(
         return
     target = spark.table(name)
     same_schema = {f.name: f.dataType for f in target.schema.fields} == {f.name: f.dataType for f in batch.schema.fields}
-    values = [r[0] for r in batch.select(partition_col).distinct().limit(max_partitions + 1).collect()]
-    if not same_schema or len(values) > max_partitions:
+    if not same_schema:
         merged = delete_insert(target, batch, keys, sync=True)
         publish(spark, prepare(merged), name, partition_by=[partition_col], reads_self=True)
         return
-    touched = target.where(F.col(partition_col).isin(values))
     checkpoint_dir(spark)
+    batch = batch.checkpoint(eager=True)  # read three times below, produced once
+    values = batch.select(partition_col)
+    touched = target.join(values.distinct(), partition_col, "left_semi").select(*target.columns)
+    if not values.where(F.col(partition_col).isNull()).isEmpty():
+        touched = touched.unionByName(target.where(F.col(partition_col).isNull()))
     merged = prepare(delete_insert(touched, batch, keys, sync=False)).checkpoint(eager=True)
     mode_key = "spark.sql.sources.partitionOverwriteMode"
     previous = spark.conf.get(mode_key)

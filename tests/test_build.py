@@ -202,6 +202,7 @@ def test_snapshot_runs_touch_only_open_and_new_partitions(spark):
     before = content()
     B.snapshot_run(spark, name, rows2, AT2, 4)  # a retried run: same input, same timestamp
     assert content() == before
+    closed_files = sorted(os.listdir(closed_dir))  # a repeat writes its own run's partition again
     B.snapshot_run(spark, name, rows2, dt.datetime(2025, 3, 1), 4)  # nothing changed since
     assert content() == before and sorted(os.listdir(closed_dir)) == closed_files
 
@@ -215,3 +216,72 @@ def test_parquet_policy_source(spark):
     back = read_source(spark, "policies", folder)
     assert back.schema.simpleString() == schemas.POLICIES.simpleString()
     assert back.count() == 170 and back.where(F.col("churned_at").isNull()).count() == 8  # FIXTURES: 170 policies, 8 open
+
+
+def _silver_rows(spark, rows):
+    from premiumlake.plans.build import SNAPSHOT_COLUMNS
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(rows, "transaction_id string, status string, premium_amount decimal(18,2)")
+    return df.select(*[c if c in df.columns else F.lit(None).cast("string").alias(c) for c in SNAPSHOT_COLUMNS])
+
+
+def test_snapshot_rerun_and_empty_source_keep_history(spark):
+    import datetime as dt
+    from decimal import Decimal as D
+
+    from premiumlake.plans.build import snapshot_run
+
+    name = "snap_rerun"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    t1, t2, t3 = (dt.datetime(2025, m, 1) for m in (1, 2, 3))
+    state = lambda: sorted((r.transaction_id, r.status, r.valid_from.month, r.valid_to and r.valid_to.month) for r in spark.table(name).collect())
+    snapshot_run(spark, name, _silver_rows(spark, [("a", "x", D(1)), ("b", "x", D(1))]), t1, 4)
+    snapshot_run(spark, name, _silver_rows(spark, [("a", "y", D(1)), ("b", "x", D(1))]), t2, 4)
+    assert state() == [("a", "x", 1, 2), ("a", "y", 2, None), ("b", "x", 1, None)]
+    snapshot_run(spark, name, _silver_rows(spark, [("a", "z", D(1)), ("b", "y", D(1))]), t2, 4)  # corrected, same run
+    assert state() == [("a", "x", 1, 2), ("a", "z", 2, None), ("b", "x", 1, 2), ("b", "y", 2, None)]
+    snapshot_run(spark, name, _silver_rows(spark, []), t3, 4)
+    assert state() == [("a", "x", 1, 2), ("a", "z", 2, 3), ("b", "x", 1, 2), ("b", "y", 2, 3)]
+
+
+def test_snapshot_keeps_a_null_key(spark):
+    import datetime as dt
+    from decimal import Decimal as D
+
+    from premiumlake.operators.history import scd2_snapshot
+
+    rows = _silver_rows(spark, [("a", "x", D(1)), (None, "x", D(1))])
+    first = scd2_snapshot(None, rows, "transaction_id", ["status"], dt.datetime(2025, 1, 1))
+    assert scd2_snapshot(first, rows, "transaction_id", ["status"], dt.datetime(2025, 2, 1)).count() == 2
+
+
+def test_merge_keeps_rows_of_the_null_partition(spark):
+    from premiumlake.sources.tables import merge_partitions
+
+    name = "merge_nulls"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    frame = lambda rows: spark.createDataFrame(rows, "id int, v string, month string")
+    merge_partitions(spark, name, frame([(1, "a", None), (2, "a", "2025-01"), (3, "a", "2025-02")]), ["id"], "month")
+    merge_partitions(spark, name, frame([(4, "b", None), (2, "b", "2025-01")]), ["id"], "month")
+    assert sorted((r.id, r.v) for r in spark.table(name).collect()) == [(1, "a"), (2, "b"), (3, "a"), (4, "b")]
+
+
+def test_guard_refuses_jvm_calls_and_paths(spark):
+    from premiumlake.operators import guarded_sql as G
+
+    for sql in ("SELECT java_method('java.lang.System', 'getProperty', 'user.dir')", "SELECT * FROM text.`/etc/hostname`", "SELECT reflect('java.lang.Math', 'max', 1, 2)"):
+        assert not G.run_select(spark, sql).ok
+    whole = G.run_select(spark, "SELECT id FROM range(250)")
+    assert (whole.columns, whole.row_count, whole.truncated) == (["id"], 250, False)
+    cut = G.run_select(spark, "SELECT id FROM range(250)", limit=100)
+    assert (cut.row_count, cut.truncated) == (100, True)
+
+
+def test_filters_on_typed_keys(spark):
+    from premiumlake.operators.reports import apply_filters
+
+    df = spark.sql("SELECT date'2025-01-01' AS activity_date, 'x' AS party")
+    assert apply_filters(df, ["activity_date"], {"activity_date": "foo"}).count() == 0
+    assert apply_filters(df, ["activity_date"], {"activity_date": "2025-01-01"}).count() == 1
+    assert apply_filters(df, ["party"], {"party": "y\n"}).count() == 1
