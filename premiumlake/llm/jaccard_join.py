@@ -20,7 +20,6 @@ and less above, or if pruned wrongly, at most ``tolerance`` a step.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -94,7 +93,6 @@ def band_keys(values: np.ndarray, join: Join) -> np.ndarray:
     return _text.mix(packed ^ _text.mix(np.arange(1, join.bands + 1, dtype=np.uint64))[None, :])
 
 
-@lru_cache
 def least_matches(threshold: float, step: int, values: int, tolerance: float) -> list[int]:
     """For n = step, 2 step, ... compared values: the fewest matches with which the posterior
     probability of reaching the threshold is still at least the tolerance."""
@@ -110,15 +108,14 @@ def least_matches(threshold: float, step: int, values: int, tolerance: float) ->
     return out
 
 
-def surviving_pairs(values: np.ndarray, group: np.ndarray, block: np.ndarray, split: np.ndarray, band: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
+def surviving_pairs(values: np.ndarray, group: np.ndarray, block: np.ndarray, split: np.ndarray, band: np.ndarray, join: Join, need: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (a, b) of rows of one group whose first common band is the group's and that no step
     of the comparison drops. Rows are sorted by group; in a ``split`` group (two blocks) only
-    pairs across blocks count."""
+    pairs across blocks count. ``need``: ``least_matches``."""
     first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
     size = np.diff(np.r_[first, len(group)])
     last = np.repeat(first + size, size)
     later = last - np.arange(len(group)) - 1
-    need = least_matches(join.threshold, join.step, join.values, join.tolerance)
     total = np.cumsum(later)
     found, low = [], 0
     while low < len(group):  # about a million pairs at a time
@@ -218,12 +215,13 @@ def find_links(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFra
     """For (id, digest, text) rows: the distinct texts (``_sign``), (text_id, texts, docs) with the
     number of other texts and of their documents that each text links to, and (a, b) edges of text
     ids that span every group of links."""
+    need = least_matches(join.threshold, join.step, join.values, join.tolerance)
     signed = _sign(docs, join)
     units = stored(_units(signed, join), "units")
 
     def prune(batches):
         for table in whole_groups(batches, _UNIT, 8 << 20):
-            a, b = surviving_pairs(*_arrays(table, join), join)
+            a, b = surviving_pairs(*_arrays(table, join), join, need)
             some = pa.array(np.unique(np.concatenate([a, b])))
             if len(some):
                 yield from table.take(some).combine_chunks().to_batches()
@@ -236,7 +234,7 @@ def find_links(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFra
     def verify(batches):
         for table in whole_groups(batches, _UNIT, 16 << 20):
             arrays = _arrays(table, join)
-            a, b = surviving_pairs(*arrays, join)
+            a, b = surviving_pairs(*arrays, join, need)
             if not len(a):
                 continue
             data, offsets = _text.buffers(table.column("text").combine_chunks())
