@@ -95,7 +95,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): the ids of every document, and the digest of the
     bytes that they decode to."""
     path, pattern = rank_file()
-    both = byte_bpe.decode(byte_bpe.encode(docs, path, pattern), path)
+    both = byte_bpe.round_trip(docs, path, pattern)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 #: Bytes between words: space, tab, line feed, vertical tab, form feed, carriage return.
 SEPARATORS = np.zeros(256, bool)

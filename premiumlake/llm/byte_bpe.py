@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import base64
 import struct
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,84 +109,95 @@ def _white_space(pattern: str) -> str:
     return pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
 
 
-def encode(
-    docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+def _encoded(batches: Iterable[pa.RecordBatch], encoder: Encoder, pattern: str) -> Iterator[pa.RecordBatch]:
+    """(id, ids) of batches of (id, text)."""
+    import regex
+
+    found = regex.compile(_white_space(pattern)).findall
+    for part in _text.chunks(batches, "text", 1 << 19):
+        sizes, flat = [], []
+        for text in part.column("text").to_pylist():
+            ids = np.fromiter(chain.from_iterable(encoder.text(found(text))), np.int32) if text else np.zeros(0, np.int32)
+            sizes.append(len(ids))
+            flat.append(ids)
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        values = np.concatenate(flat)
+        yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["id", "ids"])
+
+
+def _piece_bytes(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, bytes): the bytes of the piece of each id, its characters mapped back."""
+    characters = byte_characters()
+    back = {c: b for b, c in enumerate(characters)}
+    pieces = ["".join(characters[b] for b in token) for token, _ in sorted(ranks.items(), key=lambda x: x[1])]
+    size = np.array([len(p) for p in pieces], np.int64)
+    return np.concatenate([[0], np.cumsum(size)]), np.frombuffer(bytes(back[c] for p in pieces for c in p), np.uint8)
+
+
+def _decoded(batches: Iterable[pa.RecordBatch], starts: np.ndarray, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(id, ids, decoded) of batches of (id, ids)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lists = batch.column("ids")
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        low = 0
+        while low < len(sizes):  # rows of about half a million ids at a time
+            high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + (1 << 19), "right")))
+            part = lists.slice(low, high - low)
+            ids = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            if len(ids) and (ids.min() < 0 or ids.max() >= len(starts) - 1):
+                raise ValueError("an id has no piece")
+            length = starts[ids + 1] - starts[ids]
+            to = np.concatenate([[0], np.cumsum(length)])
+            at = np.arange(to[-1]) + np.repeat(starts[ids] - to[:-1], length)
+            rows = np.concatenate([[0], np.cumsum(sizes[low:high])])
+            decoded = pa.Array.from_buffers(pa.binary(), high - low, [None, pa.py_buffer(to[rows].astype(np.int32)), pa.py_buffer(table[at])])
+            yield pa.RecordBatch.from_arrays([batch.column("id").slice(low, high - low), part, decoded], names=["id", "ids", "decoded"])
+            low = high
+
+
+def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, ids array<int>) per row: each match of ``pattern`` in the whole text encoded
     separately, without special tokens; null and empty texts have no ids. Rows that repeat are
     encoded each; other columns are not read; an empty table gives an empty result."""
     ranks = read_ranks(rank_path)
     shipped = docs.sparkSession.sparkContext.broadcast((serialise_model(ranks), ranks))
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        import regex
-
-        found = regex.compile(_white_space(pattern)).findall
-        encoder = Encoder(*shipped.value)
-        for part in _text.chunks(batches, "text", 1 << 19):
-            sizes, flat = [], []
-            for text in part.column("text").to_pylist():
-                ids = np.fromiter(chain.from_iterable(encoder.text(found(text))), np.int32) if text else np.zeros(0, np.int32)
-                sizes.append(len(ids))
-                flat.append(ids)
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            values = np.concatenate(flat)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["id", "ids"]
-            )
+        yield from _encoded(batches, Encoder(*shipped.value), pattern)
 
+    kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    coded = rows.mapInArrow(run, f"id {kind}, ids array<int>")
-    return coded.select(F.col("id").alias(id_col), "ids")
+    return rows.mapInArrow(run, f"id {kind}, ids array<int>").select(F.col("id").alias(id_col), "ids")
 
 
 def decode(coded: DataFrame, rank_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id_col, ids, decoded binary) per row by the inverse mapping: id to piece, piece's
     characters to bytes. No or null ids decode to no bytes; an id without a piece is an error."""
-    ranks = read_ranks(rank_path)
-    characters = byte_characters()
-    back = {c: b for b, c in enumerate(characters)}
-    pieces = ["".join(characters[b] for b in token) for token, _ in sorted(ranks.items(), key=lambda x: x[1])]
-    size = np.array([len(p) for p in pieces], np.int64)
-    starts = np.concatenate([[0], np.cumsum(size)])
-    table = np.frombuffer(bytes(back[c] for p in pieces for c in p), np.uint8)
-    shipped = coded.sparkSession.sparkContext.broadcast((starts, table))
-    kind = coded.schema[id_col].dataType.simpleString()
+    shipped = coded.sparkSession.sparkContext.broadcast(_piece_bytes(read_ranks(rank_path)))
 
     def run(batches):
-        starts, table = shipped.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = batch.column("ids")
-            sizes = np.array([0 if n is None else n for n in _list_sizes(lists)], np.int64)
-            ends = np.cumsum(sizes)
-            low = 0
-            while low < len(sizes):  # rows of about half a million ids at a time
-                high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + (1 << 19), "right")))
-                part = lists.slice(low, high - low)
-                ids = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                if len(ids) and (ids.min() < 0 or ids.max() >= len(starts) - 1):
-                    raise ValueError("an id has no piece")
-                length = starts[ids + 1] - starts[ids]
-                to = np.concatenate([[0], np.cumsum(length)])
-                at = np.arange(to[-1]) + np.repeat(starts[ids] - to[:-1], length)
-                rows = np.concatenate([[0], np.cumsum(sizes[low:high])])
-                decoded = pa.Array.from_buffers(
-                    pa.binary(), high - low, [None, pa.py_buffer(to[rows].astype(np.int32)), pa.py_buffer(table[at])]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(low, high - low), part, decoded], names=["id", "ids", "decoded"]
-                )
-                low = high
+        yield from _decoded(batches, *shipped.value)
 
+    kind = coded.schema[id_col].dataType.simpleString()
     rows = coded.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
     out = rows.mapInArrow(run, f"id {kind}, ids array<int>, decoded binary")
     return out.select(F.col("id").alias(id_col), "ids", "decoded")
 
 
-def _list_sizes(lists: pa.Array) -> list[int | None]:
-    import pyarrow.compute as pc
+def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, ids, decoded): ``decode`` of ``encode`` in one pass, so that a task needs one Python
+    worker and the ids cross to it once. Nulls, repeats and empty tables as there."""
+    ranks = read_ranks(rank_path)
+    shipped = docs.sparkSession.sparkContext.broadcast((serialise_model(ranks), ranks, *_piece_bytes(ranks)))
 
-    return pc.list_value_length(lists).to_pylist()
+    def run(batches):
+        model, ranks, starts, table = shipped.value
+        yield from _decoded(_encoded(batches, Encoder(model, ranks), pattern), starts, table)
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    out = rows.mapInArrow(run, f"id {kind}, ids array<int>, decoded binary")
+    return out.select(F.col("id").alias(id_col), "ids", "decoded")

@@ -42,8 +42,7 @@ def rank_file() -> tuple[str, str]:
 @register("op1_byte_bpe")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = rank_file()
-    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
-    both = byte_bpe.decode(coded, path)
+    both = byte_bpe.round_trip(table(spark, sf_dir, "documents"), path, pattern)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
