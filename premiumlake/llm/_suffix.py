@@ -2,7 +2,7 @@
 
 Positions are S (their suffix is smaller than the next one) or L; the leftmost S of a run is LMS.
 LMS substrings are sorted by inducing from their first characters and named; if names repeat, the
-string of names is sorted by the same procedure; then L and S suffixes are induced from the sorted
+string of names is sorted by the same procedure (less the names that need none); then L and S suffixes are induced from the sorted
 LMS ones, each in one scan. With a small alphabet a scan goes bucket by bucket over whole arrays;
 the shorter strings of names, whose alphabets are large, are scanned element by element.
 """
@@ -135,11 +135,34 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         name = np.empty(n, np.int64)
         name[order] = np.cumsum(new) - 1
         if not new.all():
-            order = lms[suffix_array(name[lms])]
+            order = lms[_order_of_names(name[lms])]
         lms = order
     return induce(s, kind, lms, size)
 
 
+def _order_of_names(names: np.ndarray) -> np.ndarray:
+    """Starts of the suffixes of a string of names, in order.
+
+    A name that occurs once settles the place of its suffix and ends every comparison that reaches
+    it: only the names that recur, and the single one after each run of them, are sorted further.
+    """
+    count = np.bincount(names)
+    single = count[names] == 1
+    needed = ~single
+    needed[1:] |= ~single[:-1]
+    rest = np.flatnonzero(needed)
+    used = np.zeros(len(count), np.int64)
+    used[names[rest]] = 1
+    sorted_rest = rest[suffix_array((np.cumsum(used) - 1)[names[rest]])]
+    place = (np.cumsum(count) - count)[names[single]]
+    free = np.ones(len(names), bool)
+    free[place] = False
+    out = np.empty(len(names), np.int64)
+    out[place] = np.flatnonzero(single)
+    out[free] = sorted_rest[~single[sorted_rest]]
+    return out
+
+
 def _symbol_hashes(s: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """64-bit hashes of ranges of symbols; the last one, which runs into the end, is unlike others."""
     power, inverse = _text._power(len(s) + 1)
