@@ -8,7 +8,8 @@ that covers it also starts in a document with a smaller id.
 3. The stretches of text that a remaining seed owns (the windows with this seed, a hundred bytes at
    most) meet in the shard of the seed. A shard is cut into suffix array jobs of a bounded size:
    induced sorting and permuted common prefixes group the windows that agree on ``length`` bytes,
-   and the smallest document of each group decides.
+   and the smallest document of each group decides. Stretches that differ from all others close to
+   their seed, on both sides, have no such window and are left out of the sort.
 4. A seed of more than ``hot`` texts is not gathered: its windows are grouped as rows by Spark,
    combined before the shuffle, with the same result.
 5. The marked windows go back to their text, are merged into spans, and removed.
@@ -42,6 +43,7 @@ class Repeats:
     gram: int = 16
     hot: int = 5_000
     job_bytes: int = 1 << 20
+    contexts: int = 4
 
     @property
     def reach(self) -> int:
@@ -49,18 +51,24 @@ class Repeats:
         return self.length - self.gram + 1
 
 
-def window_seeds(data: np.ndarray, offsets: np.ndarray, rule: Repeats) -> tuple[np.ndarray, np.ndarray]:
-    """(seed, start) of every window within a row."""
-    grams, windows = len(data) - rule.gram + 1, len(data) - rule.length + 1
-    if windows <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+def gram_hashes(data: np.ndarray, rule: Repeats) -> np.ndarray:
+    """A hash of the ``gram`` bytes from every position on."""
+    grams = len(data) - rule.gram + 1
     views = np.lib.stride_tricks.sliding_window_view(data, 8)
     hashed = np.zeros(grams, np.uint64)
     for at in range(0, rule.gram, 8):  # eight bytes at a time, the last ones aligned to the gram's end
         at = min(at, rule.gram - 8)
         word = np.ascontiguousarray(views[at : at + grams]).view(np.uint64).ravel()
         hashed = _text.mix(hashed + word)
-    least, width = hashed, 1
+    return hashed
+
+
+def window_seeds(data: np.ndarray, offsets: np.ndarray, rule: Repeats) -> tuple[np.ndarray, np.ndarray]:
+    """(seed, start) of every window within a row."""
+    windows = len(data) - rule.length + 1
+    if windows <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    least, width = gram_hashes(data, rule), 1
     while 2 * width <= rule.reach:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
@@ -88,6 +96,29 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
 
 
+def sharing(data: np.ndarray, offsets: np.ndarray, seed: np.ndarray, rule: Repeats) -> np.ndarray:
+    """Whether a stretch may have a window in common with another one.
+
+    A common window holds the seed's gram at the same place in both, up to ``length - gram`` bytes
+    from its start. These places fall into ``contexts`` ranges; windows whose gram lies in one of
+    them agree on the bytes around it that all windows of the range have. A stretch none of whose
+    contexts recurs shares no window: it need not be sorted.
+    """
+    found = gram_hashes(data, rule)
+    row = np.repeat(np.arange(len(seed)), np.diff(offsets))[: len(found)]
+    at = np.flatnonzero(found == seed.view(np.uint64)[row])
+    row = row[at]
+    may = np.zeros(len(seed), bool)
+    slack = rule.length - rule.gram
+    step = -(-(slack + 1) // rule.contexts)
+    for left in range(0, slack + 1, step):
+        start, end = at - left, at + rule.gram + slack - min(left + step - 1, slack)
+        inside = (start >= offsets[row]) & (end <= offsets[row + 1])
+        _, same, times = np.unique(_text.span_hashes(data, start[inside], end[inside]), return_inverse=True, return_counts=True)
+        may[row[inside][times[same] > 1]] = True
+    return may
+
+
 def least_owners(data: np.ndarray, offsets: np.ndarray, windows: np.ndarray, owner: np.ndarray, rule: Repeats) -> np.ndarray:
     """For each window of each stretch (the first ``windows`` positions of it), the smallest owner
     of an equal window, by the suffix array of all stretches and its common prefixes."""
@@ -198,20 +229,22 @@ def _mark_by_suffix_arrays(candidates: DataFrame, rule: Repeats) -> DataFrame:
         for table in whole_groups(batches, ["seed"], rule.job_bytes):
             data, offsets = _text.buffers(table.column("bytes").combine_chunks())
             lowest, windows, begin, key = (table.column(c).to_numpy() for c in ("lowest", "windows", "start", "key"))
-            # equal stretches are sorted once, for the smallest of their documents; a seed that has
-            # one stretch only needs no sorting: all its windows are that document's
+            # equal stretches are sorted once, for the smallest of their documents; those that share
+            # no window with another need no sorting: all their windows are that document's
             code = _text.span_hashes(data, offsets[:-1], offsets[1:])
             _, sample, of = np.unique(code, return_index=True, return_inverse=True)
             smallest = np.full(len(sample), LAST, np.int64)
             np.minimum.at(smallest, of, lowest)
-            _, shard, variants = np.unique(table.column("seed").to_numpy()[sample], return_inverse=True, return_counts=True)
-            several = variants[shard] > 1
+            size = np.diff(offsets)[sample]
+            ends = np.r_[0, np.cumsum(size)]
+            distinct = data[_ranges(offsets[sample], size)]
+            may = sharing(distinct, ends, table.column("seed").to_numpy()[sample], rule)
             least = np.repeat(smallest, windows[sample])
-            if several.any():
-                some = sample[several]
-                size = np.diff(offsets)[some]
-                ends = np.r_[0, np.cumsum(size)]
-                least[np.repeat(several, windows[sample])] = least_owners(data[_ranges(offsets[some], size)], ends, windows[some], smallest[several], rule)
+            if may.any():
+                some = np.repeat(may, size)
+                least[np.repeat(may, windows[sample])] = least_owners(
+                    distinct[some], np.r_[0, np.cumsum(size[may])], windows[sample][may], smallest[may], rule
+                )
             at = np.cumsum(windows[sample]) - windows[sample]
             marked = least[_ranges(at[of], windows)] < np.repeat(lowest, windows)
             row = np.repeat(np.arange(len(key)), windows)
