@@ -10,9 +10,11 @@ the shuffle. Nothing is collected: reports are DataFrames.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -214,22 +216,22 @@ def _dup_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).count().where(F.col("count") > 1).agg(F.count(F.lit(1)).alias("duplicate_grain_rows"))
 
 
-def suite_monthly(df: DataFrame, parties=rv.PARTIES, tolerance: str = rv.NET_IDENTITY_TOLERANCE) -> dict[str, DataFrame]:
+def _monthly_checks(df: DataFrame, parties=rv.PARTIES, tolerance: str = rv.NET_IDENTITY_TOLERANCE) -> dict[str, Callable[[], DataFrame]]:
     """The monthly mart's named audit queries (each a DataFrame)."""
     nulls = ["party", "month", "premium", "written_premium", "net_premium", "earned_premium"]
     return {
-        "row_count": df.agg(F.count(F.lit(1)).alias("total_rows")),
-        "null_check": df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in nulls]),
-        "uniqueness_check": _dup_groups(df, ["party", "month"]),
-        "invalid_party_values": df.where(~F.col("party").isin(*parties)).groupBy("party").agg(
+        "row_count": lambda: df.agg(F.count(F.lit(1)).alias("total_rows")),
+        "null_check": lambda: df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in nulls]),
+        "uniqueness_check": lambda: _dup_groups(df, ["party", "month"]),
+        "invalid_party_values": lambda: df.where(~F.col("party").isin(*parties)).groupBy("party").agg(
             F.count(F.lit(1)).alias("row_count")
         ),
-        "net_premium_sanity": df.agg(
+        "net_premium_sanity": lambda: df.agg(
             F.count_if(
                 F.abs(F.col("net_premium") - (F.col("written_premium") - F.col("refunded_premium"))) > F.lit(Decimal(tolerance))
             ).alias("rows_where_net_ne_written_minus_refunded")
         ),
-        "summary_by_party": df.groupBy("party")
+        "summary_by_party": lambda: df.groupBy("party")
         .agg(
             F.count(F.lit(1)).alias("months"),
             F.min("month").alias("earliest_month"),
@@ -243,19 +245,19 @@ def suite_monthly(df: DataFrame, parties=rv.PARTIES, tolerance: str = rv.NET_IDE
     }
 
 
-def suite_recon(df: DataFrame, statuses=rv.RECON_STATUSES, top_n: int = rv.TOP_DISCREPANCIES) -> dict[str, DataFrame]:
+def _recon_checks(df: DataFrame, statuses=rv.RECON_STATUSES, top_n: int = rv.TOP_DISCREPANCIES) -> dict[str, Callable[[], DataFrame]]:
     nulls = ["party", "month", "accounting_premium", "finance_premium"]
     null_cols = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in nulls]
     null_cols.append(F.count_if(F.col("reconciliation_status").isNull()).alias("null_status"))
     return {
-        "row_count": df.agg(F.count(F.lit(1)).alias("total_rows")),
-        "null_check": df.agg(*null_cols),
-        "uniqueness_check": _dup_groups(df, ["party", "month"]),
-        "invalid_status_values": df.where(~F.col("reconciliation_status").isin(*statuses))
+        "row_count": lambda: df.agg(F.count(F.lit(1)).alias("total_rows")),
+        "null_check": lambda: df.agg(*null_cols),
+        "uniqueness_check": lambda: _dup_groups(df, ["party", "month"]),
+        "invalid_status_values": lambda: df.where(~F.col("reconciliation_status").isin(*statuses))
         .groupBy("reconciliation_status")
         .agg(F.count(F.lit(1)).alias("row_count")),
-        "status_distribution": status_distribution(df),
-        "top_discrepancies": top_discrepancies(df, top_n),
+        "status_distribution": lambda: status_distribution(df),
+        "top_discrepancies": lambda: top_discrepancies(df, top_n),
     }
 
 
@@ -291,22 +293,26 @@ def top_discrepancies(df: DataFrame, n: int = rv.TOP_DISCREPANCIES) -> DataFrame
     ).orderBy(F.abs(F.col("delta")).desc(), F.col("party"), F.col("month")).limit(n)
 
 
-def suite_activity(df: DataFrame) -> dict[str, DataFrame]:
+def _activity_checks(df: DataFrame) -> dict[str, Callable[[], DataFrame]]:
     nulls = ["user_id", "activity_date", "product_group", "daily_premium"]
     return {
-        "row_count": df.agg(F.count(F.lit(1)).alias("total_rows")),
-        "null_check": df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in nulls]),
-        "uniqueness_check": _dup_groups(df, ["user_id", "activity_date"]),
-        "date_range": df.agg(
-            F.min("activity_date").alias("earliest"),
-            F.max("activity_date").alias("latest"),
-            F.countDistinct("activity_date").alias("distinct_dates"),
-        ),
-        "customer_summary": customer_summary(df),
-        "product_group_breakdown": product_group_breakdown(df),
+        "row_count": lambda: df.agg(F.count(F.lit(1)).alias("total_rows")),
+        "null_check": lambda: df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in nulls]),
+        "uniqueness_check": lambda: _dup_groups(df, ["user_id", "activity_date"]),
+        "date_range": lambda: date_range(df),
+        "customer_summary": lambda: customer_summary(df),
+        "product_group_breakdown": lambda: product_group_breakdown(df),
     }
 
 
+def date_range(df: DataFrame) -> DataFrame:
+    return df.agg(
+        F.min("activity_date").alias("earliest"),
+        F.max("activity_date").alias("latest"),
+        F.count_distinct("activity_date").alias("distinct_dates"),
+    )
+
+
 def customer_summary(df: DataFrame) -> DataFrame:
     return (
         df.groupBy("user_id", "product_group")
@@ -340,12 +346,23 @@ def product_group_breakdown(df: DataFrame) -> DataFrame:
     )
 
 
-SUITES = {
-    "gold_fct_monthly_premiums": suite_monthly,
-    "gold_fct_accounting_reconciliation": suite_recon,
-    "gold_fct_customer_activity_daily": suite_activity,
+_CHECKS = {
+    "gold_fct_monthly_premiums": _monthly_checks,
+    "gold_fct_accounting_reconciliation": _recon_checks,
+    "gold_fct_customer_activity_daily": _activity_checks,
 }
 
+
+def _suite(table: str):
+    def suite(df: DataFrame, **options) -> dict[str, DataFrame]:
+        return {name: build() for name, build in _CHECKS[table](df, **options).items()}
+
+    return suite
+
+
+SUITES = {table: _suite(table) for table in _CHECKS}
+suite_monthly, suite_recon, suite_activity = SUITES.values()
+
 _INFORMATIONAL = (
     "status_distribution",
     "summary_by_party",
@@ -388,8 +405,7 @@ def _global_checks(table: str) -> list[tuple[str, Column, object]]:
     return [
         ("row_count", rows, None),
         ("null_check", nulls(["user_id", "activity_date", "product_group", "daily_premium"]), 0),
-        # the date-range query is a global aggregate: it always returns exactly one row
-        ("date_range", F.lit(1).cast("long"), None),
+        ("date_range", F.count_distinct("activity_date"), None),
     ]
 
 
@@ -421,12 +437,15 @@ def audit(df: DataFrame, table: str) -> DataFrame:
     count is above 0; a uniqueness or sanity check fails on a non-zero count; an invalid-values
     check fails when it returns any row. Unknown tables raise (the reference returned a payload
     its own parser could not read). All row-level counters share one scan; each grouped check
-    (duplicates, invalid values, summaries) adds one aggregate.
+    (duplicates, invalid values, summaries) adds one aggregate. A check whose columns the table lacks
+    fails with a NULL metric, and the others run.
     """
     resolved = resolve_table(table)
     if resolved not in SUITES:
         raise ValueError(f"no audit suite for table {table!r}")
     counters = _global_checks(resolved)
+    broken = [name for name, expr, _ in counters if not _analyses(lambda expr=expr: df.agg(expr))]
+    counters = [c for c in counters if c[0] not in broken]
     one_pass = df.agg(*[expr.alias(f"g{i}") for i, (_, expr, _) in enumerate(counters)])
     rows = [
         F.struct(
@@ -437,13 +456,17 @@ def audit(df: DataFrame, table: str) -> DataFrame:
         for i, (name, _, ok) in enumerate(counters)
     ]
     parts = [one_pass.select(F.inline(F.array(*rows)))]
-    done = {name for name, _, _ in counters}
-    shared = _shared_metrics(resolved, df)
+    done = {"row_count", "null_check", *(name for name, _, _ in counters), *broken}
+    shared = _analyses(lambda: _shared_metrics(resolved, df))
     if shared is not None:
         parts.append(shared)
         done |= {"customer_summary", "product_group_breakdown"}
-    for name, res in SUITES[resolved](df).items():
-        if name in done or name in ("row_count", "null_check"):
+    for name, build in _CHECKS[resolved](df).items():
+        if name in done:
+            continue
+        res = _analyses(build)
+        if res is None:
+            broken.append(name)
             continue
         if name == "uniqueness_check":
             row = res.select((F.col("duplicate_grain_rows") == 0).alias("passed"), F.col("duplicate_grain_rows").alias("metric"))
@@ -456,12 +479,33 @@ def audit(df: DataFrame, table: str) -> DataFrame:
         else:
             continue
         parts.append(row.select(F.lit(name).alias("check_name"), "passed", F.col("metric").cast("long").alias("metric")))
+    if broken:
+        failed = [F.struct(F.lit(n).alias("check_name"), F.lit(False).alias("passed"), F.lit(None).cast("long").alias("metric")) for n in broken]
+        parts.append(one_pass.select(F.inline(F.array(*failed))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select(F.lit(resolved).alias("table_name"), "*")
 
 
+def _analyses(build: Callable[[], DataFrame | None]) -> DataFrame | None:
+    """The DataFrame, or None if a column it needs is missing (analysis only, nothing runs)."""
+    try:
+        return build()
+    except AnalysisException:
+        return None
+
+
+def audit_verdict(report: DataFrame) -> DataFrame:
+    """One row per audited table of an ``audit`` report: success, and how many checks passed and
+    failed."""
+    return report.groupBy("table_name").agg(
+        F.bool_and("passed").alias("success"),
+        F.count_if(F.col("passed")).alias("passed"),
+        F.count_if(~F.col("passed")).alias("failed"),
+    )
+
+
 # --- table profile ---------------------------------------------------------------------------
 
 def profile(df: DataFrame) -> DataFrame:

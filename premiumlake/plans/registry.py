@@ -287,9 +287,10 @@ def dq_silver(i: Inputs) -> DataFrame:
                 ("cohort", "cohort", Q.cohort_tests()),
                 ("ltv", "ltv", Q.ltv_tests()),
                 ("waterfall", "waterfall", Q.waterfall_tests()),
+                ("activity", "activity", Q.activity_tests()),
             ]
         ),
-        "monthly", "recon", "churn", "hhi_mart", "growth", "cohort", "ltv", "waterfall",
+        "monthly", "recon", "churn", "hhi_mart", "growth", "cohort", "ltv", "waterfall", "activity",
     ),
 )
 def dq_gold(i: Inputs) -> DataFrame:
@@ -302,6 +303,7 @@ def dq_gold(i: Inputs) -> DataFrame:
         ("cohort", customer_marts.cohort_retention(i.user_months), Q.cohort_tests()),
         ("ltv", customer_marts.customer_ltv(i.user_months), Q.ltv_tests()),
         ("waterfall", customer_marts.premium_waterfall(i.user_months), Q.waterfall_tests()),
+        ("activity", i.activity, Q.activity_tests()),
     ]
     out = None
     for name, df, tests in marts:
@@ -383,7 +385,7 @@ _ACT_NULLS = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in ["user_i
             ("row_count", "true", "n", "SELECT count(*) AS n FROM activity"),
             ("null_check", "n = 0", "n", f"SELECT {_ACT_NULLS} AS n FROM activity"),
             ("uniqueness_check", "n = 0", "n", "SELECT count(*) AS n FROM (SELECT user_id, activity_date FROM activity GROUP BY 1, 2 HAVING count(*) > 1) d"),
-            ("date_range", "true", "n", "SELECT 1 AS n"),
+            ("date_range", "true", "n", "SELECT count(DISTINCT activity_date) AS n FROM activity"),
             ("customer_summary", "true", "n", "SELECT count(*) AS n FROM (SELECT DISTINCT user_id, product_group FROM activity) d"),
             ("product_group_breakdown", "true", "n", "SELECT count(DISTINCT product_group) AS n FROM activity"),
         ],
@@ -393,6 +395,26 @@ def suite_activity(i: Inputs) -> DataFrame:
     return Q.audit(i.activity, "daily activity")
 
 
+@register(
+    "activity_date_range",
+    O.with_ctes(
+        "SELECT min(activity_date) AS earliest, max(activity_date) AS latest, count(DISTINCT activity_date) AS distinct_dates FROM activity",
+        "activity",
+    ),
+)
+def activity_date_range(i: Inputs) -> DataFrame:
+    return Q.date_range(i.activity)
+
+
+@register(
+    "audit_verdict",
+    "SELECT table_name, bool_and(passed) AS success, count(*) FILTER (WHERE passed) AS passed, "
+    f"count(*) FILTER (WHERE NOT passed) AS failed FROM ({ORACLE['suite_monthly']}) r GROUP BY table_name",
+)
+def audit_verdict(i: Inputs) -> DataFrame:
+    return Q.audit_verdict(Q.audit(i.monthly, "gold_fct_monthly_premiums"))
+
+
 @register(
     "summary_by_party",
     O.with_ctes(

@@ -152,3 +152,13 @@ def test_report_dispatch_views_and_ranges(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_audit_goes_on_without_a_missing_column(spark):
+    mart = spark.createDataFrame([("a", "2024-01")] * 2, "party string, month string")
+    report = Q.audit(mart, "gold_fct_monthly_premiums")
+    got = {r.check_name: (r.passed, r.metric) for r in report.collect()}
+    assert got["row_count"] == (True, 2) and got["uniqueness_check"] == (False, 1)
+    assert got["null_check"] == got["net_premium_sanity"] == got["summary_by_party"] == (False, None)
+    verdict = Q.audit_verdict(report).first()
+    assert (verdict.success, verdict.passed, verdict.failed) == (False, 1, len(got) - 1)
