@@ -62,9 +62,11 @@ SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id,
        ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS premium_amount,
   'EUR' AS premium_currency,
   CASE WHEN o_orderkey % 113 = 0 THEN NULL ELSE {PARTY_LIST}[o_custkey % 4 + 1] END AS charged_party,
-  CASE o_orderstatus WHEN 'F' THEN 'processed'
-       WHEN 'O' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'process' ELSE 'processed' END
-       WHEN 'P' THEN CASE o_orderkey % 3 WHEN 0 THEN 'refunded' WHEN 1 THEN 'failed' ELSE 'processed' END
+  CASE WHEN o_custkey % 4 = 3 AND month(o_orderdate) = 5 AND year(o_orderdate) % 2 = 1
+            THEN CASE WHEN o_orderkey % 2 = 0 THEN 'refunded' ELSE 'failed' END
+       WHEN o_orderstatus = 'F' THEN 'processed'
+       WHEN o_orderstatus = 'O' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'process' ELSE 'processed' END
+       WHEN o_orderstatus = 'P' THEN CASE o_orderkey % 3 WHEN 0 THEN 'refunded' WHEN 1 THEN 'failed' ELSE 'processed' END
   END AS status
 FROM orders""",
 )

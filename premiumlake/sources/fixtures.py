@@ -30,7 +30,7 @@ def _party_of(custkey: Column) -> Column:
 def raw_transactions(orders: DataFrame) -> DataFrame:
     """Raw feed (all strings) with every defect the silver layer handles:
     wrong-shape and impossible timestamps, unparseable / NULL / zero / negative amounts,
-    missing party, the ``process`` status variant, refunds and failures."""
+    missing party, the ``process`` status variant, refunds and failures, months of refunds alone."""
     k = F.col("o_orderkey")
     d = F.col("o_orderdate")
     created_at = (
@@ -55,8 +55,11 @@ def raw_transactions(orders: DataFrame) -> DataFrame:
         .when(k % 103 == 0, F.concat(F.lit("-"), amount_text))
         .otherwise(amount_text)
     )
+    # one party sells nothing in May of odd years: months of refunds alone
+    refunds_only = (F.col("o_custkey") % 4 == 3) & (F.month(d) == 5) & (F.year(d) % 2 == 1)
     status = (
-        F.when(F.col("o_orderstatus") == "F", F.lit("processed"))
+        F.when(refunds_only, F.when(k % 2 == 0, F.lit("refunded")).otherwise(F.lit("failed")))
+        .when(F.col("o_orderstatus") == "F", F.lit("processed"))
         .when(F.col("o_orderstatus") == "O", F.when(k % 2 == 0, F.lit("process")).otherwise(F.lit("processed")))
         .when(
             F.col("o_orderstatus") == "P",

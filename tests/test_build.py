@@ -28,8 +28,8 @@ def test_build_all_then_incremental_rerun(spark):
     written = B.build_all(spark, src, AT1, fixtures.AS_OF, prefix="b1_")
     assert len(written) == len(B.MODELS)
     t = lambda m: spark.table(B.table_name(m, "b1_"))
-    assert t("gold_fct_monthly_premiums").count() == 305
-    assert t("gold_fct_accounting_reconciliation").count() == 293
+    assert t("gold_fct_monthly_premiums").count() == 301
+    assert t("gold_fct_accounting_reconciliation").count() == 289
     assert t("gold_fct_customer_activity_daily").count() == 34532
     assert t("gold_fct_cohort_retention").count() == 827
     assert t("gold_fct_customer_ltv").count() == 147
@@ -61,7 +61,7 @@ def test_build_all_then_incremental_rerun(spark):
     # rebuild only the models tagged finance, on top of the tables already there
     again = B.build_all(spark, src, AT2, fixtures.AS_OF, prefix="b1_", select=B.models_tagged("finance"))
     assert again == ["b1_gold.gold_fct_monthly_premiums", "b1_gold.gold_fct_accounting_reconciliation"]
-    assert t("gold_fct_accounting_reconciliation").count() == 293
+    assert t("gold_fct_accounting_reconciliation").count() == 289
 
 
 def test_stream_drives_incremental_load(spark):
@@ -104,7 +104,7 @@ def test_csv_edge_round_trip(spark):
     ledger_dir = os.path.join(tempfile.mkdtemp(prefix="csv-ledger-"), "ledger")
     fixtures.accounting_closing(i.silver).write.option("header", True).csv(ledger_dir)
     ledger = read_source(spark, "accounting_closing", ledger_dir)
-    assert dict(ledger.dtypes)["accounting_premium"] == "decimal(18,2)" and ledger.count() == 293
+    assert dict(ledger.dtypes)["accounting_premium"] == "decimal(18,2)" and ledger.count() == 289
 
 
 def test_bucketed_snapshot_join_needs_no_shuffle(spark):
