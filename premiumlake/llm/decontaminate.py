@@ -12,7 +12,10 @@ that rest reach the threshold; items of an opened block are scored in full. The
 below a score, so all items above the threshold are found.
 
 Verification. A retrieved item counts when the passage covers both its question and its answer:
-the share of words that lie in an n-gram of words which the passage holds too.
+the share of words that lie in an n-gram of words which the passage holds too. One changed word can
+take n words from that share, so a part so short that these are too many counts by its single
+words, aligned in order where an n-gram of the item says that the part should stand. Of a part of two
+or three words one may be missing; a part of one word may be, if nearly the whole item is there.
 
 Passages are windows of twice the longest item's words that advance by half their length, so that
 any item that a document holds lies in one passage.
@@ -33,12 +36,14 @@ from premiumlake.llm import _text
 @dataclass(frozen=True)
 class Search:
     """``threshold``: the least share of an item's weight; ``overlap``: the least share of covered
-    words of question and answer; ``n``: words of an n-gram; ``block``: items to a block;
+    words of question and answer; ``whole``: the least share of an item's words where its part of
+    one word is not asked for; ``n``: words of an n-gram; ``block``: items to a block;
     ``frequent``: lists of more than this share of the items count as frequent; ``items``: items of
     one index, of which there are as many as the items need."""
 
     threshold: float = 0.6
     overlap: float = 0.7
+    whole: float = 0.9
     n: int = 3
     block: int = 8
     frequent: float = 0.05
@@ -60,6 +65,16 @@ def question_and_answer(items: DataFrame, id_col: str = "item_id", text_col: str
     )
 
 
+def common_words(a: list, b: list) -> int:
+    """The length of a longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for k, y in enumerate(b):
+            last, row[k + 1] = row[k + 1], last + 1 if x == y else max(row[k + 1], row[k])
+    return row[-1]
+
+
 class Index:
     """BM25 postings of items, their block maxima, and the items' words for verification."""
 
@@ -133,6 +148,37 @@ class Index:
                 covered[k : k + n] = True
         return float(covered.mean())
 
+    def short(self, words: np.ndarray) -> bool:
+        """Whether one changed word can take too much of a part's n-gram cover."""
+        return 0 < len(words) and self.search.n > (1 - self.search.overlap) * len(words) + 1e-9
+
+    def aligned(self, own: np.ndarray, parts: tuple[np.ndarray, np.ndarray], covers: tuple[float, float]) -> tuple[float, float]:
+        """The covers, those of short parts raised to their share of single words that stand, in
+        order, where an n-gram of the item that the passage holds too says they should."""
+        passage, item = own.tolist(), np.concatenate(parts).tolist()
+        n = max(1, min(self.search.n, len(item) // 2))  # one changed word leaves a run of half the others
+        places: dict[tuple, list[int]] = {}
+        for k in range(len(item) - n + 1):
+            places.setdefault(tuple(item[k : k + n]), []).append(k)
+        starts = {x - k for x, g in enumerate(zip(*[passage[k:] for k in range(n)])) for k in places.get(g, ())}
+        out, before = list(covers), 0
+        for j, part in enumerate(parts):
+            if self.short(part):
+                slack = max(1, int((1 - self.search.overlap) * len(part)))
+                for low, high in {(max(0, s + before - slack), s + before + len(part) + slack) for s in starts}:
+                    if high > 0:
+                        out[j] = max(out[j], common_words(passage[low:high], part.tolist()) / len(part))
+            before += len(part)
+        return out[0], out[1]
+
+    def held(self, parts: tuple[np.ndarray, np.ndarray], covers: tuple[float, float]) -> bool:
+        """Whether enough of both parts is covered: the least share, or all words but one; a part of
+        one word may be missing where nearly the whole item is there."""
+        size = [len(x) for x in parts]
+        words = [c * k for c, k in zip(covers, size)]
+        excused = sum(words) >= self.search.whole * sum(size) - 1e-9
+        return all(w >= min(self.search.overlap * k, max(k - 1, 1)) - 1e-9 or (k == 1 and excused) for w, k in zip(words, size))
+
     def passage_grams(self, words: np.ndarray, sizes: set[int]) -> set:
         return {g for n in sizes for g in zip(*[words[k:].tolist() for k in range(n)])}
 
@@ -171,7 +217,9 @@ class Index:
                     grams_of[n] = self.passage_grams(own, {n})
                 grams = set().union(*[grams_of[n] for n in sizes])
                 covers = self.cover(question, grams), self.cover(answer, grams)
-                if min(covers) >= self.search.overlap:
+                if not self.held(self.words[k], covers) and (self.short(question) or self.short(answer)):
+                    covers = self.aligned(own, self.words[k], covers)
+                if self.held(self.words[k], covers):
                     best[r, k] = max(best.get((r, k), (0, 0, 0)), (score, *covers))
         return [(r, k, *found) for (r, k), found in sorted(best.items())]
 

@@ -8,10 +8,11 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from premiumlake.llm import decontaminate, license_scan, sharding, warc
+from premiumlake.llm import _text, decontaminate, license_scan, sharding, warc
 from premiumlake.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -80,6 +81,41 @@ def test_leaks_at_any_place_in_any_case(spark):
     assert Counter((r.doc_id, r.item) for r in several.collect()) == got
 
 
+def leaks_of(texts, questions, answers, search=decontaminate.Search()):
+    """(text number, item number) pairs of an index of all items."""
+    index = decontaminate.Index(list(range(len(questions))), questions, answers, search)
+    return {(r, k) for r, k, *_ in index.find(*_text.lower_words(pa.array(texts, pa.string())))}
+
+
+def test_near_copies_with_one_changed_word_are_found(spark):
+    made = [
+        ("What is the tallest mountain on the plain of Ardoon?", "The old peak Ferrumil."), ("Who wrote the long book of Ulm in the year of rain?", "Ada."),
+        ("Name two rivers.", "Osk and Tarn."), ("Ulm?", "It was a town by the lake that the river left long ago."), ("Which sea is deep?", "Marn sea."),
+    ]
+    asked = decontaminate.question_and_answer(spark.read.parquet(f"{SF}/benchmark.parquet")).collect()
+    made += [(r.question, r.answer) for r in asked]
+    before, after = (" ".join(f"{x}{k}" for k in range(30)) for x in "ab")
+    texts, of = [], []
+    for k, (question, answer) in enumerate(made):
+        words = f"{question} {answer}".split()
+        for j in range(len(words)):
+            for put in (["other"], [], [words[j], "other"]):
+                texts.append(" ".join([before, *words[:j], *put, *words[j + 1 :], after]))
+                of.append(k)
+    found = leaks_of(texts, *zip(*made))
+    assert [(texts[r], k) for r, k in enumerate(of) if (r, k) not in found] == []
+
+
+def test_a_question_without_its_answer_is_no_leak():
+    question, answer = "What is the tallest mountain on the plain of Ardoon in the land of the seven small lakes?", "The old peak Ferrumil."
+    filler = " ".join(f"a{k}" for k in range(30))
+    texts = [f"{filler} {question} {x} {filler}" for x in ("", "The new hill", "Ferrumil peak old the.", f"{filler} the {filler} old {filler} peak {filler}")]
+    texts += [f"{question} {answer}", f"{filler} {answer} {filler}", " ".join(reversed(f"{question} {answer}".split()))]
+    others = ["Another thing is asked?", "Is the world flat?"]
+    assert leaks_of(texts, [question, *others], [answer, "Yes.", "No."]) == {(4, 0)}
+    assert leaks_of(["Is the world flat? One may ask"], others, ["Yes.", "No."]) == set()
+
+
 # --- license scans ----------------------------------------------------------------------------
 
 
