@@ -11,6 +11,11 @@ the ones that are rarest in the text are aligned, and no notice is lost, whereve
 however often it recurs. A stretch may be longer than the template by as many words on either side
 as the coverage lets the template miss, and one. Before that, templates of which a text lacks too many words are ruled out
 by counts alone.
+
+Names. Notices of different licenses differ in a word or two, so coverage alone cannot tell them.
+The telling words of a template (name, version) must all be aligned, those of one phrase without
+other words in between, whatever the coverage; one of them must be there, so the stretches around
+its occurrences are enough.
 """
 
 from __future__ import annotations
@@ -46,6 +51,23 @@ TEMPLATES = {
     ),
 }
 
+#: Phrases that tell a template's license from others. A template that is not listed
+#: needs all of its words if it has at most ``SHORT``, else none in particular.
+TELLING = {
+    "all-rights-reserved": ("all rights reserved",),
+    "apache-2.0": ("apache license", "2.0"),
+    "apache-2.0-header": ("apache license", "2.0"),
+    "bsd": (),
+    "cc-by-nc-4.0": ("cc by nc 4.0",),
+    "gpl-3.0": ("gnu general public license", "3"),
+    "mit": ("mit license",),
+    "mit-permission": ("this software and associated documentation files",),
+}
+SHORT = 12
+
+#: Words between telling ones that name one license of several, and words before a name that change it.
+JOINING, CHANGING = "or and", "modified same"
+
 
 def longest_increasing(values: list[int]) -> list[int]:
     """Indexes of a longest strictly increasing subsequence, by patience sorting."""
@@ -93,12 +115,30 @@ def align(text: list, template: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def hashed(texts: list[str]) -> list[list[int]]:
+    words, _, at = _text.lower_words(pa.array(texts, pa.string()))
+    return [words[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+
+
+def places(phrase: list, template: list) -> tuple[int, ...]:
+    """Where the template first holds the phrase."""
+    for k in range(len(template) - len(phrase) + 1):
+        if template[k : k + len(phrase)] == phrase:
+            return tuple(range(k, k + len(phrase)))
+    raise ValueError("a telling phrase is not in its template")
+
+
 class Scanner:
-    def __init__(self, templates: Mapping[str, str], coverage: float):
+    def __init__(self, templates: Mapping[str, str], coverage: float, telling: Mapping[str, tuple[str, ...]] = TELLING):
         self.coverage = coverage
-        hashes, _, at = _text.lower_words(pa.array(list(templates.values()), pa.string()))
-        words = [hashes[at[k] : at[k + 1]].tolist() for k in range(len(templates))]
+        self.joining, self.changing, self.numbers = (set(x) for x in hashed([JOINING, CHANGING, " ".join(map(str, range(100)))]))
+        words = hashed(list(templates.values()))
         self.names, self.words = zip(*[(n, w) for n, w in zip(templates, words) if w]) if any(words) else ((), ())
+        #: the places of each telling phrase of each template
+        self.telling = []
+        for name, own in zip(self.names, self.words):
+            phrases = hashed(list(telling[name])) if name in telling else [own] if len(own) <= SHORT else []
+            self.telling.append([places(x, own) for x in phrases])
         self.vocabulary = np.unique(np.array([x for w in self.words for x in w], np.uint64))
         #: how many words of each template (columns) are a given word (rows)
         self.counts = np.zeros((len(self.vocabulary), len(self.words)), np.int64)
@@ -118,27 +158,55 @@ class Scanner:
         rows, templates = np.nonzero(held >= self.coverage * self.lengths - 1e-9)
         return list(zip(rows.tolist(), templates.tolist()))
 
-    def scan(self, text: list, template: list) -> list[tuple[float, int, int, int]]:
+    def named(self, text: list, pairs: list[tuple[int, int]], phrases: list[tuple[int, ...]]) -> bool:
+        """Whether all telling words are aligned, with no word between those of a phrase but in lists
+        of licenses, no other number between phrases, and no word before the first that changes it."""
+        if not phrases:
+            return True
+        at, aligned = {j: k for k, j in pairs}, {k for k, _ in pairs}
+        if any(j not in at for x in phrases for j in x):
+            return False
+        other = lambda a, b: {text[k] for k in range(a + 1, b) if k not in aligned}
+        for x in phrases:
+            for i, j in zip(x, x[1:]):
+                if (between := other(at[i], at[j])) and not between & self.joining:
+                    return False
+        for x, y in zip(phrases, phrases[1:]):
+            between = other(at[x[-1]], at[y[0]])
+            if between & self.numbers and not between & self.joining:
+                return False
+        first = at[phrases[0][0]]
+        return not (first and text[first - 1] in self.changing)
+
+    def scan(self, text: list, template: list, phrases: list[tuple[int, ...]] = []) -> list[tuple[float, int, int, int]]:  # noqa: B006
         """(coverage, aligned words, first word, word after the last) of disjoint notices, in order."""
         spots: dict = {w: [] for w in template}
         for k, w in enumerate(text):
             if w in spots:
                 spots[w].append(k)
         count = Counter(template)
-        missing, least = len(template) - self.coverage * len(template), []
-        for w in sorted(spots, key=lambda w: (len(spots[w]) / count[w], w)):
-            least.append(w)
-            missing -= count[w]
-            if missing < -1e-9:
-                break
+        if phrases:
+            # any telling word must be aligned where the template has it
+            j = min((j for x in phrases for j in x), key=lambda j: (len(spots[template[j]]), j))
+            starts = {k - j for k in spots[template[j]]}
+        else:
+            missing, least = len(template) - self.coverage * len(template), []
+            for w in sorted(spots, key=lambda w: (len(spots[w]) / count[w], w)):
+                least.append(w)
+                missing -= count[w]
+                if missing < -1e-9:
+                    break
+            starts = {k - j for j, w in enumerate(template) if w in least for k in spots[w]}
         found = []
-        slack = int(len(template) * (1 - self.coverage)) + 1
-        starts = {k - j for j, w in enumerate(template) if w in least for k in spots[w]}
+        slack = int(len(template) * (1 - self.coverage) + 1e-9) + 1
         for start in sorted(starts):
-            a, b = max(0, start - slack), min(len(text), start + len(template) + slack)
-            pairs = align(text[a:b], template)
-            if len(pairs) >= self.coverage * len(template) - 1e-9:
-                found.append((len(pairs) / len(template), len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1))
+            # the second, without room for other words, has fewer repeats that hide anchors
+            for room in (slack, 0):
+                a, b = max(0, start - room), max(0, min(len(text), start + len(template) + room))
+                pairs = align(text[a:b], template)
+                if len(pairs) >= self.coverage * len(template) - 1e-9 and self.named(text, [(a + k, j) for k, j in pairs], phrases):
+                    found.append((len(pairs) / len(template), len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1))
+                    break
         # of overlapping ones the best, the tightest, the first
         out: list[tuple[float, int, int, int]] = []
         for hit in sorted(set(found), key=lambda x: (-x[0], x[3] - x[2], x[2])):
@@ -151,16 +219,21 @@ _SCHEMA = "id {id}, license string, coverage double, n_notices int, first_word i
 
 
 def scan_licenses(
-    docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    templates: Mapping[str, str] = TEMPLATES,
+    coverage: float = COVERAGE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    telling: Mapping[str, tuple[str, ...]] = TELLING,
 ) -> DataFrame:
     """(id_col, license, coverage, n_notices, first_word, after_word): a row for each document row
-    and template it covers to ``coverage`` or more; the last two are the words of the best notice
+    and template it covers to ``coverage`` or more, all telling words among them; the last two are the words of the best notice
     (the first of several). Words are lower-cased runs of letters, digits and underscores.
 
     Null and empty texts and texts without a notice give no rows, templates without words are
     never found, rows that repeat give repeated rows, an empty table or no templates no rows.
     """
-    scanner = docs.sparkSession.sparkContext.broadcast(Scanner(templates, coverage))
+    scanner = docs.sparkSession.sparkContext.broadcast(Scanner(templates, coverage, telling))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -171,7 +244,7 @@ def scan_licenses(
             for r, k in own.possible(words, row, part.num_rows):
                 if r != last:
                     last, text = r, words[at[r] : at[r + 1]].tolist()
-                hits = own.scan(text, own.words[k])
+                hits = own.scan(text, own.words[k], own.telling[k])
                 if hits:
                     best = max(hits, key=lambda x: (x[0], -x[2]))
                     out.append((r, own.names[k], best[0], len(hits), best[2], best[3]))

@@ -176,6 +176,38 @@ def test_licenses_of_odd_texts(spark):
     assert license_scan.scan_licenses(docs.limit(0)).count() == 0
 
 
+def names_of(text):
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.COVERAGE)
+    words, row, _ = _text.lower_words(pa.array([text]))
+    return {scanner.names[k] for _, k in scanner.possible(words, row, 1) if scanner.scan(words.tolist(), scanner.words[k], scanner.telling[k])}
+
+
+def test_other_licenses_are_not_named_as_a_known_one():
+    notices = [
+        ("Released under the BSD License.", "mit"), ("Released under the ISC License.", "mit"), ("It is released under the same license.", "mit"),
+        ("Released under the modified MIT License.", "mit"), ("Released under the MIT No Attribution License.", "mit"),
+        ("Licensed under CC BY 4.0.", "cc-by-nc-4.0"), ("Licensed under CC BY-SA 4.0.", "cc-by-nc-4.0"), ("Licensed under CC BY-NC-ND 4.0.", "cc-by-nc-4.0"), ("Licensed under CC BY-NC 3.0.", "cc-by-nc-4.0"),
+        ("Licensed under the Apache License, Version 1.0.", "apache-2.0"), ("Licensed under the Educational Community License, Version 2.0.", "apache-2.0"),
+        ("This work is licensed under the GNU General Public License, version 2.", "gpl-3.0"), ("This work is licensed under the GNU General Public License, version 2. Section 3", "gpl-3.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "gpl-3.0"), ("This work is licensed under the GNU Affero General Public License, version 3.", "gpl-3.0"),
+        ("All moral rights reserved.", "all-rights-reserved"),
+        ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "mit-permission"),
+        ('Licensed under the Educational Community License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at', "apache-2.0-header"),
+    ]
+    assert [(x, name) for x, name in notices if name in names_of(f"Some words before. {x} The words after.")] == []
+
+
+def test_known_licenses_are_found_in_other_words():
+    notices = [
+        ("Distributed under the MIT License.", "mit"), ("Released under MIT License", "mit"), ("Released under the MIT or Apache License", "mit"), ("Released under the terms of the MIT License", "mit"),
+        ("Licensed under the Apache License 2.0", "apache-2.0"), ("Offered under the Apache License, Version 2.0", "apache-2.0"), ("Shared under CC-BY-NC 4.0", "cc-by-nc-4.0"),
+        ("This program is licensed under the GNU General Public License, version 3", "gpl-3.0"), ("This work is licensed under the GNU General Public License (GPL), version 3", "gpl-3.0"),
+        ("The MIT License. MIT License: released under the MIT License, the MIT License", "mit"),
+    ]
+    notices += [(line, name) for name, line in license_scan.TEMPLATES.items()]
+    assert [(x, name) for x, name in notices if name not in names_of(f"Some words before. {x} The words after.")] == []
+
+
 # --- archives ----------------------------------------------------------------------------------
 
 
