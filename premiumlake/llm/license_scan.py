@@ -33,8 +33,34 @@ from premiumlake.llm import _text
 
 COVERAGE = 0.8
 
-#: Public license notices.
+_CC = {
+    "by": "Attribution",
+    "by-sa": "Attribution-ShareAlike",
+    "by-nc": "Attribution-NonCommercial",
+    "by-nd": "Attribution-NoDerivatives",
+    "by-nc-sa": "Attribution-NonCommercial-ShareAlike",
+    "by-nc-nd": "Attribution-NonCommercial-NoDerivatives",
+}
+
+_GNU_HEADER = (
+    "This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as "
+    "published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+)
+_GNU_WARRANTY = (
+    " This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
+)
+_GPL, _LGPL, _AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
+
+
+def _gnu(what: str, name: str, version: str, warranty: bool = True) -> str:
+    return (_GNU_HEADER + _GNU_WARRANTY * warranty).format(what=what, name=name, version=version)
+
+
+#: Public license notices, headers and texts.
 TEMPLATES = {
+    "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "agpl-3.0-header": _gnu("program", _AGPL, "3"),
     "all-rights-reserved": "All rights reserved.",
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-header": (
@@ -42,26 +68,114 @@ TEMPLATES = {
         "compliance with the License. You may obtain a copy of the License at"
     ),
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
+    "bsd-2-clause": "Released under the BSD 2-Clause License.",
+    "bsd-3-clause": "Released under the BSD 3-Clause License.",
+    "bsd-conditions": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution."
+    ),
+    "bsd-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."
+    ),
+    "bsl-1.0": (
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+        "https://www.boost.org/LICENSE_1_0.txt)"
+    ),
+    **{f"cc-{kind}-{version}": f"Licensed under CC {kind.upper()} {version}." for kind in _CC for version in ("3.0", "4.0")},
+    **{
+        f"cc-{kind}-{version}-header": f"This work is licensed under a Creative Commons {name} {version} {place} License."
+        for kind, name in _CC.items()
+        for version, place in (("3.0", "Unported"), ("4.0", "International"))
+    },
+    "gpl-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "gpl-2.0-v": "This work is licensed under the GNU General Public License v2.",
+    "gpl-2.0-header": _gnu("program", _GPL, "2"),
     "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-3.0-v": "This work is licensed under the GNU General Public License v3.",
+    "gpl-3.0-header": _gnu("program", _GPL, "3"),
+    "isc": "Released under the ISC License.",
+    "isc-permission": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "lgpl-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-2.1-header": _gnu("library", _LGPL, "2.1"),
+    "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "lgpl-3.0-header": _gnu("library", _LGPL, "3"),
     "mit": "Released under the MIT License.",
     "mit-permission": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files"
     ),
+    "mit-text": (
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+        "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
+        "notice and this permission notice shall be included in all copies or substantial portions of the Software. THE "
+        'SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS "
+        "OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "mpl-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
+    "mpl-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at"
+    ),
+    "unlicense": "Released under the Unlicense.",
+    "unlicense-text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means."
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely"
+    ),
 }
 
 #: Phrases that tell a template's license from others. A template that is not listed
 #: needs all of its words if it has at most ``SHORT``, else none in particular.
 TELLING = {
+    "agpl-3.0": ("gnu affero general public license", "3"),
+    "agpl-3.0-header": ("gnu affero general public license", "version 3"),
     "all-rights-reserved": ("all rights reserved",),
     "apache-2.0": ("apache license", "2.0"),
     "apache-2.0-header": ("apache license", "2.0"),
     "bsd": (),
-    "cc-by-nc-4.0": ("cc by nc 4.0",),
+    "bsd-2-clause": ("bsd 2 clause",),
+    "bsd-3-clause": ("bsd 3 clause",),
+    "bsd-conditions": (),
+    "bsd-endorsement": ("endorse or promote products",),
+    "bsl-1.0": ("boost software license", "1.0"),
+    **{f"cc-{kind}-{version}": (f"cc {kind} {version}",) for kind in _CC for version in ("3.0", "4.0")},
+    **{f"cc-{kind}-{version}-header": (f"creative commons {name} {version}",) for kind, name in _CC.items() for version in ("3.0", "4.0")},
+    "gpl-2.0": ("gnu general public license", "2"),
+    "gpl-2.0-v": ("gnu general public license", "v2"),
+    "gpl-2.0-header": ("gnu general public license", "version 2"),
     "gpl-3.0": ("gnu general public license", "3"),
+    "gpl-3.0-v": ("gnu general public license", "v3"),
+    "gpl-3.0-header": ("gnu general public license", "version 3"),
+    "isc": ("isc license",),
+    "isc-permission": ("with or without fee", "this permission notice"),
+    "lgpl-2.1": ("gnu lesser general public license", "2.1"),
+    "lgpl-2.1-header": ("gnu lesser general public license", "version 2.1"),
+    "lgpl-3.0": ("gnu lesser general public license", "3"),
+    "lgpl-3.0-header": ("gnu lesser general public license", "version 3"),
     "mit": ("mit license",),
     "mit-permission": ("this software and associated documentation files",),
+    "mit-text": ("this software and associated documentation files", "the above copyright notice and this permission notice shall be included"),
+    "mpl-2.0": ("mozilla public license", "2.0"),
+    "mpl-2.0-header": ("mozilla public license", "2.0"),
+    "unlicense": ("the unlicense",),
+    "unlicense-text": ("free and unencumbered software",),
+    "zlib": ("provided as is", "alter it and redistribute it freely"),
 }
 SHORT = 12
 

@@ -208,6 +208,24 @@ def test_known_licenses_are_found_in_other_words():
     assert [(x, name) for x, name in notices if name not in names_of(f"Some words before. {x} The words after.")] == []
 
 
+def test_every_notice_gets_its_own_name():
+    # a header that holds another template's words holds that one too
+    within = {"apache-2.0-header": {"apache-2.0"}, "bsd-conditions": {"bsd"}, "mit-text": {"mit-permission"}}
+    for name, line in license_scan.TEMPLATES.items():
+        assert names_of(f"Some words before. {line} And words after.") == {name} | within.get(name, set()), name
+
+
+def test_long_texts_with_changes_are_found():
+    rng = random.Random(5)
+    for name, line in license_scan.TEMPLATES.items():
+        words, told = line.split(), set(_text.lower_words(pa.array([" ".join(license_scan.TELLING[name])]))[0].tolist())
+        if len(words) < 20:
+            continue
+        for _ in range(5):
+            put = [w if rng.random() < 0.92 or set(_text.lower_words(pa.array([w]))[0].tolist()) & told else rng.choice(["", "other", f"{w} more"]) for w in words]
+            assert name in names_of(" ".join(["before", *put, "after"])), (name, put)
+
+
 # --- archives ----------------------------------------------------------------------------------
 
 
