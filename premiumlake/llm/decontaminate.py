@@ -17,8 +17,10 @@ take n words from that share, so a part so short that these are too many counts
 words, aligned in order where an n-gram of the item says that the part should stand. Of a part of two
 or three words one may be missing; a part of one word may be, if nearly the whole item is there.
 
-Passages are windows of twice the longest item's words that advance by half their length, so that
-any item that a document holds lies in one passage.
+Passages are windows of twice as many words as the items of a length class have at most, that
+advance by half their length, so that any item that a document holds lies in one passage. Classes
+end at fixed lengths, and document frequencies, the number of items and their mean length are those
+of all items, so an item's decisions do not depend on which others share its index.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premiumlake.llm import _text
+from premiumlake.llm._store import stored
 
 
 @dataclass(frozen=True)
@@ -65,6 +68,72 @@ def question_and_answer(items: DataFrame, id_col: str = "item_id", text_col: str
     )
 
 
+@dataclass(frozen=True)
+class Totals:
+    """Of all items that have words in their question: their number, their words, and the number of
+    them that have each word (hashes, sorted)."""
+
+    items: int
+    length: int
+    words: np.ndarray
+    df: np.ndarray
+
+
+def length_class(words: int) -> int:
+    """The most words of an item of the class."""
+    most = 16
+    while most < words:
+        most *= 4
+    return most
+
+
+def _item_words(question: pa.Array, answer: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(whether the question has words, the words) of each item."""
+    (q, _, at), (a, _, to) = _text.lower_words(question), _text.lower_words(answer)
+    return np.diff(at) > 0, [np.concatenate([q[at[k] : at[k + 1]], a[to[k] : to[k + 1]]]) for k in range(len(question))]
+
+
+def _word_counts(distinct: DataFrame) -> DataFrame:
+    """(word, items, length): the items that have each word; the word null has the sums of all."""
+
+    def run(batches):
+        for batch in batches:
+            asked, words = _item_words(batch.column("question"), batch.column("answer"))
+            copies = batch.column("copies").to_numpy()
+            kept = np.flatnonzero(asked)
+            own = [np.unique(words[k]).astype(np.int64) for k in kept]
+            size = [len(x) for x in own]
+            word = pa.array(np.concatenate([np.zeros(0, np.int64), *own]))
+            length = np.array([len(words[k]) for k in kept], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.concat_arrays([word, pa.nulls(len(kept), pa.int64())]),
+                    pa.array(np.r_[np.repeat(copies[kept], size), copies[kept]].astype(np.int64)),
+                    pa.array(np.r_[np.zeros(len(word), np.int64), copies[kept] * length].astype(np.int64)),
+                ],
+                names=["word", "items", "length"],
+            )
+
+    counts = distinct.select("question", "answer", "copies").mapInArrow(run, "word long, items long, length long")
+    return counts.groupBy("word").agg(F.sum("items").alias("items"), F.sum("length").alias("length"))
+
+
+def indexes(own: dict, search: Search, total: Totals | None = None) -> list[Index]:
+    """An index for each length class of the items (key, question, answer, copies)."""
+    asked, words = _item_words(*[pa.array(own[c], pa.string()) for c in ("question", "answer")])
+    if total is None:
+        kept = np.flatnonzero(asked)
+        vocabulary, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *[np.unique(words[k]) for k in kept]]), return_inverse=True)
+        times = np.array([own["copies"][k] for k in kept], np.int64)
+        df = np.bincount(at, weights=np.repeat(times, [len(np.unique(words[k])) for k in kept]), minlength=len(vocabulary))
+        total = Totals(int(times.sum()), sum(int(t) * len(words[k]) for t, k in zip(times, kept)), vocabulary, df)
+    classes: dict[int, list[int]] = {}
+    for k in np.flatnonzero(asked).tolist():
+        classes.setdefault(length_class(len(words[k])), []).append(k)
+    pick = lambda c, of: [own[c][k] for k in of]
+    return [Index(pick("key", of), pick("question", of), pick("answer", of), search, pick("copies", of), total) for _, of in sorted(classes.items())]
+
+
 def common_words(a: list, b: list) -> int:
     """The length of a longest common subsequence."""
     row = [0] * (len(b) + 1)
@@ -78,7 +147,10 @@ def common_words(a: list, b: list) -> int:
 class Index:
     """BM25 postings of items, their block maxima, and the items' words for verification."""
 
-    def __init__(self, items: list, questions: list[str | None], answers: list[str | None], search: Search):
+    def __init__(
+        self, items: list, questions: list[str | None], answers: list[str | None], search: Search, copies: list[int] | None = None, total: Totals | None = None
+    ):
+        """``copies``: how often each item occurs; ``total``: of all items, if there are others."""
         self.search = search
         parts = [_text.lower_words(pa.array(x, pa.string())) for x in (questions, answers)]
         both = [[h[at[k] : at[k + 1]] for h, _, at in parts] for k in range(len(items))]
@@ -86,16 +158,19 @@ class Index:
         self.items = [items[k] for k in kept]
         self.words = [both[k] for k in kept]
         length = np.array([len(q) + len(a) for q, a in self.words], np.int64)
-        self.longest = int(length.max()) if kept else 0
+        self.step = length_class(int(length.max()) if kept else 0)
 
         terms = [np.unique(np.concatenate(w), return_counts=True) for w in self.words]
         self.vocabulary = np.unique(np.concatenate([t for t, _ in terms])) if kept else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(kept)), [len(t) for t, _ in terms])
         term = np.searchsorted(self.vocabulary, np.concatenate([t for t, _ in terms])) if kept else item
         tf = np.concatenate([c for _, c in terms]) if kept else item
-        df = np.bincount(term, minlength=len(self.vocabulary))
-        idf = np.log1p((len(kept) - df + 0.5) / (df + 0.5))
-        mean = length.mean() if kept else 1.0
+        times = np.array([copies[k] for k in kept] if copies is not None else [1] * len(kept), np.int64)
+        if total is None:
+            total = Totals(int(times.sum()), int((times * length).sum()), self.vocabulary, np.bincount(term, weights=times[item], minlength=len(self.vocabulary)))
+        df = total.df[np.searchsorted(total.words, self.vocabulary)]
+        idf = np.log1p((total.items - df + 0.5) / (df + 0.5))
+        mean = total.length / total.items if kept else 1.0
         weight = idf[term] * tf * (search.k1 + 1) / (tf + search.k1 * (1 - search.b + search.b * length[item] / mean))
         weight = weight / np.bincount(item, weights=weight, minlength=len(kept))[item]
         at = np.searchsorted(item, np.arange(len(kept) + 1))
@@ -103,7 +178,7 @@ class Index:
 
         block = item // search.block
         self.blocks = int(block.max()) + 1 if kept else 0
-        common = df > max(2, search.frequent * len(kept))
+        common = df > max(2, search.frequent * total.items)
         rest = np.bincount(item, weights=weight * common[term], minlength=len(kept))
         self.rest = np.zeros(self.blocks)
         np.maximum.at(self.rest, np.arange(len(kept)) // search.block, rest)
@@ -186,7 +261,7 @@ class Index:
         """(row, item number, score, question's cover, answer's cover), the best passage of each."""
         if not self.items or not len(words):
             return []
-        step = max(self.longest, 16)
+        step = self.step
         inside = np.arange(len(words)) - at[row]
         # passage numbers: (row, k) covers the words [k * step, (k + 2) * step) of the row
         pieces = np.maximum(1, -(-np.diff(at) // step))
@@ -232,36 +307,53 @@ def find_leaks(
 
     Items without words in their question are never found, items without an answer need only their
     question; items that repeat give rows each. Null and empty texts hold nothing. Rows that repeat
-    give repeated rows; no items or no documents give no rows. The items reach the executors in
-    indexes of at most ``search.items`` items; every index is one pass over the documents.
+    give repeated rows; no items or no documents give no rows. Equal items are searched once. The
+    items reach the executors in parts of at most ``search.items`` of them; every part is one pass
+    over the documents, and how many there are does not change the result.
     """
     spark = docs.sparkSession
-    kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema["item"].dataType
+    kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = f"id {kind}, item {item_kind.simpleString()}, score double, question_overlap double, answer_overlap double"
-    parts = max(1, -(-items.count() // (search.items // 2)))  # half full on average, so that none is over
+    texts = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("question", "answer")]
+    keyed = items.select("item", *texts).withColumn("key", F.md5(F.concat_ws(":", F.length("question"), "question", "answer").cast("binary")))
+    distinct = keyed.groupBy("key").agg(F.first("question").alias("question"), F.first("answer").alias("answer"), F.count(F.lit(1)).alias("copies"))
+    schema = f"id {kind}, key string, score double, question_overlap double, answer_overlap double"
+    parts = max(1, -(-distinct.count() // max(1, search.items // 2)))  # half full on average, so that none is over
+    counts = stored(_word_counts(distinct), "item-words") if parts > 1 else None
     found = []
     for part in range(parts):
-        own = items.where(F.pmod(F.xxhash64("question", "answer"), F.lit(parts)) == part) if parts > 1 else items
-        own = own.orderBy("question", "answer", "item").toArrow().to_pydict()
-        index = spark.sparkContext.broadcast(Index(own["item"], own["question"], own["answer"], search))
-        found.append(rows.mapInArrow(_searcher(index, schema), schema))
+        own = distinct.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == part) if parts > 1 else distinct
+        total = _totals(counts, own) if parts > 1 else None
+        index = spark.sparkContext.broadcast(indexes(own.orderBy("key").toArrow().to_pydict(), search, total))
+        found.append(rows.mapInArrow(_searcher(index), schema))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
+    out = out.join(keyed.select("key", "item"), "key")
     return out.select(F.col("id").alias(id_col), "item", "score", "question_overlap", "answer_overlap")
 
 
-def _searcher(index, schema: str):
+def _totals(counts: DataFrame, own: DataFrame) -> Totals:
+    """The sums of all items, and the counts of the words that these items have."""
+    (sums,) = counts.where("word IS NULL").collect() or [None]
+    words = _word_counts(own).where("word IS NOT NULL").select("word")
+    table = counts.join(words, "word").select("word", "items").toArrow()
+    word, df = table.column("word").to_numpy().astype(np.uint64), table.column("items").to_numpy()
+    order = np.argsort(word)
+    return Totals(sums["items"] if sums else 0, sums["length"] if sums else 0, word[order], df[order])
+
+
+def _searcher(index):
     def run(batches):
-        own = index.value
         for part in _text.chunks(batches, "text"):
-            hits = own.find(*_text.lower_words(part.column("text")))
-            if hits:
-                row, item, score, question, answer = zip(*hits)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(pa.array(row)), pa.array([own.items[k] for k in item]), *[pa.array(x, pa.float64()) for x in (score, question, answer)]],
-                    names=["id", "item", "score", "question_overlap", "answer_overlap"],
-                )
+            words = _text.lower_words(part.column("text"))
+            for own in index.value:
+                hits = own.find(*words)
+                if hits:
+                    row, item, score, question, answer = zip(*hits)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("id").take(pa.array(row)), pa.array([own.items[k] for k in item]), *[pa.array(x, pa.float64()) for x in (score, question, answer)]],
+                        names=["id", "key", "score", "question_overlap", "answer_overlap"],
+                    )
 
     return run

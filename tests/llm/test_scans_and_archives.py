@@ -116,6 +116,26 @@ def test_a_question_without_its_answer_is_no_leak():
     assert leaks_of(["Is the world flat? One may ask"], others, ["Yes.", "No."]) == set()
 
 
+def test_the_number_of_indexes_changes_nothing(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(120)]
+    draw = lambda n: " ".join(vocabulary[int(120 * rng.random() ** 2)] for _ in range(n))
+    texts = [f"{draw(rng.randint(4, 30))}? {draw(rng.randint(1, 12))}." for _ in range(40)]
+    texts += [f"{draw(400)}? {draw(5)}."] + texts[:1] * 15
+    items = spark.createDataFrame([*enumerate(texts), (None, texts[1]), (3, texts[3])], "item_id long, text string")
+    spoilt = lambda t: " ".join(w for w in t.split() if rng.random() < 0.9)
+    docs = spark.createDataFrame([(k, f"{draw(20)} {spoilt(rng.choice(texts))} {draw(20)}") for k in range(150)], "doc_id long, text string")
+    asked = decontaminate.question_and_answer(items)
+    one, many = (decontaminate.find_leaks(docs, asked, decontaminate.Search(items=n)).collect() for n in (1000, 20))
+    tell = lambda rows: Counter((r.doc_id, r.item, round(r.score, 9), r.question_overlap, r.answer_overlap) for r in rows)
+    assert len(one) > 50 and tell(one) == tell(many)
+    # a long item does not widen the passages of the others
+    far = spark.createDataFrame([(1, " ".join(["one two three", *[f"a{k}" for k in range(60)], "four five six"]))], "doc_id long, text string")
+    for extra in ([], [(" ".join(f"b{k}" for k in range(300)) + ".", "")]):
+        asked = spark.createDataFrame([(1, "one two three.", "four five six"), *[(2, q, a) for q, a in extra]], "item long, question string, answer string")
+        assert decontaminate.find_leaks(far, asked).count() == 0
+
+
 # --- license scans ----------------------------------------------------------------------------
 
 
