@@ -5,11 +5,13 @@ Index. Items are the collection: each posting holds an item's BM25 weight of a t
 item's weight of all its terms, so a score is the share (0 to 1) of the item that a passage holds
 and one threshold fits all. Items lie in blocks; each term has its largest weight in every block.
 
-Search, as block-max WAND does: lists of frequent terms cannot lift an item over the threshold
+Search, by a block-max filter: lists of frequent terms cannot lift an item over the threshold
 alone, so what they can add at most is known for each block, and only the lists of the other terms
 are walked. A block is opened for a passage where the block maxima of the passage's terms plus
-that rest reach the threshold; items of an opened block are scored in full. The bound is never
-below a score, so all items above the threshold are found.
+that rest reach the threshold; items of an opened block are scored in full. This is not block-max
+WAND, which moves cursors of ordered lists past documents below a pivot: here the threshold is fixed,
+the lists are short, and all passages of a chunk are bounded at once by array operations. The bound is
+never below a score, so all items above the threshold are found.
 
 Verification. A retrieved item counts when the passage covers both its question and its answer:
 the share of words that lie in an n-gram of words which the passage holds too. One changed word can
