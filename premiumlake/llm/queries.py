@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiumlake.llm import byte_bpe, decontaminate, jaccard_join, license_scan, pu_quality, quality_rules, sharding, suffix_dedup, url_filter, warc
+from premiumlake.llm import byte_bpe, decontaminate, jaccard_join, license_scan, pu_quality, quality_rules, secret_scan, sharding, suffix_dedup, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -150,3 +150,17 @@ FROM marked
 @register("op10_url_filter", _URL_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@register("op11_token_efficiency")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = rank_file()
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), path, pattern)
+    base = F.filter("spans", lambda x: x["kind"] != "random")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
