@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiumlake.llm import byte_bpe, decontaminate, jaccard_join, license_scan, pu_quality, quality_rules, secret_scan, sharding, suffix_dedup, url_filter, warc
+from premiumlake.llm import byte_bpe, decontaminate, jaccard_join, license_scan, pu_quality, quality_rules, secret_scan, sharding, suffix_dedup, url_filter, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -164,3 +164,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+@register("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.select("vec_id", "component", "n", F.col("deviation").cast("long"), "whitened", "explained", "identity_error")
