@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiumlake.llm import byte_bpe, decontaminate, jaccard_join, license_scan, pu_quality, quality_rules, secret_scan, sharding, suffix_dedup, url_filter, warc, whitening
+from premiumlake.llm import byte_bpe, decontaminate, jaccard_join, license_scan, pu_quality, quality_rules, secret_scan, sharding, suffix_dedup, token_alignment, url_filter, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -170,3 +170,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     white = whitening.whiten(table(spark, sf_dir, "embeddings"))
     return white.select("vec_id", "component", "n", F.col("deviation").cast("long"), "whitened", "explained", "identity_error")
+
+
+@register("op13_cross_tokenizer")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_alignment.align_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
