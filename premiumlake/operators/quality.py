@@ -78,45 +78,71 @@ def _bq(c: str) -> Column:
     return F.col("`" + c.replace("`", "``") + "`")
 
 
+def _key(df: DataFrame, columns: tuple[str, ...]) -> Column:
+    """The values of ``columns`` as strings that differ wherever the values do."""
+    kinds = dict(df.dtypes)
+    return F.array(*[(F.hex(_bq(c)) if kinds[c] == "binary" else _bq(c).cast("string")) for c in columns])
+
+
+def _finding(df: DataFrame, check: Check) -> tuple[Column, Column]:
+    """(when a row counts for a check, the key under which it counts)."""
+    nothing = F.array().cast("array<string>")
+    if check.kind == "not_null":
+        return _bq(check.columns[0]).isNull(), nothing
+    if check.kind == "expression":
+        return F.coalesce(check.failing, F.lit(False)), nothing
+    if check.kind == "accepted_values":
+        return F.coalesce(~_bq(check.columns[0]).isin(*check.values), F.lit(False)), _key(df, check.columns)
+    if check.kind == "unique":
+        return _bq(check.columns[0]).isNotNull(), _key(df, check.columns)
+    if check.kind == "unique_combination":
+        return F.lit(True), _key(df, check.columns)
+    raise ValueError(f"unknown check kind {check.kind!r}")
+
+
 def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Run declared checks; one report row per check.
+    """Run declared checks; one report row per check, all of them over one scan of ``df``.
 
-    Checks are isolated: a check naming a column the table lacks reports status ``error`` with
-    a message, and the other checks still run.
+    Every row gives the (check, key) pairs that it counts for: nothing for a check that it passes,
+    its key for uniqueness, the value for a value that is not accepted. Pairs are counted once for
+    all checks, combined on every task before the shuffle, and one row of sums gives the report.
+
+    Checks are isolated: one that does not fit the table (a column that it lacks, an expression that
+    cannot be analysed) reports status ``error`` with a message, and the other checks still run.
     """
     spark = df.sparkSession
     present = set(df.columns)
-    counters: list[tuple[Check, Column]] = []
-    grouped: list[DataFrame] = []
+    sound: list[Check] = []
     broken: list[tuple[Check, str]] = []
+    emitted: list[Column] = []
     for chk in checks:
         missing = [c for c in chk.columns if c not in present]
         if missing:
             broken.append((chk, "missing column(s): " + ", ".join(missing)))
             continue
-        if chk.kind == "not_null":
-            counters.append((chk, F.count_if(_bq(chk.columns[0]).isNull())))
-        elif chk.kind == "accepted_values":
-            # Own aggregate over the offending rows only: a distinct count inside the shared
-            # aggregate would make Spark expand every row of the table once per distinct column.
-            col = _bq(chk.columns[0])
-            bad = df.where(~col.isin(*chk.values)).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-            grouped.append(bad.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(_row(chk, F.col("n"))))))
-        elif chk.kind == "expression":
-            counters.append((chk, F.count_if(F.coalesce(chk.failing, F.lit(False)))))
-        elif chk.kind in ("unique", "unique_combination"):
-            cols = [_bq(c) for c in chk.columns]
-            base = df.where(cols[0].isNotNull()) if chk.kind == "unique" else df
-            dupes = base.groupBy(*cols).count().where(F.col("count") > 1)
-            grouped.append(dupes.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(_row(chk, F.col("n"))))))
-        else:
-            broken.append((chk, f"unknown check kind {chk.kind!r}"))
+        try:
+            counts, key = _finding(df, chk)
+            df.select(counts, key).schema  # analysed, not run
+        except (AnalysisException, ValueError) as why:
+            broken.append((chk, str(why).split("\n")[0][:300]))
+            continue
+        emitted.append(F.when(counts, F.struct(F.lit(len(sound)).alias("check"), key.alias("key"))))
+        sound.append(chk)
     parts: list[DataFrame] = []
-    if counters:
-        one_pass = df.agg(*[c.alias(f"c{i}") for i, (_, c) in enumerate(counters)])
-        rows = [_row(chk, F.col(f"c{i}")) for i, (chk, _) in enumerate(counters)]
-        parts.append(one_pass.select(F.inline(F.array(*rows))))
-    parts.extend(grouped)
+    if sound:
+        pairs = df.select(F.explode(F.filter(F.array(*emitted), lambda x: x.isNotNull())).alias("p"))
+        found = pairs.groupBy("p.check", "p.key").agg(F.count(F.lit(1)).alias("n"))
+        sums = []
+        for i, chk in enumerate(sound):
+            own = F.col("check") == i
+            if chk.kind in ("unique", "unique_combination"):
+                total = F.count_if(own & (F.col("n") > 1))
+            elif chk.kind == "accepted_values":
+                total = F.count_if(own)
+            else:
+                total = F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0))
+            sums.append(total.alias(f"c{i}"))
+        parts.append(found.agg(*sums).select(F.inline(F.array(*[_row(chk, F.col(f"c{i}")) for i, chk in enumerate(sound)]))))
     if broken:
         parts.append(
             spark.createDataFrame(
@@ -126,10 +152,7 @@ def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
         )
     if not parts:
         return spark.createDataFrame([], REPORT_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 # --- declared tests of the reference's tables -----------------------------------------------

@@ -16,10 +16,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premiumlake.operators import customer_marts, party_marts
+from premiumlake.operators import customer_marts, party_marts, quality
 from premiumlake.operators.history import IS_CURRENT, scd2_snapshot
 from premiumlake.operators.ingest import clean_transactions, ingest_raw
 from premiumlake.operators.spine import daily_activity, user_months
+from premiumlake.plans import graph
+from premiumlake.plans.graph import Model
 from premiumlake.session import checkpoint_dir
 from premiumlake.sources.tables import merge_partitions, overwrite_partitions, publish
 
@@ -150,6 +152,75 @@ def build_all(
     return written
 
 
+def premium_models(at: dt.datetime, as_of: dt.date, prefix: str = "", buckets: int = 8) -> list[Model]:
+    """The models with their inputs and declared tests, for ``graph.build``. ``raw_transactions``,
+    ``ledger`` and ``policies`` are the sources. Incremental models audit the batch that is about to
+    be merged; the snapshot has no tests and reads audited silver."""
+    keyed = (buckets, ("transaction_id",))
+
+    def model(name, inputs, make, tests=(), **more) -> Model:
+        return Model(name, inputs, make, tuple(tests), MODELS[name]["tags"], table_name(name, prefix), **more)
+
+    def merge_activity(spark, batch, name):
+        merge_partitions(spark, name, batch, ["user_id", "activity_date"], "activity_month", prepare=_write_activity)
+
+    monthly, months = ("gold_fct_monthly_premiums",), ("int_customer_months",)
+    return [
+        model("accounting_closing", ("ledger",), lambda ledger: ledger),
+        model("bronze_raw_transactions", ("raw_transactions",), lambda raw: ingest_raw(raw, at=at)),
+        model(
+            "silver_transactions", ("bronze_raw_transactions",), lambda bronze: clean_transactions(bronze, at=at),
+            quality.silver_tests(), bucket_by=keyed,
+        ),
+        model(
+            "snp_silver_transactions", ("silver_transactions",), lambda silver: silver,
+            publish=lambda spark, silver, name: snapshot_run(spark, name, silver, at, buckets),
+        ),
+        model("gold_fct_monthly_premiums", ("silver_transactions",), lambda silver: party_marts.monthly_premiums(silver, at=at), quality.monthly_tests()),
+        model(
+            "gold_fct_accounting_reconciliation", ("accounting_closing", *monthly), lambda ledger, mart: party_marts.reconcile(ledger, mart, at=at),
+            quality.recon_tests(),
+        ),
+        model("gold_fct_monthly_churn_rate_by_party", monthly, lambda mart: party_marts.refund_churn(mart, at=at), quality.party_month_tests()),
+        model("gold_fct_premium_concentration_hhi", monthly, lambda mart: party_marts.concentration(mart, at=at), quality.concentration_tests()),
+        model("gold_fct_premium_mom_growth", monthly, lambda mart: party_marts.period_growth(mart, at=at), quality.party_month_tests()),
+        model(
+            "gold_fct_customer_activity_daily", ("policies",), lambda policies: daily_activity(policies, as_of, at=at),
+            quality.activity_tests(), publish=merge_activity,
+        ),
+        model("int_customer_months", ("gold_fct_customer_activity_daily",), user_months, bucket_by=(buckets, ("user_id", "product_group"))),
+        model("gold_fct_cohort_retention", months, lambda um: customer_marts.cohort_retention(um, at=at), quality.cohort_tests()),
+        model("gold_fct_customer_ltv", months, lambda um: customer_marts.customer_ltv(um, at=at), quality.ltv_tests()),
+        model("gold_fct_gwp_waterfall", months, lambda um: customer_marts.premium_waterfall(um, at=at), quality.waterfall_tests()),
+    ]
+
+
+def build_audited(
+    spark: SparkSession,
+    sources: Sources,
+    at: dt.datetime,
+    as_of: dt.date,
+    prefix: str = "",
+    select: Iterable[str] | None = None,
+    buckets: int | None = None,
+    location: str | None = None,
+) -> DataFrame:
+    """Write, audit, publish: ``build_all`` by the model graph, with the declared tests as a gate.
+
+    Returns the report of ``graph.build``. ``select`` takes names and ``tag:`` terms with ``+`` for
+    up- and downstream; ``location``: folder of the databases (default: the warehouse)."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    make_databases(spark, prefix, location)
+    given = {"raw_transactions": sources.raw_transactions, "ledger": sources.accounting_closing, "policies": sources.policies}
+    return graph.build(spark, premium_models(at, as_of, prefix, buckets), given, select)
+
+
+def make_databases(spark: SparkSession, prefix: str = "", location: str | None = None) -> None:
+    for layer in LAYERS:
+        where = f" LOCATION '{location.rstrip('/')}/{prefix}{layer}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}{where}")
+
+
 CLOSED_RUN = "_closed_run"  # partition column: the closing run, or OPEN for open versions
 OPEN = "open"
 
