@@ -11,6 +11,7 @@ import atexit
 import gc
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from premiumlake.session import checkpoint_dir
@@ -43,6 +44,12 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def shared(spark: SparkSession, value):
+    """A broadcast of ``value`` as bytes that carry this package's classes along, so that executors can
+    read it without the package: ``pickle.loads(shared(...).value)``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
 def written() -> int:
     """How many folders were made so far; a mark for ``drop_written``."""
     return len(_written)

@@ -27,6 +27,7 @@ of all items, so an item's decisions do not depend on which others share its ind
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premiumlake.llm import _text
-from premiumlake.llm._store import stored
+from premiumlake.llm._store import shared, stored
 
 
 @dataclass(frozen=True)
@@ -326,7 +327,7 @@ def find_leaks(
     for part in range(parts):
         own = distinct.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == part) if parts > 1 else distinct
         total = _totals(counts, own) if parts > 1 else None
-        index = spark.sparkContext.broadcast(indexes(own.orderBy("key").toArrow().to_pydict(), search, total))
+        index = shared(spark, indexes(own.orderBy("key").toArrow().to_pydict(), search, total))
         found.append(rows.mapInArrow(_searcher(index), schema))
     out = found[0]
     for more in found[1:]:
@@ -347,9 +348,10 @@ def _totals(counts: DataFrame, own: DataFrame) -> Totals:
 
 def _searcher(index):
     def run(batches):
+        loaded = pickle.loads(index.value)
         for part in _text.chunks(batches, "text"):
             words = _text.lower_words(part.column("text"))
-            for own in index.value:
+            for own in loaded:
                 hits = own.find(*words)
                 if hits:
                     row, item, score, question, answer = zip(*hits)

@@ -20,6 +20,7 @@ its occurrences are enough.
 
 from __future__ import annotations
 
+import pickle
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Mapping
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premiumlake.llm import _text
+from premiumlake.llm._store import shared
 
 COVERAGE = 0.8
 
@@ -347,11 +349,11 @@ def scan_licenses(
     Null and empty texts and texts without a notice give no rows, templates without words are
     never found, rows that repeat give repeated rows, an empty table or no templates no rows.
     """
-    scanner = docs.sparkSession.sparkContext.broadcast(Scanner(templates, coverage, telling))
+    scanner = shared(docs.sparkSession, Scanner(templates, coverage, telling))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        own = scanner.value
+        own = pickle.loads(scanner.value)
         for part in _text.chunks(batches, "text"):
             words, row, at = _text.lower_words(part.column("text"))
             out, last, text = [], -1, []

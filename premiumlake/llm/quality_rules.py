@@ -140,7 +140,7 @@ def score_documents(
     docs: DataFrame, labels: DataFrame | None, ratio: Ratio = Ratio(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Every row of ``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, llr and kept as added columns (in place of columns of these names).
+    base_failed, llr and kept as added columns (in place of columns of these names in any case).
 
     ``labels``: ids of trusted documents in the first column, or None. Null and empty texts have
     no words and an llr of 0, and fail the base rules; texts shorter than an n-gram have an llr of
@@ -148,12 +148,15 @@ def score_documents(
     are scored alike; an empty table gives an empty result.
     """
     values = docs.sparkSession.sparkContext.broadcast(log_ratios(corpus_counts(docs, labels, ratio, id_col, text_col), ratio))
-    kept = [c for c in docs.columns if c not in ADDED]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).cast("string").alias("__text"))
+    kept = [c for c in docs.columns if c.lower() not in ADDED]
+    whole = "text"
+    while whole in {c.lower() for c in kept}:
+        whole += "_"
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).cast("string").alias(whole))
 
     def run(batches):
-        for part in _text.chunks(batches, "__text"):
-            data, offsets = _text.buffers(part.column("__text"))
+        for part in _text.chunks(batches, whole):
+            data, offsets = _text.buffers(part.column(whole))
             n = len(offsets) - 1
             f = base_figures(data, offsets)
             bucket, row = gram_buckets(data, offsets, ratio.n, ratio.buckets)

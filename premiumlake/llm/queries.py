@@ -53,17 +53,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op2_label_propagation")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.sha1(text.cast("binary")).alias("link"),
-    )
-    placed = sharding.assign_shards(docs, docs.select(F.col("doc_id").alias("id"), "link"), shards=8, id_col="doc_id")
-    return docs.drop("link").join(placed.withColumnRenamed("id", "doc_id"), "doc_id").select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
-    )
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 @register("op3_decontamination")

@@ -159,3 +159,26 @@ def assign_shards(docs: DataFrame, links: DataFrame, shards: int = 8, rounds: in
         before += free
     moved = spare.select("id", target.alias("shard"), slot.alias("slot"))
     return stays.unionByName(moved).select("id", F.col("shard").cast("int"), F.col("slot").cast("long"))
+
+
+def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, size long, text_crc32 long, shard int, slot long) for every row of ``docs``, rows with
+    equal texts being neighbours.
+
+    A row is a document: rows without an id, rows that share one and rows that repeat are placed
+    each. Null texts are empty; ``size`` is the bytes of the text plus one. Other columns are not
+    read. An empty table gives an empty result. Rows are numbered as they are stored, so the
+    placement is the same for the same files and settings.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.sha1(text.cast("binary")).alias("link"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    rows = stored(rows, "rows")
+    placed = assign_shards(rows.select("row"), rows.select(F.col("row").alias("id"), "link"), shards, rounds, "row")
+    out = rows.join(placed.withColumnRenamed("id", "row"), "row")
+    return out.select(F.col("id").alias(id_col), "size", "text_crc32", "shard", "slot")

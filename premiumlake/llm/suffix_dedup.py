@@ -322,7 +322,7 @@ def kept_texts(
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rank = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
+    rank = F.coalesce(F.col(id_col).try_cast("long"), F.lit(LAST))
     return docs.select(F.col(id_col).alias("id"), rank.alias("rank"), F.xxhash64(F.md5(text.cast("binary"))).alias("key"), text.alias("text"))
 
 
@@ -335,7 +335,7 @@ def per_document(
     ``kept``; ``nothing``: its value where nothing is left. A document whose text a smaller id also
     has loses all of it, unless it is shorter than ``length``.
 
-    Ids are integers; a null id is larger than all others. Null texts are empty. Rows that repeat,
+    Ids are integers; a null id, or one that is no integer, is larger than all others. Null texts are empty. Rows that repeat,
     and rows of one id with different texts, don't remove each other's strings. An empty table
     gives an empty result.
     """

@@ -10,12 +10,15 @@ block is one pass over the urls that keeps the best rule so far.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from premiumlake.llm._store import shared
+
 RULES_PER_BLOCK = 500_000
 
 _ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -102,15 +105,16 @@ def filter_urls(
     urls = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
     spark = pages.sparkSession
     tries = [
-        spark.sparkContext.broadcast(RuleTrie(rules[k : k + block])) for k in range(0, len(rules), block)
+        shared(spark, RuleTrie(rules[k : k + block])) for k in range(0, len(rules), block)
     ]
 
     def judge(batches):
+        loaded = [pickle.loads(t.value) for t in tries]
         for batch in batches:
             host, path, rule, verdict, labels = [], [], [], [], []
             for url in batch.column("url").to_pylist():
                 h, p = split_url(url)
-                found = [x for t in tries if (x := t.value.find(h, p))]
+                found = [x for t in loaded if (x := t.find(h, p))]
                 best = max(found, key=lambda x: (x[2], len(x[0]), x[1] == "allow"), default=(None, default, -1))
                 host.append(h)
                 path.append(p)

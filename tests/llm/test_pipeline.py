@@ -152,3 +152,30 @@ def test_run_equals_brute_force(spark, folder):
 def test_stages_of_an_empty_table(spark, folder):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, frame(spark, rows()).limit(0), folder).count() == 0, name
+
+
+def test_columns_of_any_name_survive(spark, folder):
+    """Names that a stage may use inside, in any case, and ids that are strings."""
+    own = [(i, t) for i, t in rows() if i is not None]
+    names = ["doc_id", "text", "__key", "__kept", "__lowest", "__size", "__text", "N_WORDS", "Kept", "row", "left", "rest"]
+    for kind, id_of in (("long", lambda i: i), ("string", lambda i: f"d{i}")):
+        schema = f"doc_id {kind}, text string, " + ", ".join(f"`{c}` string" for c in names[2:])
+        docs = spark.createDataFrame([(id_of(i), t, *[f"{c}-{i}" for c in names[2:]]) for i, t in own], schema)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            got = stage(spark, docs, folder) if kind == "long" or name != "quality rules" else docs
+            found = got.collect()
+            assert got.columns == names and found, name
+            for r in found:
+                number = str(r.doc_id).removeprefix("d")
+                assert [r[c] for c in names[2:]] == [f"{c}-{number}" for c in names[2:]], name
+
+
+def test_of_repeats_the_same_row_stays(spark, folder):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    many = [(1, text, f"v{k}") for k in range(9)]
+    kept = set()
+    for k in range(3):
+        docs = spark.createDataFrame(many[k:] + many[:k], "doc_id long, text string, v string").repartition(1 + k)
+        (row,) = corpus_pipeline.near_duplicates(spark, docs, folder).collect()
+        kept.add(row.v)
+    assert len(kept) == 1

@@ -369,3 +369,15 @@ def test_hot_group_and_odd_cases(spark):
     check_even(sharding.assign_shards(docs, none, shards=8).collect(), 8)
     check_even(sharding.assign_shards(docs.limit(3), none, shards=8).collect(), 8)
     assert sharding.assign_shards(docs.limit(0), none, shards=8).count() == 0
+
+
+def test_sharding_places_every_row(spark):
+    """Rows without an id, rows that share one and rows that repeat."""
+    own = [(k, f"text {k % 9}") for k in range(40)] + [(None, "text 1"), (None, None), (5, "other"), (5, "other"), (5, "more"), (7, None), (7, "")]
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in own], "doc_id long, text string, shard int, row int").repartition(3)
+    got = sharding.shard_documents(docs, 8).collect()
+    assert Counter((r.doc_id, r.size) for r in got) == Counter((i, len(t or "") + 1) for i, t in own)
+    slots = {s: sorted(r.slot for r in got if r.shard == s) for s in range(8)}
+    assert all(x == list(range(len(x))) for x in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert sharding.shard_documents(docs.limit(0), 8).collect() == []
