@@ -22,15 +22,17 @@ _scratch = [0, 0]
 
 
 def _stage(function):
-    """A stage that removes what the stage before left in the shared folder."""
+    """A stage that removes what the stage before left in the shared folder. It is handed (doc_id,
+    text, row), ``row`` being all columns of its input."""
 
     @wraps(function)
     def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         drop_written(*_scratch)
         release_shuffles(spark)
         _scratch[0] = written()
+        rows = docs.select("doc_id", "text", F.struct("*").alias("row"))  # no name of the input can clash
         try:
-            return function(spark, docs, sf_dir)
+            return function(spark, rows, sf_dir)
         finally:
             _scratch[1] = written()
 
@@ -49,45 +51,47 @@ def _row_key(digest: Column) -> Column:
 @_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio."""
-    rows = docs.select("doc_id", "text", F.struct("*").alias("row"))
-    scored = quality_rules.score_documents(rows, trusted_labels(spark, sf_dir))
+    scored = quality_rules.score_documents(docs, trusted_labels(spark, sf_dir))
     return scored.where("kept").select("row.*")
 
 
 @_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class: the one with the smallest id (null ids last)."""
-    found = jaccard_join.near_duplicates(docs)
+    """One document of each class: the one with the smallest id (null ids last), then the least digest;
+    of rows with one id and text, the one whose columns have the least digest."""
+    found = jaccard_join.near_duplicates(docs.select("doc_id", "text"))
     first = found.groupBy("class_no").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("first"))
-    keys = first.select("first.*").select(_row_key(F.col("digest")).alias("__key"))
-    marked = docs.withColumn("__key", _row_key(_digest()))
-    # a key stands for one row or for repeats of it
-    return marked.join(keys, "__key").dropDuplicates(["__key"]).select(*docs.columns)
+    keys = first.select("first.*").select(_row_key(F.col("digest")).alias("key"))
+    marked = docs.withColumn("key", _row_key(_digest())).join(keys, "key")
+    chosen = marked.groupBy("key").agg(F.min_by("row", F.md5(F.to_json("row").cast("binary"))).alias("row"))
+    return chosen.select("row.*")
 
 
 @_stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without what documents with smaller ids hold too; a document of which nothing is left
     goes."""
-    texts = suffix_dedup.kept_texts(docs, whole_characters=True)
-    texts = texts.select(F.col("key").alias("__key"), F.col("lowest").alias("__lowest"), F.col("n_bytes").alias("__size"), F.decode("kept", "UTF-8").alias("__kept"))
+    texts = suffix_dedup.kept_texts(docs.select("doc_id", "text"), whole_characters=True)
+    texts = texts.select("key", "lowest", "n_bytes", F.decode("kept", "UTF-8").alias("left"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumn("__key", F.xxhash64(F.md5(text.cast("binary")))).drop("text").join(texts, "__key")
-    rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(suffix_dedup.LAST))
-    copy = (rank > F.col("__lowest")) & (F.col("__size") >= suffix_dedup.Repeats().length)
-    rows = rows.where(~copy & (F.length("__kept") > 0)).withColumn("text", F.col("__kept"))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    # the text itself stays behind, the rest of the row goes with what is left of it
+    rest = F.col("row").dropFields("text")
+    rows = docs.select("doc_id", F.xxhash64(F.md5(text.cast("binary"))).alias("key"), rest.alias("rest")).join(texts, "key")
+    rank = F.coalesce(F.col("doc_id").try_cast("long"), F.lit(suffix_dedup.LAST))
+    copy = (rank > F.col("lowest")) & (F.col("n_bytes") >= suffix_dedup.Repeats().length)
+    rows = rows.where(~copy & (F.length("left") > 0))
+    fields = docs.schema["row"].dataType.fields
+    size = {"n_chars": lambda kind: F.length("left").cast(kind), "text": lambda kind: F.col("left").cast(kind)}
+    return rows.select(*[size[f.name](f.dataType).alias(f.name) if f.name in size else F.col("rest").getField(f.name).alias(f.name) for f in fields])
 
 
 @_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     items = decontaminate.question_and_answer(table(spark, sf_dir, "benchmark"))
-    marked = docs.withColumn("__key", _row_key(_digest()))
-    leaks = decontaminate.find_leaks(marked, items, id_col="__key").select("__key").distinct()
-    return marked.join(leaks, "__key", "left_anti").select(*docs.columns)
+    marked = docs.withColumn("key", _row_key(_digest()))
+    leaks = decontaminate.find_leaks(marked.select("key", "text"), items, id_col="key").select("key").distinct()
+    return marked.join(leaks, "key", "left_anti").select("row.*")
 
 
 @_stage
