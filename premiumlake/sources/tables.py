@@ -1,4 +1,11 @@
-"""Table sink: overwrite a catalog table, safely when the plan reads the table it replaces."""
+"""Table sink: overwrite a catalog table, safely when the plan reads the table it replaces, and merge
+batches into partitioned tables.
+
+Which partitions an overwrite replaces is an option of the table (``dynamic_overwrite``), so that
+no write changes a setting of the session. New columns of a merged batch are a change of the
+table's metadata: files written before give NULL. Batches that carry an id are entered into a
+ledger beside the table, and one that is there already is skipped.
+"""
 
 from __future__ import annotations
 
@@ -46,6 +53,48 @@ def publish(
     spark.catalog.refreshTable(name)
 
 
+def quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def dynamic_overwrite(spark: SparkSession, name: str) -> None:
+    """Make overwrites of the partitioned table ``name`` replace only the partitions that they have
+    rows in, in any session."""
+    spark.sql(f"ALTER TABLE {quoted(name)} SET SERDEPROPERTIES ('partitionOverwriteMode' = 'dynamic')")
+    spark.catalog.refreshTable(name)
+
+
+def ledger(name: str) -> str:
+    """Name of the table that lists the applied batches of ``name``: batch_id, applied_at."""
+    return f"{name}__batches"
+
+
+def is_applied(spark: SparkSession, name: str, batch_id: str) -> bool:
+    book = ledger(name)
+    return spark.catalog.tableExists(book) and not spark.table(book).where(F.col("batch_id") == batch_id).isEmpty()
+
+
+def _enter(spark: SparkSession, name: str, batch_id: str) -> None:
+    book = ledger(name)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(book)} (batch_id STRING, applied_at TIMESTAMP) USING parquet")
+    entry = spark.range(1).select(F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("applied_at"))
+    entry.coalesce(1).write.mode("append").insertInto(book)
+    spark.catalog.refreshTable(book)
+
+
+def add_columns(spark: SparkSession, name: str, batch: DataFrame) -> bool:
+    """Add the columns that only ``batch`` has to the table's metadata; no file is read or written.
+    False where that is not enough: the batch lacks a column or has one of another type."""
+    have = {f.name: f.dataType for f in spark.table(name).schema.fields}
+    give = {f.name: f.dataType for f in batch.schema.fields}
+    if any(give.get(c) != kind for c, kind in have.items()):
+        return False
+    if new := [c for c in give if c not in have]:
+        spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({', '.join(f'`{c}` {give[c].simpleString()}' for c in new)})")
+        spark.catalog.refreshTable(name)
+    return True
+
+
 def merge_partitions(
     spark: SparkSession,
     name: str,
@@ -53,7 +102,8 @@ def merge_partitions(
     keys: Sequence[str],
     partition_col: str,
     prepare=None,
-) -> None:
+    batch_id: str | None = None,
+) -> bool:
     """Delete+insert ``batch`` into the table partitioned by ``partition_col``, rewriting only
     the partitions the batch touches.
 
@@ -61,48 +111,46 @@ def merge_partitions(
     date), so a target row whose key is in the batch can only live in a partition the batch
     touches; rows elsewhere are neither read nor rewritten. The target is semi-joined to the
     batch's distinct partition values (dynamic partition pruning at any number of them), the
-    partition of NULL values included. A batch that changes the schema has the whole table
-    merged and rewritten. ``prepare`` (e.g. a range
-    re-partitioning) is applied to the rows before they are written.
+    partition of NULL values included. New columns of the batch are added to the table's metadata; a
+    batch that lacks columns, or changes the type of one, has the whole table merged and rewritten.
+    ``prepare`` (e.g. a range re-partitioning) is applied to the rows before they are written.
+
+    A batch with a ``batch_id`` that was applied before is skipped (returns False). The id is
+    entered after the write: a run that ends between the two applies the batch once more, which
+    gives the same rows.
     """
+    if batch_id is not None and is_applied(spark, name, batch_id):
+        return False
+    _merge(spark, name, batch, keys, partition_col, prepare or (lambda df: df))
+    if batch_id is not None:
+        _enter(spark, name, batch_id)
+    return True
+
+
+def _merge(spark: SparkSession, name: str, batch: DataFrame, keys: Sequence[str], partition_col: str, prepare) -> None:
     from premiumlake.operators.history import delete_insert
 
-    prepare = prepare or (lambda df: df)
     if not spark.catalog.tableExists(name):
         publish(spark, prepare(batch), name, partition_by=[partition_col])
         return
-    target = spark.table(name)
-    same_schema = {f.name: f.dataType for f in target.schema.fields} == {f.name: f.dataType for f in batch.schema.fields}
-    if not same_schema:
-        merged = delete_insert(target, batch, keys, sync=True)
+    if not add_columns(spark, name, batch):
+        merged = delete_insert(spark.table(name), batch, keys, sync=True)
         publish(spark, prepare(merged), name, partition_by=[partition_col], reads_self=True)
         return
+    target = spark.table(name)
     checkpoint_dir(spark)
-    batch = batch.checkpoint(eager=True)  # read three times below, produced once
+    batch = batch.select(*target.columns).checkpoint(eager=True)  # read three times below, produced once
     values = batch.select(partition_col)
     touched = target.join(values.distinct(), partition_col, "left_semi").select(*target.columns)
     if not values.where(F.col(partition_col).isNull()).isEmpty():
         touched = touched.unionByName(target.where(F.col(partition_col).isNull()))
     merged = prepare(delete_insert(touched, batch, keys, sync=False)).checkpoint(eager=True)
-    mode_key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(mode_key)
-    spark.conf.set(mode_key, "dynamic")  # replace only the partitions present in `merged`
-    try:
-        merged.select(*target.columns).write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(mode_key, previous)
-    spark.catalog.refreshTable(name)
+    overwrite_partitions(spark, merged, name)
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, name: str) -> None:
     """Replace exactly the partitions of ``name`` that ``df`` has rows in (dynamic partition
     overwrite); ``df`` must carry the table's columns. Other partitions are not touched."""
-    target_cols = spark.table(name).columns
-    mode_key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(mode_key)
-    spark.conf.set(mode_key, "dynamic")
-    try:
-        df.select(*target_cols).write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(mode_key, previous)
+    dynamic_overwrite(spark, name)
+    df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
     spark.catalog.refreshTable(name)
