@@ -164,24 +164,22 @@ def concentration(
 
     HHI = 10000 × Σ value² / (Σ value)², computed from exact sums with one rounding; a zero
     period total gives NULL shares and score and the level ``highly_concentrated``. Dominance is
-    a share strictly above ``dominant_share`` on the unrounded share. One window over the period
-    replaces the reference's two self-joins; the window's groups are parties of one period.
+    a share strictly above ``dominant_share`` on the unrounded share.
+
+    The moments of a period (sum, sum of squares, greatest, least, distinct entities) are mergeable:
+    they are combined by (period, entity) on every task, then by period, so that a period that holds
+    a third of all rows is spread, and joined back, one row a period. ``mart`` is read twice.
     """
-    w = Window.partitionBy(by)
     v = F.col(value).cast(MONEY)  # see MONEY: keeps comparisons with 4-place products exact
-    total = F.sum(v).over(w).cast(MONEY)
-    staged = mart.select(
-        entity,
-        by,
-        v.alias(value),
-        "written_premium",
-        "transaction_count",
-        total.alias("total_net_premium"),
-        F.sum(v * v).over(w).alias("_sum_sq"),
-        F.size(F.collect_set(entity).over(w)).cast("long").alias("active_parties"),
-        F.max(v).over(w).alias("_max_v"),
-        F.min(v).over(w).alias("_min_v"),
+    moments = mart.groupBy(F.col(by).alias("_period")).agg(
+        F.sum(v).cast(MONEY).alias("total_net_premium"),
+        F.sum(v * v).alias("_sum_sq"),
+        F.max(v).alias("_max_v"),
+        F.min(v).alias("_min_v"),
+        F.count_distinct(F.col(entity)).alias("active_parties"),
     )
+    rows = mart.select(entity, by, v.alias(value), "written_premium", "transaction_count")
+    staged = rows.join(moments, F.col(by).eqNullSafe(F.col("_period")))
     tot = F.col("total_net_premium")
     hhi = round_ratio(F.col("_sum_sq") * F.lit(10000), tot * tot, 2)
     limit = F.lit(Decimal(dominant_share))

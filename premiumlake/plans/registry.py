@@ -146,7 +146,7 @@ def churn(i: Inputs) -> DataFrame:
 
 @register("concentration_hhi", O.with_ctes("SELECT * FROM hhi_mart", "hhi_mart"))
 def hhi(i: Inputs) -> DataFrame:
-    return party_marts.concentration(i.monthly)
+    return party_marts.concentration(staged(i.monthly))
 
 
 @register("mom_growth", O.with_ctes("SELECT * FROM growth", "growth"))
@@ -688,12 +688,12 @@ def report_customers(i: Inputs) -> DataFrame:
     O.with_ctes("SELECT DISTINCT month, hhi_score, concentration_level, active_parties FROM hhi_mart", "hhi_mart"),
 )
 def month_metric(i: Inputs) -> DataFrame:
-    return R.month_metric(party_marts.concentration(i.monthly))
+    return R.month_metric(party_marts.concentration(staged(i.monthly)))
 
 
 @register("share_by_month", O.with_ctes("SELECT month, party, market_share_pct FROM hhi_mart", "hhi_mart"))
 def share_by_month(i: Inputs) -> DataFrame:
-    return R.share_by_month(party_marts.concentration(i.monthly))
+    return R.share_by_month(party_marts.concentration(staged(i.monthly)))
 
 
 @register("top_customers", O.with_ctes("SELECT user_id, product_group, ltv_bucket, lifetime_premium FROM ltv", "ltv"))
@@ -733,3 +733,42 @@ def run_select_params(i: Inputs) -> DataFrame:
     if not res.ok:
         raise RuntimeError(res.error)
     return res.df
+
+
+_STATEMENTS = [
+    ("aggregate", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus", True),
+    ("subquery", "SELECT o_orderkey FROM orders WHERE o_totalprice = (SELECT max(o_totalprice) FROM orders)", True),
+    ("cte", "WITH big AS (SELECT * FROM orders WHERE o_totalprice > 100000) SELECT count(*) AS n FROM big a JOIN big b ON a.o_orderkey = b.o_orderkey", True),
+    ("window", "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS nth FROM orders", True),
+    ("path in a string", "SELECT 'parquet.`/x`, reflect(1)' AS words FROM orders", True),
+    ("path", "SELECT * FROM `parquet`.`{path}`", False),
+    ("path in a subquery", "SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT o_custkey FROM parquet.`{path}`)", False),
+    ("jvm method", "SELECT java_method('java.lang.Math', 'abs', 1) AS n", False),
+    ("jvm method in a cte", "WITH x AS (SELECT try_reflect('java.lang.Math', 'abs', 1) AS n) SELECT n FROM x", False),
+    ("insert", "WITH x AS (SELECT 1 AS n) INSERT INTO orders SELECT n FROM x", False),
+    ("drop", "DROP VIEW orders", False),
+    ("two statements", "SELECT 1; SELECT 2", False),
+    ("unknown table", "SELECT * FROM no_such_table", False),
+]
+
+
+@register(
+    "validate_select",
+    "SELECT statement, allowed, CASE WHEN allowed AND statement = 'aggregate' THEN (SELECT count(DISTINCT o_orderstatus) FROM orders) "
+    "WHEN allowed AND statement = 'subquery' THEN (SELECT count(*) FROM orders WHERE o_totalprice = (SELECT max(o_totalprice) FROM orders)) "
+    "WHEN allowed AND statement = 'cte' THEN 1 WHEN allowed THEN (SELECT count(*) FROM orders) END AS row_count, "
+    "statement <> 'unknown table' AS ready FROM (VALUES "
+    + ", ".join(f"('{name}', {str(allowed).lower()})" for name, _, allowed in _STATEMENTS)
+    + ") t(statement, allowed)",
+)
+def validate_select(i: Inputs) -> DataFrame:
+    """(statement, allowed, row_count of what is allowed, ready: the table gate) for statements over orders."""
+    _views(i, "orders")
+    i.spark.catalog.dropTempView("no_such_table")
+    path = f"{i.sf_dir.rstrip('/')}/orders.parquet"
+    rows = []
+    for name, sql, _ in _STATEMENTS:
+        result = G.run_select(i.spark, sql.replace("{path}", path))
+        ready = G.table_ready(i.spark, "no_such_table" if name == "unknown table" else "orders")
+        rows.append((name, result.ok, result.row_count if result.ok else None, ready))
+    return i.spark.createDataFrame(rows, "statement string, allowed boolean, row_count long, ready boolean")

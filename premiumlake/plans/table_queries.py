@@ -1,4 +1,5 @@
-"""Registered queries that go through the table sinks: audited build and versioned refresh."""
+"""Registered queries that go through the table sinks: audited build, versioned refresh, keyed tables
+and merged batches."""
 
 from __future__ import annotations
 
@@ -7,6 +8,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from premiumlake.operators import quality as Q
 from premiumlake.plans import build as B
@@ -15,7 +17,7 @@ from premiumlake.plans import oracle as O
 from premiumlake.plans.inputs import Inputs
 from premiumlake.plans.registry import register
 from premiumlake.plans.scratch import remove_at_exit, scratch_database, scratch_location
-from premiumlake.sources import fixtures, versions
+from premiumlake.sources import fixtures, keyed, tables, versions
 
 AT = dt.datetime(2025, 1, 1)
 
@@ -119,3 +121,106 @@ def refresh_versions(i: Inputs) -> DataFrame:
     sums = [F.count(F.lit(1)).alias("months"), F.sum("net_premium").cast("decimal(28,2)").alias("net_premium")]
     read = [df.groupBy("party").agg(*sums).select(F.lit(label).alias("reader"), "*") for label, df in (("before", before), ("after", spark.table(name)))]
     return read[0].unionByName(read[1]).withColumn("kept", F.lit(kept))
+
+
+# --- keyed table -----------------------------------------------------------------------------
+
+_CYCLE = O.with_ctes(
+    "SELECT * FROM (SELECT coalesce(t.c_custkey, b.c_custkey) AS c_custkey, coalesce(t.c_name, b.c_name) AS c_name, "
+    "coalesce(t.c_nationkey, b.c_nationkey) AS c_nationkey, "
+    "CASE WHEN b.c_custkey IS NOT NULL THEN b.c_acctbal ELSE t.c_acctbal END AS c_acctbal, "
+    "coalesce(t.c_mktsegment, b.c_mktsegment) AS c_mktsegment "
+    "FROM customer t FULL OUTER JOIN customer_batch b ON t.c_custkey = b.c_custkey) merged "
+    "WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus = 'P' AND o.o_orderpriority = '1-URGENT' AND o.o_custkey = merged.c_custkey)",
+    "customer_batch",
+)
+
+
+@register("keyed_cycle", _CYCLE)
+def keyed_cycle(i: Inputs) -> DataFrame:
+    """Three batches on a keyed table: all customers inserted, some updated with new ones among them,
+    those with an urgent order in progress deleted; then the full load."""
+    spark, name, customer = i.spark, f"{scratch_database(i.spark)}.customers", i.table("customer")
+    keyed.create(spark, name, customer.schema, ["c_custkey"])
+    keyed.insert(spark, name, customer)
+    keyed.upsert(spark, name, fixtures.customer_update_batch(customer), ["c_acctbal"])
+    urgent = i.table("orders").where("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'")
+    keyed.delete(spark, name, urgent.select(F.col("o_custkey").alias("c_custkey")))
+    return keyed.read(spark, name)
+
+
+_CONSTRAINTS = """
+WITH finished AS (SELECT * FROM orders WHERE o_orderstatus = 'F'),
+steps AS (
+  SELECT 1 AS step, 'insert' AS write, 'accepted' AS outcome, NULL AS violation, 0 AS violations, (SELECT count(*) FROM finished) AS rows_after
+  UNION ALL SELECT 2, 'insert', 'refused', 'key in the table already', (SELECT count(*) FROM finished), (SELECT count(*) FROM finished)
+  UNION ALL SELECT 3, 'insert', 'refused', 'key repeated in the batch',
+    (SELECT count(*) - count(DISTINCT o_custkey) FROM orders), (SELECT count(*) FROM finished)
+  UNION ALL SELECT 4, 'upsert', 'refused', 'null in customer', (SELECT count(*) FROM orders WHERE o_orderstatus = 'P'), (SELECT count(*) FROM finished)
+  UNION ALL SELECT 5, 'upsert', 'accepted', NULL, 0, (SELECT count(*) FROM orders)
+)
+SELECT step, write, outcome, violation, CAST(violations AS BIGINT) AS violations, CAST(rows_after AS BIGINT) AS rows_after,
+  (SELECT count(*) FROM finished) AS by_default
+FROM steps
+"""
+
+
+@register("keyed_constraints", _CONSTRAINTS)
+def keyed_constraints(i: Inputs) -> DataFrame:
+    """Five writes of orders to a keyed table, three of which its constraints refuse: (step, write, outcome,
+    violation, violations, rows_after, by_default: rows whose state is the column's default)."""
+    spark, name, orders = i.spark, f"{scratch_database(i.spark)}.orders", i.table("orders")
+    schema = T.StructType(
+        [T.StructField("number", T.LongType(), False), T.StructField("customer", T.LongType(), False), T.StructField("state", T.StringType())]
+    )
+    keyed.create(spark, name, schema, ["number"], defaults={"state": "'new'"})
+    number, customer = F.col("o_orderkey").alias("number"), F.col("o_custkey").alias("customer")
+    no_customer = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("customer")
+    finished, state = orders.where("o_orderstatus = 'F'").select(number, customer), F.col("o_orderstatus").alias("state")
+    writes = [
+        ("insert", keyed.insert, finished),
+        ("insert", keyed.insert, orders.select(number, customer, state)),
+        ("insert", keyed.insert, orders.select(F.col("o_custkey").alias("number"), customer)),
+        ("upsert", lambda *args: keyed.upsert(*args, ["state"]), orders.select(number, no_customer, state)),
+        ("upsert", lambda *args: keyed.upsert(*args, ["customer"]), orders.select(number, customer, state)),
+    ]
+    rows = []
+    for step, (label, write, batch) in enumerate(writes, 1):
+        found = {None: 0}
+        try:
+            write(spark, name, batch)
+        except keyed.ConstraintError as refused:
+            found = refused.violations
+        after = keyed.read(spark, name).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("state") == "new").alias("d")).first()
+        rows += [(step, label, "refused" if what else "accepted", what, n, after.n, after.d) for what, n in found.items()]
+    return spark.createDataFrame(rows, "step int, write string, outcome string, violation string, violations long, rows_after long, by_default long")
+
+
+# --- merged batches --------------------------------------------------------------------------
+
+_MERGED = """
+WITH first AS (
+  SELECT o_orderkey, o_totalprice, NULL AS o_orderpriority, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE year(o_orderdate) END AS y FROM orders
+),
+second AS (
+  SELECT o_orderkey, o_totalprice + 1 AS o_totalprice, o_orderpriority,
+    CASE WHEN o_orderstatus = 'P' THEN NULL ELSE year(o_orderdate) END AS y
+  FROM orders WHERE (year(o_orderdate) = 1995 OR o_orderstatus = 'P') AND o_orderpriority = '1-URGENT'
+)
+SELECT o_orderkey, o_totalprice, o_orderpriority, CAST(y AS INT) AS y, CAST(2 AS BIGINT) AS batches, 1 AS skipped
+FROM (SELECT * FROM first WHERE o_orderkey NOT IN (SELECT o_orderkey FROM second) UNION ALL SELECT * FROM second) merged
+"""
+
+
+@register("merge_partitions_table", _MERGED)
+def merge_partitions_table(i: Inputs) -> DataFrame:
+    """Orders by year, those in progress in the partition of NULL: a second batch brings a new column to
+    two partitions, and the first batch, sent again, is skipped."""
+    spark, name, orders = i.spark, f"{scratch_database(i.spark)}.orders", i.table("orders")
+    year = F.when(F.col("o_orderstatus") != "P", F.year("o_orderdate")).alias("y")
+    first = orders.select("o_orderkey", "o_totalprice", year)
+    some = orders.where("(year(o_orderdate) = 1995 OR o_orderstatus = 'P') AND o_orderpriority = '1-URGENT'")
+    second = some.select("o_orderkey", (F.col("o_totalprice") + 1).cast(orders.schema["o_totalprice"].dataType).alias("o_totalprice"), "o_orderpriority", year)
+    applied = [tables.merge_partitions(spark, name, batch, ["o_orderkey"], "y", batch_id=mark) for mark, batch in (("a", first), ("b", second), ("a", first))]
+    batches = spark.table(tables.ledger(name)).count()
+    return spark.table(name).withColumn("batches", F.lit(batches).cast("long")).withColumn("skipped", F.lit(applied.count(False)))

@@ -131,3 +131,19 @@ def test_hot_user_spine_is_spread_over_tasks(spark):
     per_task = [r.n for r in spine.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert sum(per_task) == 400 * 61
     assert len(per_task) >= 6 and max(per_task) < 0.4 * sum(per_task)
+
+
+def test_concentration_has_no_window_and_spreads_a_hot_period(spark):
+    rows = [("hot" if k % 3 == 0 else f"m{k % 40}", f"p{k}", D(k % 17)) for k in range(3_000)]
+    mart = spark.createDataFrame(rows, "month string, party string, net_premium decimal(18,2)")
+    mart = mart.withColumn("written_premium", F.col("net_premium")).withColumn("transaction_count", F.lit(1))
+    out = P.concentration(mart)
+    plan = plan_of(out)
+    assert "Window" not in plan and "collect_set" not in plan
+    assert re.search(r"hashpartitioning\(month#\d+, party#\d+", plan)  # a period is spread by entity before it is folded
+    hot = [r for r in out.collect() if r.month == "hot"]
+    values = [v for m, _, v in rows if m == "hot"]
+    assert len(hot) == 1000 and {r.active_parties for r in hot} == {1000}
+    assert {r.total_net_premium for r in hot} == {sum(values)}
+    expected = (D(10000) * sum(v * v for v in values) / (sum(values) ** 2)).quantize(D("0.01"))
+    assert {r.hhi_score for r in hot} == {expected}

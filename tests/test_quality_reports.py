@@ -162,3 +162,40 @@ def test_audit_goes_on_without_a_missing_column(spark):
     assert got["null_check"] == got["net_premium_sanity"] == got["summary_by_party"] == (False, None)
     verdict = Q.audit_verdict(report).first()
     assert (verdict.success, verdict.passed, verdict.failed) == (False, 1, len(got) - 1)
+
+
+def test_guard_decides_on_the_analysed_plan(spark, tmp_path):
+    from premiumlake.operators import guarded_sql as G
+
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+    spark.read.parquet(path).createOrReplaceTempView("guard_view")
+    spark.sql("CREATE TABLE IF NOT EXISTS guard_table USING parquet AS SELECT id FROM range(3)")
+    spark.udf.register("guard_udf", lambda x: x, "long")
+    allowed = [
+        "SELECT id FROM guard_view",
+        "SELECT id FROM guard_table",
+        "SELECT 'text.`/etc/hostname` and reflect(1)' AS quoted",
+        "SELECT id AS `java_method(` FROM guard_table -- parquet.`x`",
+        "WITH a AS (SELECT max(id) AS m FROM guard_view) SELECT * FROM a WHERE EXISTS (SELECT 1 FROM guard_table WHERE id = m)",
+        "SELECT e, sum(id) OVER (PARTITION BY e) AS s FROM guard_view LATERAL VIEW explode(array(1, 2)) t AS e ORDER BY 1 LIMIT 3",
+        "SELECT id FROM guard_view UNION SELECT id FROM guard_table EXCEPT SELECT 1",
+    ]
+    for sql in allowed:
+        assert G.validate_select(spark, sql) == (True, None), sql
+    refused = [
+        f"SELECT * FROM `parquet`.`{path}`",
+        f"SELECT * FROM PARQUET . `{path}`",
+        f"SELECT id FROM guard_view WHERE id IN (SELECT id FROM parquet.`{path}`)",
+        f"WITH a AS (SELECT * FROM parquet.`{path}`) SELECT count(*) FROM a",
+        f"SELECT (SELECT max(id) FROM parquet.`{path}`) AS m",
+        "SELECT id FROM guard_view ORDER BY reflect('java.lang.Math', 'abs', 1)",
+        "SELECT id FROM guard_view WHERE try_reflect('java.lang.Math', 'abs', 1) = '1'",
+        "SELECT guard_udf(id) FROM guard_view",
+        "INSERT INTO guard_table SELECT 9",
+        "SELECT 1) UNION ALL (SELECT 2); DROP TABLE guard_table; SELECT * FROM (SELECT 1",
+    ]
+    for sql in refused:
+        ok, error = G.validate_select(spark, sql)
+        assert not ok and error, sql
+    assert spark.table("guard_table").count() == 3
