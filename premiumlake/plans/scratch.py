@@ -29,12 +29,18 @@ def scratch_database(spark: SparkSession) -> str:
     return name
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder's path; the folder goes with the interpreter."""
+    _, folder = scratch_location(spark)
+    _folders.append((spark, folder))
+    return folder
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet in the shared folder, for queries that read it several times; the
     files go with the interpreter."""
     spark = df.sparkSession
-    _, folder = scratch_location(spark)
-    _folders.append((spark, folder))
+    folder = scratch_path(spark)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

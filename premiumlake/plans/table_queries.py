@@ -1,5 +1,5 @@
-"""Registered queries that go through the table sinks: audited build, versioned refresh, keyed tables
-and merged batches."""
+"""Registered queries that go through the table sinks: audited build, versioned refresh, keyed tables,
+merged batches and CSV loads."""
 
 from __future__ import annotations
 
@@ -16,8 +16,8 @@ from premiumlake.plans import graph
 from premiumlake.plans import oracle as O
 from premiumlake.plans.inputs import Inputs
 from premiumlake.plans.registry import register
-from premiumlake.plans.scratch import remove_at_exit, scratch_database, scratch_location
-from premiumlake.sources import fixtures, keyed, tables, versions
+from premiumlake.plans.scratch import remove_at_exit, scratch_database, scratch_location, scratch_path
+from premiumlake.sources import fixtures, keyed, quarantine, tables, versions
 
 AT = dt.datetime(2025, 1, 1)
 
@@ -224,3 +224,41 @@ def merge_partitions_table(i: Inputs) -> DataFrame:
     applied = [tables.merge_partitions(spark, name, batch, ["o_orderkey"], "y", batch_id=mark) for mark, batch in (("a", first), ("b", second), ("a", first))]
     batches = spark.table(tables.ledger(name)).count()
     return spark.table(name).withColumn("batches", F.lit(batches).cast("long")).withColumn("skipped", F.lit(applied.count(False)))
+
+
+# --- CSV loads -------------------------------------------------------------------------------
+
+_QUARANTINE = O.with_ctes(
+    """SELECT 'raw_transactions' AS source, CASE WHEN reason = '' THEN 'accepted' ELSE 'rejected' END AS outcome, reason,
+  count(*) AS records, CASE WHEN reason = '' THEN CAST(sum(length(status) + CASE WHEN charged_party IS NULL THEN 6 ELSE 0 END) AS BIGINT) END AS status_chars,
+  CAST(NULL AS DECIMAL(28,2)) AS figures
+FROM (SELECT *, CASE WHEN premium_amount IS NULL THEN 'missing transaction_id' WHEN premium_amount IN ('n/a', '0.00') THEN 'fields' ELSE '' END AS reason FROM raw) r
+GROUP BY reason
+UNION ALL
+SELECT 'accounting_closing', CASE WHEN reason = '' THEN 'accepted' ELSE 'rejected' END, reason, count(*), NULL,
+  CASE WHEN reason = '' THEN CAST(sum(accounting_premium) AS DECIMAL(28,2)) END
+FROM (SELECT *, CASE substring(month, 6, 2) WHEN '06' THEN 'bad accounting_premium' WHEN '07' THEN 'missing party' ELSE '' END AS reason FROM ledger) l
+GROUP BY reason""",
+    "raw", "ledger",
+)
+
+
+@register("csv_quarantine", _QUARANTINE)
+def csv_quarantine(i: Inputs) -> DataFrame:
+    """The raw feed and the ledger through CSV files with broken records: records by outcome and reason, the
+    characters of all accepted states (quoted line breaks included) and the sum of the accepted figures."""
+    spark, database = i.spark, scratch_database(i.spark)
+    out = []
+    for name, lines in (("raw_transactions", fixtures.raw_csv_lines(i.raw)), ("accounting_closing", fixtures.ledger_csv_lines(i.ledger))):
+        folder = scratch_path(spark)
+        lines.write.text(folder)
+        got = quarantine.load(spark, name, folder, f"{database}.{name}", header=False)
+        money = name == "accounting_closing"
+        accepted = ~F.col(quarantine.VERDICT)
+        out.append(
+            got.counted(
+                (F.lit(None).cast("long") if money else F.sum(F.when(accepted, F.length("status")))).alias("status_chars"),
+                (F.sum(F.when(accepted, F.col("accounting_premium"))) if money else F.lit(None)).cast("decimal(28,2)").alias("figures"),
+            ).select(F.lit(name).alias("source"), "*")
+        )
+    return out[0].unionByName(out[1])

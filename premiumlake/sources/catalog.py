@@ -22,6 +22,7 @@ class Source:
     description: str
     format: str
     schema: StructType
+    required: tuple[str, ...] = ()
 
 
 SOURCES = {
@@ -33,12 +34,14 @@ SOURCES = {
             "are written as month/day/year.",
             "csv",
             schemas.RAW_TRANSACTIONS,
+            ("transaction_id",),
         ),
         Source(
             "accounting_closing",
             "Monthly premium per party reported by accounting (the reconciliation benchmark).",
             "csv",
             schemas.ACCOUNTING_CLOSING,
+            ("party", "month"),
         ),
         Source(
             "policies",
@@ -50,12 +53,18 @@ SOURCES = {
 }
 
 
-def read_source(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Read a declared source with its schema; CSV sources have a header row. The ledger figure
-    is narrowed to money on read."""
+def csv_options(header: bool = True, lines: bool = False) -> dict:
+    """Reader options of CSV sources: quotes are doubled inside quoted fields, and a quoted field may hold
+    line breaks, unless ``lines`` says that each line is a record (then files can be split)."""
+    return {"header": header, "mode": "PERMISSIVE", "quote": '"', "escape": '"', "multiLine": not lines}
+
+
+def read_source(spark: SparkSession, name: str, path: str, lines: bool = False) -> DataFrame:
+    """Read a declared source with its schema; CSV sources have a header row (``quarantine.load`` keeps
+    their broken records). The ledger figure is narrowed to money on read."""
     src = SOURCES[name]
     reader = spark.read.schema(src.schema)
-    df = reader.option("header", True).csv(path) if src.format == "csv" else reader.format(src.format).load(path)
+    df = reader.options(**csv_options(lines=lines)).csv(path) if src.format == "csv" else reader.format(src.format).load(path)
     if name == "accounting_closing":
         df = df.withColumn("accounting_premium", F.col("accounting_premium").cast(MONEY_IN))
     return df

@@ -10,11 +10,10 @@ import os
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from premiumlake import schemas
-from premiumlake.functions.exact import MONEY_IN
+from premiumlake.sources.catalog import read_source
 
 # Supplied test tables (one Parquet file each).
 TEST_TABLES = (
@@ -61,18 +60,12 @@ def register_views(spark: SparkSession, sf_dir: str, names: Iterable[str] = TEST
 
 def read_raw_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw transaction feed: header row, every column a string (types come later, in silver)."""
-    return (
-        spark.read.schema(schemas.RAW_TRANSACTIONS)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    return read_source(spark, "raw_transactions", path)
 
 
 def read_accounting_csv(spark: SparkSession, path: str) -> DataFrame:
     """Ledger seed (party, month, accounting_premium); the figure is narrowed to money."""
-    df = spark.read.schema(schemas.ACCOUNTING_CLOSING).option("header", True).csv(path)
-    return df.select("party", "month", F.col("accounting_premium").cast(MONEY_IN).alias("accounting_premium"))
+    return read_source(spark, "accounting_closing", path)
 
 
 def policies_from_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:

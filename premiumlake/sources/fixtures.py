@@ -106,6 +106,36 @@ def accounting_closing(silver: DataFrame) -> DataFrame:
     return ledger.unionByName(only)
 
 
+def _csv_line(*values: Column) -> Column:
+    """A CSV record: quoted fields, quotes doubled, NULL as nothing."""
+    quote = lambda c: F.coalesce(F.concat(F.lit('"'), F.replace(c.cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+    return F.concat_ws(",", *[quote(c) for c in values])
+
+
+def raw_csv_lines(raw: DataFrame) -> DataFrame:
+    """The raw feed as CSV text with broken records: no id where the amount is NULL, two fields too few
+    where it is ``n/a``, one too many where it is zero; a quoted status of two lines where the party is
+    NULL."""
+    amount, status = F.col("premium_amount"), F.col("status")
+    first = [F.col(c) for c in ("created_at", "premium_amount", "premium_currency", "charged_party")]
+    number = F.col("transaction_id")
+    two_lines = F.concat(F.lit('a "b"\n'), status)
+    line = (
+        F.when(amount.isNull(), _csv_line(F.lit(None), *first, status))
+        .when(amount == "n/a", _csv_line(number, *first[:3]))
+        .when(amount == "0.00", _csv_line(number, *first, status, F.lit("more")))
+        .otherwise(_csv_line(number, *first, F.when(F.col("charged_party").isNull(), two_lines).otherwise(status)))
+    )
+    return raw.select(line.alias("value"))
+
+
+def ledger_csv_lines(ledger: DataFrame) -> DataFrame:
+    """The ledger as CSV text; June has words for figures, July no party."""
+    month = F.substring("month", 6, 2)
+    figure = F.when(month == "06", F.lit("to follow")).otherwise(F.col("accounting_premium").cast("string"))
+    return ledger.select(_csv_line(F.when(month != "07", F.col("party")), F.col("month"), figure).alias("value"))
+
+
 def _product_group(segment: Column) -> Column:
     return (
         F.when(segment.isin("HOUSEHOLD", "BUILDING"), F.lit("household"))

@@ -21,4 +21,4 @@ def test_entry_imports_without_the_subpackage(tmp_path, with_pipeline):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", SCRIPT], cwd=copy, env=env, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr[-2000:]
-    assert done.stdout.split() == ["56", "56", "False"]
+    assert done.stdout.split() == ["61", "61", "False"]
