@@ -16,23 +16,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from premiumlake.session import checkpoint_dir
 
-_written: list[tuple[SparkSession, str]] = []
+_written: list[tuple[SparkSession, str, str | None]] = []
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; removed at exit."""
+def folder(spark: SparkSession, name: str, table: str | None = None) -> str:
+    """A new path below the shared folder, for ``table`` of the catalog if given; both are removed at exit."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
-    _written.append((spark, path.rsplit("/", 1)[0]))
+    _written.append((spark, path.rsplit("/", 1)[0], table))
     return path
 
 
-def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back."""
     spark, schema = df.sparkSession, df.schema
     path = folder(spark, name)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
-    del df, writer
+    df.write.parquet(path)
+    del df
     release_shuffles(spark)
     return spark.read.schema(schema).parquet(path)
 
@@ -60,8 +59,10 @@ def drop_written(start: int = 0, end: int | None = None) -> None:
     unreadable."""
     removed = _written[start:end]
     _written[start:end] = []
-    for spark, path in removed:
+    for spark, path, table in removed:
         try:
+            if table:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
             jvm = spark.sparkContext._jvm
             target = jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -6,12 +6,13 @@ that covers it also starts in a document with a smaller id.
    windows have equal seeds, and about one byte in twenty starts one. Seeds that only one text has
    are dropped; no window of theirs can recur.
 3. The stretches of text that a remaining seed owns (the windows with this seed, a hundred bytes at
-   most) meet in the shard of the seed. A shard is cut into suffix array jobs of a bounded size:
-   induced sorting and permuted common prefixes group the windows that agree on ``length`` bytes,
-   and the smallest document of each group decides. Stretches that differ from all others close to
-   their seed, on both sides, have no such window and are left out of the sort.
-4. A seed of more than ``hot`` texts is not gathered: its windows are grouped as rows by Spark,
-   combined before the shuffle, with the same result.
+   most) meet in the shard of the seed, in blocks of about ``block`` stretches, dealt by text and
+   place. Blocks go through suffix array jobs of a bounded size: induced sorting and permuted common
+   prefixes group the windows that agree on ``length`` bytes, and the smallest document of each
+   group decides. Stretches that differ from all others close to their seed, on both sides, have no
+   such window and are left out of the sort.
+4. Where a seed has several blocks, each block's job gives the smallest document of each of its
+   windows once; these meet by window, and the smallest of all blocks marks the others.
 5. The marked windows go back to their text, are merged into spans, and removed.
 
 Texts are keyed by a 64-bit hash of their digest.
@@ -41,7 +42,7 @@ LAST = (1 << 63) - 1
 class Repeats:
     length: int = 50
     gram: int = 16
-    hot: int = 5_000
+    block: int = 4_000
     job_bytes: int = 1 << 20
     contexts: int = 4
 
@@ -143,8 +144,9 @@ def _distinct_texts(docs: DataFrame, rule: Repeats) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.groupBy("key").agg(F.min("rank").alias("lowest"), F.first("text").alias("text"))
     name = f"llm_texts_{uuid.uuid4().hex}"
+    path = folder(spark, "distinct", table=name)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = texts.write.bucketBy(buckets, "key").option("path", folder(spark, "distinct")).option("compression", "zstd")
+    writer = texts.write.bucketBy(buckets, "key").option("path", path).option("compression", "zstd")
     writer.saveAsTable(name)
     del texts, writer
     release_shuffles(spark)
@@ -152,7 +154,8 @@ def _distinct_texts(docs: DataFrame, rule: Repeats) -> DataFrame:
 
 
 def _shared_seeds(texts: DataFrame, rule: Repeats) -> DataFrame:
-    """(key, seeds array<struct<seed, n>>) of seeds that two texts or more have."""
+    """(key, seeds array<struct<seed, blocks>>) of seeds that two texts or more have, and into how
+    many blocks the stretches of all texts are dealt."""
 
     def run(batches):
         for part in _text.chunks(batches, "text"):
@@ -164,18 +167,23 @@ def _shared_seeds(texts: DataFrame, rule: Repeats) -> DataFrame:
             seed, row = seed[order], row[order]
             fresh = np.ones(len(seed), bool)
             fresh[1:] = (seed[1:] != seed[:-1]) | (row[1:] != row[:-1])
-            seed, row = seed[fresh], row[fresh]
-            ends = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(seed.astype(np.int64)))
+            at = np.flatnonzero(fresh)
+            many = np.diff(np.r_[at, len(seed)]).astype(np.int32)
+            ends = np.searchsorted(row[at], np.arange(part.num_rows + 1)).astype(np.int32)
+            entries = pa.StructArray.from_arrays([pa.array(seed[at].astype(np.int64)), pa.array(many)], names=["seed", "many"])
+            lists = pa.ListArray.from_arrays(pa.array(ends), entries)
             yield pa.RecordBatch.from_arrays([part.column("key"), lists], names=["key", "seeds"])
 
-    seeds = texts.select("key", "text").mapInArrow(run, "key long, seeds array<long>").select("key", F.explode("seeds").alias("seed"))
-    counted = seeds.withColumn("n", F.count(F.lit(1)).over(W.partitionBy("seed"))).where("n > 1")
-    return counted.groupBy("key").agg(F.collect_list(F.struct("seed", "n")).alias("seeds"))
+    lists = texts.select("key", "text").mapInArrow(run, "key long, seeds array<struct<seed: long, many: int>>")
+    seeds = lists.select("key", F.inline("seeds"))
+    by_seed = W.partitionBy("seed")
+    blocks = F.ceil(F.sum("many").over(by_seed) / rule.block).cast("int")
+    counted = seeds.select("key", "seed", F.count(F.lit(1)).over(by_seed).alias("n"), blocks.alias("blocks")).where("n > 1")
+    return counted.groupBy("key").agg(F.collect_list(F.struct("seed", "blocks")).alias("seeds"))
 
 
 def _candidates(texts: DataFrame, shared: DataFrame, rule: Repeats) -> DataFrame:
-    """(seed, hot, key, lowest, start, windows, bytes): the stretches of shared seeds."""
+    """(seed, block, blocks, key, lowest, start, windows, bytes): the stretches of shared seeds."""
 
     def run(batches):
         for part in _text.chunks(batches, "text", 1 << 20):
@@ -187,7 +195,7 @@ def _candidates(texts: DataFrame, shared: DataFrame, rule: Repeats) -> DataFrame
             lists = part.column("seeds")
             entry, many = (pc.struct_field(lists.flatten(), k).to_numpy(zero_copy_only=False) for k in (0, 1))
             of = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-            # seeds of a row that are in its list, and how many texts have them
+            # seeds of a row that are in its list, and their numbers of blocks
             known, at = np.unique(entry, return_inverse=True)
             if not len(known) or not len(seed):
                 continue
@@ -202,6 +210,9 @@ def _candidates(texts: DataFrame, shared: DataFrame, rule: Repeats) -> DataFrame
             seed, start, windows, row, place = (x[hit] for x in (seed, start, windows, row, place))
             if not len(seed):
                 continue
+            blocks, begin = count[place], start - offsets[row]
+            key = part.column("key").to_numpy()[row]
+            block = _text.mix(_text.mix(key.view(np.uint64)) + begin.astype(np.uint64)) % blocks.astype(np.uint64)
             size = windows + rule.length - 1
             ends = np.r_[0, np.cumsum(size)].astype(np.int32)
             raw = pa.Array.from_buffers(pa.binary(), len(seed), [None, pa.py_buffer(ends), pa.py_buffer(data[_ranges(start, size)])])
@@ -211,22 +222,24 @@ def _candidates(texts: DataFrame, shared: DataFrame, rule: Repeats) -> DataFrame
                     [
                         x.slice(low, 20_000)
                         for x in (
-                            pa.array(seed), pa.array(count[place] > rule.hot), part.column("key").take(rows), part.column("lowest").take(rows),
-                            pa.array((start - offsets[row]).astype(np.int64)), pa.array(windows.astype(np.int32)), raw,
+                            pa.array(seed), pa.array(block.astype(np.int32)), pa.array(blocks.astype(np.int32)), pa.array(key),
+                            part.column("lowest").take(rows), pa.array(begin.astype(np.int64)), pa.array(windows.astype(np.int32)), raw,
                         )
                     ],
-                    names=["seed", "hot", "key", "lowest", "start", "windows", "bytes"],
+                    names=["seed", "block", "blocks", "key", "lowest", "start", "windows", "bytes"],
                 )
 
     joined = texts.join(shared, "key").select("key", "lowest", "text", "seeds")
-    return joined.mapInArrow(run, "seed long, hot boolean, key long, lowest long, start long, windows int, bytes binary")
+    return joined.mapInArrow(run, "seed long, block int, blocks int, key long, lowest long, start long, windows int, bytes binary")
 
 
-def _mark_by_suffix_arrays(candidates: DataFrame, rule: Repeats) -> DataFrame:
-    """(key, first, after): byte spans of repeated windows, shard by shard."""
+def _sorted_blocks(candidates: DataFrame, rule: Repeats) -> DataFrame:
+    """(key, first, after, least, window), job by job: byte spans of windows that a smaller document
+    of the job has, with null ``least`` and ``window``; and, of seeds with several blocks, every
+    window of the job's smallest document, with that document."""
 
     def run(batches):
-        for table in whole_groups(batches, ["seed"], rule.job_bytes):
+        for table in whole_groups(batches, ["seed", "block"], rule.job_bytes):
             data, offsets = _text.buffers(table.column("bytes").combine_chunks())
             lowest, windows, begin, key = (table.column(c).to_numpy() for c in ("lowest", "windows", "start", "key"))
             # equal stretches are sorted once, for the smallest of their documents; those that share
@@ -249,27 +262,42 @@ def _mark_by_suffix_arrays(candidates: DataFrame, rule: Repeats) -> DataFrame:
             marked = least[_ranges(at[of], windows)] < np.repeat(lowest, windows)
             row = np.repeat(np.arange(len(key)), windows)
             place = np.repeat(begin, windows) + _ranges(np.zeros(len(key), np.int64), windows)
-            # runs of marked windows within a stretch
-            row, place = row[marked], place[marked]
-            if not len(row):
-                continue
-            first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)])
-            last = np.r_[first[1:], len(row)] - 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[row[first]]), pa.array(place[first]), pa.array(place[last] + rule.length)], names=["key", "first", "after"]
-            )
-
-    rows = candidates.where("not hot").select("seed", "key", "lowest", "start", "windows", "bytes")
-    return rows.repartition("seed").sortWithinPartitions("seed").mapInArrow(run, "key long, first long, after long")
-
-
-def _mark_by_rows(candidates: DataFrame, rule: Repeats) -> DataFrame:
-    """The same for the seeds of many texts: equal windows meet as rows, combined before."""
-    rows = candidates.where("hot").withColumn("at", F.explode(F.sequence(F.lit(0), F.col("windows") - 1)))
-    rows = rows.select("key", "lowest", (F.col("start") + F.col("at")).alias("first"), F.expr(f"substring(bytes, at + 1, {rule.length})").alias("window"))
-    least = rows.groupBy("window").agg(F.min("lowest").alias("least"))
-    marked = rows.join(least, "window").where("least < lowest")
-    return marked.select("key", "first", (F.col("first") + rule.length).alias("after"))
+            open_ = ~marked & np.repeat(table.column("blocks").to_numpy() > 1, windows)
+            yield from marked_spans(key, row[marked], place[marked])
+            yield from first_windows(data, offsets, key, lowest, begin, row[open_], place[open_])
+
+    def marked_spans(key, row, place):
+        if not len(row):
+            return
+        # runs of marked windows within a stretch
+        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)])
+        last = np.r_[first[1:], len(row)] - 1
+        none = [pa.nulls(len(first), pa.int64()), pa.nulls(len(first), pa.binary())]
+        spans = [pa.array(key[row[first]]), pa.array(place[first]), pa.array(place[last] + rule.length)]
+        yield pa.RecordBatch.from_arrays(spans + none, names=names)
+
+    def first_windows(data, offsets, key, lowest, begin, row, place):
+        for low in range(0, len(row), 20_000):
+            of, at = row[low : low + 20_000], place[low : low + 20_000]
+            size = np.full(len(of), rule.length)
+            raw = pa.py_buffer(data[_ranges(offsets[of] + at - begin[of], size)])
+            ends = pa.py_buffer((np.arange(len(of) + 1) * rule.length).astype(np.int32))
+            window = pa.Array.from_buffers(pa.binary(), len(of), [None, ends, raw])
+            spans = [pa.array(key[of]), pa.array(at), pa.array(at + rule.length), pa.array(lowest[of])]
+            yield pa.RecordBatch.from_arrays([*spans, window], names=names)
+
+    names = ["key", "first", "after", "least", "window"]
+    rows = candidates.repartition("seed", "block").sortWithinPartitions("seed", "block")
+    return rows.mapInArrow(run, "key long, first long, after long, least long, window binary")
+
+
+def _marks(blocks: DataFrame) -> DataFrame:
+    """(key, first, after) of all windows that a smaller document has: those that their own block
+    marked, and those that another block of their seed marks."""
+    firsts = blocks.where("window is not null")
+    smallest = firsts.groupBy("window").agg(F.min("least").alias("smallest"))
+    across = firsts.join(smallest, "window").where("smallest < least")
+    return blocks.where("window is null").unionByName(across.drop("smallest")).select("key", "first", "after")
 
 
 def kept_texts(
@@ -282,9 +310,9 @@ def kept_texts(
     rows = _keyed(docs, id_col, text_col)
     texts = _distinct_texts(rows, rule)
     shared = stored(_shared_seeds(texts, rule), "shared")
-    candidates = stored(_candidates(texts, shared, rule), "candidates", partition_by="hot")
-    marks = _mark_by_suffix_arrays(candidates, rule).unionByName(_mark_by_rows(candidates, rule))
-    spans = marks.groupBy("key").agg(F.collect_list(F.struct("first", "after")).alias("marks"))
+    candidates = stored(_candidates(texts, shared, rule), "candidates")
+    blocks = stored(_sorted_blocks(candidates, rule), "blocks")
+    spans = _marks(blocks).groupBy("key").agg(F.collect_list(F.struct("first", "after")).alias("marks"))
 
     def cut(batches):
         for part in _text.chunks(batches, "text"):

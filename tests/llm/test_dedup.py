@@ -22,27 +22,48 @@ def texts():
     return [(k, t) for k, t in enumerate(rows)]
 
 
-def test_removed_bytes_equal_brute_force(spark):
-    rows = texts()
+def check_removed(spark, rows, rule):
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, key string")
-    for rule in (suffix_dedup.Repeats(), suffix_dedup.Repeats(hot=3)):
-        kept = suffix_dedup.with_counts(suffix_dedup.kept_texts(docs, rule))
-        got = {r.doc_id: r for r in suffix_dedup.per_document(docs, kept, "kept", suffix_dedup.F.lit(b""), rule).collect()}
-        seen: dict = {}
-        for i, t in rows:
-            b = (t or "").encode()
-            for k in range(len(b) - 49):
-                seen.setdefault(b[k : k + 50], i)
-        for i, t in rows:
-            b = (t or "").encode()
-            gone = bytearray(len(b))
-            for k in range(len(b) - 49):
-                if seen[b[k : k + 50]] < i:
-                    gone[k : k + 50] = b"\1" * 50
-            left = bytes(x for x, y in zip(b, gone) if not y)
-            spans = len(re.findall(rb"\x01+", bytes(gone)))
-            r = got[i]
-            assert (r.n_bytes, r.n_removed, r.n_spans, hashlib.md5(bytes(r.kept)).digest()) == (len(b), sum(gone), spans, hashlib.md5(left).digest())
+    kept = suffix_dedup.with_counts(suffix_dedup.kept_texts(docs, rule))
+    got = {r.doc_id: r for r in suffix_dedup.per_document(docs, kept, "kept", suffix_dedup.F.lit(b""), rule).collect()}
+    seen: dict = {}
+    for i, t in rows:
+        b = (t or "").encode()
+        for k in range(len(b) - 49):
+            seen.setdefault(b[k : k + 50], i)
+    for i, t in rows:
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for k in range(len(b) - 49):
+            if seen[b[k : k + 50]] < i:
+                gone[k : k + 50] = b"\1" * 50
+        left = bytes(x for x, y in zip(b, gone) if not y)
+        spans = len(re.findall(rb"\x01+", bytes(gone)))
+        r = got[i]
+        assert (r.n_bytes, r.n_removed, r.n_spans, hashlib.md5(bytes(r.kept)).digest()) == (len(b), sum(gone), spans, hashlib.md5(left).digest())
+
+
+def test_removed_bytes_equal_brute_force(spark):
+    for rule in (suffix_dedup.Repeats(), suffix_dedup.Repeats(block=3)):
+        check_removed(spark, texts(), rule)
+
+
+def test_passage_of_more_texts_than_a_block(spark):
+    rng = random.Random(3)
+    draw = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(n))
+    passage, ends = draw(14), [draw(4) for _ in range(40)]
+    rows = [f"{rng.choice(ends)} {draw(1)} {passage} {draw(1)} {rng.choice(ends)}" for _ in range(5000)] + ["na " * 9000]
+    rule = suffix_dedup.Repeats()
+    assert len(rows) > rule.block
+    check_removed(spark, list(enumerate(rows)), rule)
+    blocks = {(r.seed, r.block) for r in _blocks(spark, rows, rule).collect()}
+    assert len(blocks) > len({seed for seed, _ in blocks})  # the passage's seeds have several
+
+
+def _blocks(spark, rows, rule):
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = suffix_dedup._distinct_texts(suffix_dedup._keyed(docs, "doc_id", "text"), rule)
+    return suffix_dedup._candidates(found, suffix_dedup._shared_seeds(found, rule), rule).select("seed", "block").distinct()
 
 
 def test_links_equal_brute_force(spark):
