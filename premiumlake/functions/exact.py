@@ -13,7 +13,10 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_IN = "decimal(18,2)"  # raw amounts, ledger figures, monthly premiums
+MONEY_IN = "decimal(18,2)"  # ledger figures, monthly premiums
+# Amounts of the raw feed keep six places: what lies between zero and a cent is positive, and sums
+# are rounded once, in the marts. Six is also the scale that Spark keeps in long products.
+AMOUNT = "decimal(22,6)"
 # Sums and ratios use precision 28 (Spark's own sum type for decimal(18,2)), never 38: Spark
 # compares decimals in their wider common type, capped at 38 digits by dropping *scale*, so a
 # decimal(38,2) compared with a 4-place value is rounded to 2 places first (0.01 < 0.0149 is

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from premiumlake import reference_values as rv
 from premiumlake.functions.calendar import month_key, parse_created_at
-from premiumlake.functions.exact import MONEY_IN
+from premiumlake.functions.exact import AMOUNT
 
 # A number PostgreSQL would accept as double precision: optional sign, digits with an optional
 # fraction (or a bare fraction), optional exponent, surrounding blanks. Anything else is NULL.
@@ -21,9 +21,9 @@ NUMERIC_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*\z"
 
 
 def parse_amount(raw: Column) -> Column:
-    """Text → decimal(18,2); NULL for text that is not a plain number (``try_cast`` alone would
+    """Text → decimal(22,6), not rounded to cents; NULL for text that is not a plain number (``try_cast`` alone would
     accept Java-isms such as ``1.5d``)."""
-    return F.when(raw.rlike(NUMERIC_TEXT), F.trim(raw).try_cast(MONEY_IN))
+    return F.when(raw.rlike(NUMERIC_TEXT), F.trim(raw).try_cast(AMOUNT))
 
 
 def ingest_raw(raw: DataFrame, source_file: str = rv.RAW_SOURCE_FILE, at: dt.datetime | None = None) -> DataFrame:

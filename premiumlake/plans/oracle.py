@@ -59,6 +59,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id,
        WHEN o_orderkey % 107 = 0 THEN NULL
        WHEN o_orderkey % 109 = 0 THEN '0.00'
        WHEN o_orderkey % 103 = 0 THEN '-' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
+       WHEN o_orderkey % 127 = 0 THEN '0.004'
+       WHEN o_orderkey % 131 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || '4567'
        ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS premium_amount,
   'EUR' AS premium_currency,
   CASE WHEN o_orderkey % 113 = 0 THEN NULL ELSE {PARTY_LIST}[o_custkey % 4 + 1] END AS charged_party,
@@ -76,7 +78,7 @@ _cte(
     """
 SELECT transaction_id, created_at,
   CASE WHEN regexp_full_match(premium_amount, '\\s*[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?\\s*')
-       THEN TRY_CAST(trim(premium_amount) AS DECIMAL(18,2)) END AS premium_amount,
+       THEN TRY_CAST(trim(premium_amount) AS DECIMAL(22,6)) END AS premium_amount,
   premium_currency, charged_party, status, 'raw_transactions.csv' AS _source_file
 FROM raw""",
     "raw",
@@ -123,12 +125,12 @@ SELECT sales.party, sales.month,
   CAST(coalesce(refs.refunded, 0) AS DECIMAL(28,2)) AS refunded_premium,
   CAST(coalesce(refs.n_refunds, 0) AS BIGINT) AS refund_count,
   CAST(sales.written_premium - coalesce(refs.refunded, 0) AS DECIMAL(28,2)) AS net_premium,
-  {rr("sales.prorated_cents", "sales.month_days", 2, shift=-2)} AS earned_premium,
+  {rr("sales.prorated", "sales.month_days", 2, shift=-6)} AS earned_premium,
   sales.transaction_count, sales.first_transaction_date, sales.last_transaction_date
 FROM (
   SELECT party, transaction_month AS month,
     CAST(sum(premium_amount) AS DECIMAL(28,2)) AS written_premium,
-    sum({units("premium_amount", 2)} * (date_diff('day', transaction_date, last_day(transaction_date)) + 1)) AS prorated_cents,
+    sum({units("premium_amount", 6)} * (date_diff('day', transaction_date, last_day(transaction_date)) + 1)) AS prorated,
     max(day(last_day(transaction_date))) AS month_days,
     count(*) AS transaction_count,
     min(transaction_date) AS first_transaction_date,
@@ -449,7 +451,7 @@ _cte(
     "snap_b2",
     """
 SELECT transaction_id, transaction_date, transaction_month,
-  CASE WHEN CAST(transaction_id AS BIGINT) % 17 = 0 THEN CAST(premium_amount + 1.00 AS DECIMAL(18,2)) ELSE premium_amount END AS premium_amount,
+  CASE WHEN CAST(transaction_id AS BIGINT) % 17 = 0 THEN CAST(premium_amount + 1.00 AS DECIMAL(22,6)) ELSE premium_amount END AS premium_amount,
   premium_currency,
   CASE WHEN CAST(transaction_id AS BIGINT) % 19 = 0 THEN party || '-moved' ELSE party END AS party,
   CASE WHEN CAST(transaction_id AS BIGINT) % 13 = 0 THEN 'refunded' ELSE status END AS status,

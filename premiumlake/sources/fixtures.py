@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premiumlake import reference_values as rv
-from premiumlake.functions.exact import MONEY, MONEY_IN
+from premiumlake.functions.exact import AMOUNT, MONEY, MONEY_IN
 
 AS_OF = dt.date(2001, 12, 31)  # end of open policies in every fixture run, passed as a literal
 LEDGER_ONLY_MONTH = "2002-01"
@@ -29,7 +29,7 @@ def _party_of(custkey: Column) -> Column:
 
 def raw_transactions(orders: DataFrame) -> DataFrame:
     """Raw feed (all strings) with every defect the silver layer handles:
-    wrong-shape and impossible timestamps, unparseable / NULL / zero / negative amounts,
+    wrong-shape and impossible timestamps, unparseable / NULL / zero / negative amounts, parts of cents,
     missing party, the ``process`` status variant, refunds and failures, months of refunds alone."""
     k = F.col("o_orderkey")
     d = F.col("o_orderdate")
@@ -53,6 +53,8 @@ def raw_transactions(orders: DataFrame) -> DataFrame:
         .when(k % 107 == 0, F.lit(None).cast("string"))
         .when(k % 109 == 0, F.lit("0.00"))
         .when(k % 103 == 0, F.concat(F.lit("-"), amount_text))
+        .when(k % 127 == 0, F.lit("0.004"))
+        .when(k % 131 == 0, F.concat(amount_text, F.lit("4567")))
         .otherwise(amount_text)
     )
     # one party sells nothing in May of odd years: months of refunds alone
@@ -215,7 +217,7 @@ def scd2_second_batch(snapshot_rows: DataFrame) -> DataFrame:
             (
                 F.when(k % 13 == 0, F.lit("refunded")).otherwise(F.col("status")).alias("status")
                 if c == "status"
-                else F.when(k % 17 == 0, (F.col(c) + F.lit(Decimal("1.00"))).cast(MONEY_IN)).otherwise(F.col(c)).alias(c)
+                else F.when(k % 17 == 0, (F.col(c) + F.lit(Decimal("1.00"))).cast(AMOUNT)).otherwise(F.col(c)).alias(c)
                 if c == "premium_amount"
                 else F.when(k % 19 == 0, F.concat(F.col(c), F.lit("-moved"))).otherwise(F.col(c)).alias(c)
                 if c == "party"

@@ -62,7 +62,7 @@ def _typed(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.StringType):
         return text
     if isinstance(field.dataType, (T.DoubleType, T.DecimalType)):  # figures of money
-        return parse_amount(text)
+        return parse_amount(text).try_cast(MONEY_IN)
     return F.trim(text).try_cast(field.dataType)
 
 

@@ -115,6 +115,26 @@ def test_monthly_rules_b3_b4_b5_b6_t9_t10(spark):
     assert feb.refunded_premium == D("0.00") and feb.refund_count == 0 and feb.earned_premium == D("0.01")
 
 
+def test_parts_of_cents_count_and_sums_are_rounded_once(spark):
+    s = silver_of(
+        spark,
+        [
+            ("1", "1/31/2025 1:00:00", "0.004", "EUR", "dronant", "processed"),
+            ("2", "1/31/2025 1:00:00", "0.004", "EUR", "dronant", "process"),
+            ("3", "1/31/2025 1:00:00", "0.003", "EUR", "dronant", "refunded"),
+            ("4", "2/28/2025 1:00:00", "1e-3", "EUR", "dronant", "processed"),
+            ("5", "3/31/2025 1:00:00", "-0.001", "EUR", "dronant", "processed"),  # negative, not zero
+        ],
+    )
+    flags = {r.transaction_id: (r._dq_flags, r._is_clean) for r in s.collect()}
+    assert flags["1"] == ("", True) and flags["5"] == ("negative_premium", False)
+    m = {r.month: r for r in P.monthly_premiums(s).collect()}
+    assert set(m) == {"2025-01", "2025-02"}
+    jan = m["2025-01"]
+    assert (jan.written_premium, jan.transaction_count, jan.refunded_premium, jan.refund_count) == (D("0.01"), 2, D("0.00"), 1)
+    assert m["2025-02"].written_premium == D("0.00") and m["2025-02"].transaction_count == 1
+
+
 # --- reconciliation -----------------------------------------------------------------------------
 
 
