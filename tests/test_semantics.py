@@ -44,7 +44,7 @@ def test_t1_trailing_newline_is_not_a_timestamp(spark):
 
 @pytest.mark.parametrize(
     "text,expected",
-    [("n/a", None), ("1.5d", None), ("", None), (" 12.50 ", D("12.50")), ("1e3", D("1000.00")), ("-3.456", D("-3.46")), (".5", D("0.50"))],
+    [("n/a", None), ("1.5d", None), ("", None), (" 12.50 ", D("12.50")), ("1e3", D("1000.00")), ("-3.456", D("-3.456")), (".5", D("0.50"))],
 )
 def test_t2_amount_parsing(spark, text, expected):
     r = one(silver_of(spark, [("1", "1/5/2025 3:07:09", text, "EUR", "dronant", "processed")]))
