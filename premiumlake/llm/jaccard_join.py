@@ -31,6 +31,10 @@ from premiumlake.llm._groups import changes, components, whole_groups
 from premiumlake.llm._store import stored
 
 
+#: Bytes of text that a task shingles at a time, and of rows whose pairs it compares.
+CHUNK_BYTES, TABLE_BYTES = 1 << 18, 8 << 20
+
+
 @dataclass(frozen=True)
 class Join:
     threshold: float = 0.8
@@ -118,8 +122,8 @@ def surviving_pairs(values: np.ndarray, group: np.ndarray, block: np.ndarray, sp
     later = last - np.arange(len(group)) - 1
     total = np.cumsum(later)
     found, low = [], 0
-    while low < len(group):  # about a million pairs at a time
-        high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + (1 << 20), "right")))
+    while low < len(group):  # about a quarter of a million pairs at a time
+        high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + (1 << 18), "right")))
         count = later[low:high]
         a = np.repeat(np.arange(low, high), count)
         b = np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count) + a + 1
@@ -168,12 +172,29 @@ def intersections(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.nd
     return common[place[a], place[b]].astype(np.int64)
 
 
+def shingle_sets(table: pa.Table, wanted: np.ndarray, size: int) -> list[np.ndarray]:
+    """The sorted distinct shingles of the rows that are ``wanted``, empty for others. A text of
+    several rows (by ``text_id``) is cut once, and a chunk of texts at a time: shingling takes many
+    times the memory of its text."""
+    ids, first, of = np.unique(table.column("text_id").to_numpy()[wanted], return_index=True, return_inverse=True)
+    texts = table.select(["text"]).take(pa.array(wanted[first]))
+    found = []
+    for part in _text.chunks(texts.to_batches(), "text", CHUNK_BYTES):
+        hashes, rows = shingles(*_text.buffers(part.column("text")), size)
+        at = np.searchsorted(rows, np.arange(part.num_rows + 1))
+        found += [np.unique(hashes[x:y]) for x, y in zip(at[:-1], at[1:])]
+    sets = [np.zeros(0, np.uint64)] * table.num_rows
+    for row, k in zip(wanted.tolist(), of.tolist()):
+        sets[row] = found[k]
+    return sets
+
+
 def _sign(docs: DataFrame, join: Join) -> DataFrame:
     """A row for each distinct text: text_id, digest, copies, lowest id, MinHash values, keys."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
-        for part in _text.chunks(batches, "text"):
+        for part in _text.chunks(batches, "text", CHUNK_BYTES):
             hashes, rows = shingles(*_text.buffers(part.column("text")), join.shingle)
             values = signatures(hashes, rows, part.num_rows, join)
             has = np.bincount(rows, minlength=part.num_rows) > 0
@@ -220,7 +241,7 @@ def find_links(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFra
     units = stored(_units(signed, join), "units")
 
     def prune(batches):
-        for table in whole_groups(batches, _UNIT, 8 << 20):
+        for table in whole_groups(batches, _UNIT, TABLE_BYTES):
             a, b = surviving_pairs(*_arrays(table, join), join, need)
             some = pa.array(np.unique(np.concatenate([a, b])))
             if len(some):
@@ -232,20 +253,13 @@ def find_links(docs: DataFrame, join: Join = Join()) -> tuple[DataFrame, DataFra
     left = stored(rows.repartition(*_UNIT).sortWithinPartitions(*_UNIT, "text_id").mapInArrow(prune, kinds), "left")
 
     def verify(batches):
-        for table in whole_groups(batches, _UNIT, 16 << 20):
+        for table in whole_groups(batches, _UNIT, TABLE_BYTES):
             arrays = _arrays(table, join)
             a, b = surviving_pairs(*arrays, join, need)
             if not len(a):
                 continue
-            data, offsets = _text.buffers(table.column("text").combine_chunks())
-            hashes, rows = shingles(data, offsets, join.shingle)
-            order = np.lexsort((hashes, rows))
-            hashes, rows = hashes[order], rows[order]
-            fresh = np.r_[True, (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])]
-            hashes, rows = hashes[fresh], rows[fresh]
-            at = np.searchsorted(rows, np.arange(table.num_rows + 1))
-            sets = [hashes[x:y] for x, y in zip(at[:-1], at[1:])]
-            size = np.diff(at)
+            sets = shingle_sets(table, np.union1d(a, b), join.shingle)
+            size = np.array([len(x) for x in sets])
             linked = np.zeros(len(a), bool)
             group = arrays[1][a]
             edges = np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(a)]

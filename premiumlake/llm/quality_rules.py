@@ -27,6 +27,9 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 
+#: Bytes of text that a task works on at a time; the figures of a chunk take a hundred times its size.
+CHUNK_BYTES = 1 << 18
+
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 
@@ -110,7 +113,7 @@ def corpus_counts(docs: DataFrame, labels: DataFrame | None, ratio: Ratio, id_co
 
     def run(batches):
         raw, target = np.zeros(ratio.buckets, np.int64), np.zeros(ratio.buckets, np.int64)
-        for part in _text.chunks(batches, "text"):
+        for part in _text.chunks(batches, "text", CHUNK_BYTES):
             data, offsets = _text.buffers(part.column("text"))
             bucket, row = gram_buckets(data, offsets, ratio.n, ratio.buckets)
             good = part.column("trusted").fill_null(False).to_numpy(zero_copy_only=False)
@@ -155,7 +158,7 @@ def score_documents(
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).cast("string").alias(whole))
 
     def run(batches):
-        for part in _text.chunks(batches, whole):
+        for part in _text.chunks(batches, whole, CHUNK_BYTES):
             data, offsets = _text.buffers(part.column(whole))
             n = len(offsets) - 1
             f = base_figures(data, offsets)

@@ -88,3 +88,22 @@ def test_links_equal_brute_force(spark):
                         work.append(c)
             assert got[a] == (min(reach), len(b)), a
     assert jaccard_join.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_shingling_for_verification_is_bounded_and_cuts_a_text_once(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from premiumlake.llm import _text, jaccard_join
+
+    texts = [" ".join(f"w{k}x{n % 40}" for k in range(300)) for n in range(80)]  # 40 texts, each in two rows
+    table = pa.table({"text_id": [n % 40 for n in range(80)], "text": texts})
+    seen, cut = [], jaccard_join.shingles
+    monkeypatch.setattr(jaccard_join, "CHUNK_BYTES", 4000)
+    monkeypatch.setattr(jaccard_join, "shingles", lambda data, at, size: seen.append(len(data)) or cut(data, at, size))
+    wanted = np.array([1, 2, 41, 43, 79])
+    sets = jaccard_join.shingle_sets(table, wanted, 5)
+    assert max(seen) <= 4000 and sum(seen) == sum(len(texts[n]) for n in (1, 2, 3, 39))
+    for n in range(80):
+        hashes, _ = cut(*_text.buffers(pa.array([texts[n]])), 5)
+        assert sets[n].tolist() == (np.unique(hashes).tolist() if n in wanted else [])
