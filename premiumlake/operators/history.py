@@ -113,14 +113,29 @@ def sync_columns(target: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
-def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str], sync: bool = True) -> DataFrame:
+def delete_insert(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], sync: bool = True, within: Sequence[str] = ()
+) -> DataFrame:
     """Replace target rows whose key occurs in the batch, then add the whole batch.
 
     Target keys absent from the batch stay (so days after a late-arriving churn remain, as in
     the reference), and duplicate rows inside the batch are kept. With ``sync`` the target's
     columns are first aligned to the batch (schema evolution of an incremental load).
+
+    ``within``: columns by which both sides are partitioned already, each a key or a function of the
+    keys (the month of a key date). Rows then meet where they are: the batch's keys are folded into a
+    set for each value of ``within`` and hashed, so neither side's rows are shuffled or sorted. The
+    sets of one partition must fit a task.
     """
     base = sync_columns(target, batch) if sync else target
+    rest = [k for k in keys if k not in within]
+    if within and rest:
+        value = F.col(rest[0]) if len(rest) == 1 else F.struct(*rest)
+        whole = batch.where(_all([F.col(k).isNotNull() for k in keys]))  # a NULL key matches nothing
+        folded = whole.groupBy(*within).agg(F.collect_set(value).alias("_keys"))
+        folded = folded.select(*[F.col(c).alias(f"_in_{c}") for c in within], "_keys").hint("shuffle_hash")
+        met = _all([F.col(c) == F.col(f"_in_{c}") for c in within]) & F.array_contains("_keys", value)
+        return base.join(folded, met, "left_anti").unionByName(batch)
     # Distinct keys: a key repeated in the batch is combined map-side, and the aggregate's
     # hash partitioning on the keys is the one the anti join needs (no extra shuffle).
     batch_keys = batch.select(*keys).distinct()

@@ -109,3 +109,35 @@ def test_state_table_lifecycle(spark):
     assert (got[8].label_ids, got[8].created_at) == ([], dt.datetime(2025, 2, 1))
     S.delete_state(spark, name, spark.createDataFrame([(7,)], "pr_number int"))
     assert [r.pr_number for r in S.load_state(spark, name).collect()] == [8]
+
+
+def test_delete_insert_within_a_partitioning_needs_no_shuffle_of_the_days(spark):
+    from premiumlake.operators.spine import daily_activity
+
+    day = dt.date
+    columns = "user_id string, acquisition_date date, started_at date, churned_at date, monthly_premium decimal(18,2), product_group string"
+    old = [("a", day(2021, 1, 5), day(2021, 1, 20), None, 31, "x"), ("b", day(2021, 2, 1), day(2021, 2, 1), day(2021, 4, 2), 5, "y"),
+           ("b", day(2021, 2, 1), day(2021, 3, 1), day(2021, 3, 1), 7, "y"), (None, day(2021, 1, 1), day(2021, 1, 1), day(2021, 1, 3), 1, "x"),
+           ("c", day(2021, 5, 2), day(2021, 5, 2), day(2021, 5, 1), 1, "x")]
+    new = [("b", day(2021, 2, 1), day(2021, 2, 27), day(2021, 3, 4), 9, "y"), ("b", day(2021, 2, 1), day(2021, 2, 27), day(2021, 2, 28), 8, "y"),
+           (None, day(2021, 1, 1), day(2021, 1, 2), day(2021, 1, 2), 2, "x"), ("n", day(2021, 6, 1), day(2021, 6, 1), day(2021, 6, 2), 3, "x")]
+    old, new = (spark.createDataFrame(r, columns.replace("decimal(18,2)", "int")).withColumn("monthly_premium", F.col("monthly_premium").cast("decimal(18,2)")) for r in (old, new))
+    plain = [daily_activity(p, day(2021, 7, 15)) for p in (old, new)]
+    moved = [daily_activity(p, day(2021, 7, 15), by_month=True) for p in (old, new)]
+    every = plain[0].columns
+    assert moved[0].columns == every and moved[0].dtypes == plain[0].dtypes
+    assert [rows(df, *every) for df in moved] == [rows(df, *every) for df in plain]
+    out = H.delete_insert(*moved, ["user_id", "activity_date"], within=["user_id", "activity_month"])
+    assert rows(out, *every) == rows(H.delete_insert(*plain, ["user_id", "activity_date"]), *every)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in text.splitlines() if "Exchange" in line]
+    assert exchanges and all("REPARTITION_BY_NUM" in line for line in exchanges), text
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_delete_insert_within_keeps_rows_of_null_keys_and_compares_all_other_keys(spark):
+    columns = "k string, d int, e int, part int, v int"
+    target = spark.createDataFrame([("a", 1, 1, 0, 1), ("a", 1, 2, 0, 2), ("a", None, 1, 0, 3), (None, 1, 1, 0, 4), ("b", 1, 1, 0, 5)], columns)
+    batch = spark.createDataFrame([("a", 1, 1, 0, 9), ("a", 1, 1, 0, 9), ("a", None, 1, 0, 8), (None, 1, 1, 0, 7)], columns)
+    plain = H.delete_insert(target, batch, ["k", "d", "e"])
+    assert rows(H.delete_insert(target, batch, ["k", "d", "e"], within=["k", "part"]), "v") == rows(plain, "v")
