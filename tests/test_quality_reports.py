@@ -199,3 +199,22 @@ def test_guard_decides_on_the_analysed_plan(spark, tmp_path):
         ok, error = G.validate_select(spark, sql)
         assert not ok and error, sql
     assert spark.table("guard_table").count() == 3
+
+
+def test_a_daily_combination_is_counted_by_month_and_exactly(spark):
+    import datetime as dt
+
+    day = lambda n: dt.date(2021, 1, 1) + dt.timedelta(days=n)
+    data = [("a", day(n), 1.5) for n in range(70)] + [("a", day(30), None)] * 5 + [("b", day(0), 0.0), ("b", day(0), -0.0)]
+    data += [(None, day(1), 1.0)] * 2 + [("b", None, 1.0)] * 2 + [(None, None, 1.0), ("c", day(31), float("nan")), ("c", day(31), float("nan"))]
+    frame = spark.createDataFrame(data, "user string, at date, x double").repartition(5)
+    checks = [*Q.not_null("user", "at", "x"), Q.expression("small", F.col("x") < 1), Q.unique_combination("user", "at")]
+    got = {r.check_name: r.failures for r in Q.run_suite(frame, checks).collect()}
+    combo = "unique_combination_of_user__at"
+    assert got == {"not_null_user": 3, "not_null_at": 3, "not_null_x": 5, "small": 2, combo: 5}
+    three = Q.run_suite(frame, [Q.unique_combination("user", "at", "x")]).collect()[0]
+    assert three.failures == 4  # five rows without x, two of no user, two without day, NaN twice; 0.0 is not -0.0
+    assert [r.failures for r in Q.run_suite(frame.where("false"), checks).collect()] == [0] * 5
+    # days are combined by month before the shuffle, without a row for each of their keys
+    plan = Q.run_suite(frame, checks)._jdf.queryExecution().executedPlan().toString()
+    assert "explode(" not in plan and "partial_sum" in plan and "trunc(at" in plan
