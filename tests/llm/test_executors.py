@@ -6,7 +6,11 @@ import os
 import subprocess
 import sys
 
+import numpy as np
 import pytest
+from pyspark import cloudpickle
+
+from premiumlake.llm import _text
 
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SCRIPT = """
@@ -29,3 +33,12 @@ def test_workers_need_no_package(tmp_path, names):
     done = subprocess.run([sys.executable, str(script), REPO, *names], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
     assert done.returncode == 0, done.stderr[-3000:]
     assert [line.split()[0] for line in done.stdout.splitlines()[-len(names) :]] == names
+
+
+def test_jobs_leave_the_powers_of_the_driver_behind():
+    data, start, end = np.frombuffer(b"one two one", np.uint8), np.array([0, 4, 8]), np.array([3, 7, 11])
+    found = _text.span_hashes(data, start, end)  # on the driver, as for benchmark items and licence texts
+    job = cloudpickle.dumps(lambda: _text.span_hashes(data, start, end))
+    assert len(job) < 1 << 16  # Spark broadcasts jobs of over 1 MB, and those files stay on the disks
+    again = cloudpickle.loads(job)()
+    assert (again == found).all() and found[0] == found[2] != found[1]
