@@ -38,7 +38,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of plans that nothing refers to any more; they would stay
-    on the executors' disks until the driver happens to collect its garbage."""
+    on the executors' disks until the driver happens to collect its garbage. Spark's scheduler keeps
+    hold of the last job, shuffles included, until it gets another one: here a job of one row."""
+    spark.range(0, 1, 1, 1).write.format("noop").mode("overwrite").save()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

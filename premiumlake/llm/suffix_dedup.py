@@ -2,15 +2,18 @@
 that covers it also starts in a document with a smaller id.
 
 1. Equal texts become one text with the smallest id of its documents.
-2. Every window of ``length`` bytes has a seed, the least hash of its ``gram``-byte strings: equal
-   windows have equal seeds, and about one byte in twenty starts one. Seeds that only one text has
-   are dropped; no window of theirs can recur.
+2. Every window of ``length`` bytes has a seed: its least ``gram``-byte string by hash, with the
+   bytes around it that all windows hold which have it in the same half of their places. Equal
+   windows have equal seeds, and about one byte in fourteen starts one. Seeds that only one text has
+   are dropped; no window of theirs can recur. A seed is twice as long as a gram, so few texts share
+   one by chance, however many there are.
 3. The stretches of text that a remaining seed owns (the windows with this seed, a hundred bytes at
    most) meet in the shard of the seed, in blocks of about ``block`` stretches, dealt by text and
    place. Blocks go through suffix array jobs of a bounded size: induced sorting and permuted common
    prefixes group the windows that agree on ``length`` bytes, and the smallest document of each
    group decides. Stretches that differ from all others close to their seed, on both sides, have no
-   such window and are left out of the sort.
+   such window and are left out of the sort. Stretches go straight to their shards and are not
+   written in between.
 4. Where a seed has several blocks, each block's job gives the smallest document of each of its
    windows once; these meet by window, and the smallest of all blocks marks the others.
 5. The marked windows go back to their text, are merged into spans, and removed.
@@ -36,6 +39,7 @@ from premiumlake.llm._store import folder, release_shuffles, stored
 from premiumlake.llm._suffix import common_prefixes, suffix_array
 
 LAST = (1 << 63) - 1
+PLACE = np.uint64((1 << 32) - 1)
 
 
 @dataclass(frozen=True)
@@ -51,6 +55,14 @@ class Repeats:
         """Grams of a window: also the most windows of one stretch."""
         return self.length - self.gram + 1
 
+    @property
+    def half(self) -> int:
+        return -(-self.reach // 2)
+
+    @property
+    def halves(self) -> list[tuple[int, int]]:
+        return [(0, self.half), (self.half, self.reach)]
+
 
 def gram_hashes(data: np.ndarray, rule: Repeats) -> np.ndarray:
     """A hash of the ``gram`` bytes from every position on."""
@@ -64,12 +76,24 @@ def gram_hashes(data: np.ndarray, rule: Repeats) -> np.ndarray:
     return hashed
 
 
+def common_hashes(grams: np.ndarray, at: np.ndarray, low: int, high: int, rule: Repeats) -> np.ndarray:
+    """Of places of grams: a hash of the bytes that all windows have which hold the gram from their
+    byte ``low`` or a later one on, before ``high``. ``grams``: the hashes of all grams."""
+    size = rule.length - (high - 1 - low)
+    found = np.full(len(at), low, np.uint64)
+    for k in range(0, size, rule.gram):
+        found = _text.mix(found + grams[at - low + min(k, size - rule.gram)])
+    return found
+
+
 def window_seeds(data: np.ndarray, offsets: np.ndarray, rule: Repeats) -> tuple[np.ndarray, np.ndarray]:
     """(seed, start) of every window within a row."""
     windows = len(data) - rule.length + 1
     if windows <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    least, width = gram_hashes(data, rule), 1
+    # half a hash, then the place: of a window's grams with the least hash the first one counts
+    grams = gram_hashes(data, rule)
+    least, width = (grams & ~PLACE) | np.arange(len(grams), dtype=np.uint64), 1
     while 2 * width <= rule.reach:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
@@ -77,7 +101,15 @@ def window_seeds(data: np.ndarray, offsets: np.ndarray, rule: Repeats) -> tuple[
         least = np.minimum(least[: -(rule.reach - width)], least[rule.reach - width :])
     row_end = np.repeat(offsets[1:], np.diff(offsets))[:windows]
     start = np.flatnonzero(np.arange(windows) + rule.length <= row_end)
-    return least[start], start
+    if not len(start):
+        return np.zeros(0, np.uint64), start
+    at = (least[start] & PLACE).astype(np.int64)
+    later = at - start >= rule.half
+    first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (later[1:] != later[:-1])])
+    seed = np.empty(len(first), np.uint64)
+    for side, bounds in zip((~later[first], later[first]), rule.halves):
+        seed[side] = common_hashes(grams, at[first[side]], *bounds, rule)
+    return np.repeat(seed, np.diff(np.r_[first, len(start)])), start
 
 
 def _stretches(seed: np.ndarray, start: np.ndarray, rule: Repeats) -> tuple[np.ndarray, np.ndarray]:
@@ -101,22 +133,24 @@ def sharing(data: np.ndarray, offsets: np.ndarray, seed: np.ndarray, rule: Repea
     """Whether a stretch may have a window in common with another one.
 
     A common window holds the seed's gram at the same place in both, up to ``length - gram`` bytes
-    from its start. These places fall into ``contexts`` ranges; windows whose gram lies in one of
-    them agree on the bytes around it that all windows of the range have. A stretch none of whose
+    from its start. These places fall into about ``contexts`` ranges; windows whose gram lies in one
+    of them agree on the bytes around it that all windows of the range have. A stretch none of whose
     contexts recurs shares no window: it need not be sorted.
     """
-    found = gram_hashes(data, rule)
-    row = np.repeat(np.arange(len(seed)), np.diff(offsets))[: len(found)]
-    at = np.flatnonzero(found == seed.view(np.uint64)[row])
-    row = row[at]
+    grams = gram_hashes(data, rule)
+    row_of = np.repeat(np.arange(len(seed)), np.diff(offsets))
     may = np.zeros(len(seed), bool)
-    slack = rule.length - rule.gram
-    step = -(-(slack + 1) // rule.contexts)
-    for left in range(0, slack + 1, step):
-        start, end = at - left, at + rule.gram + slack - min(left + step - 1, slack)
-        inside = (start >= offsets[row]) & (end <= offsets[row + 1])
-        _, same, times = np.unique(_text.span_hashes(data, start[inside], end[inside]), return_inverse=True, return_counts=True)
-        may[row[inside][times[same] > 1]] = True
+    step = -(-rule.reach // rule.contexts)
+    for low, high in rule.halves:
+        every = np.arange(low, len(data) - rule.length + high)
+        every = every[common_hashes(grams, every, low, high, rule) == seed.view(np.uint64)[row_of[every]]]
+        for left in range(low, high, step):
+            right = min(left + step, high)
+            row, start = row_of[every], every - left
+            inside = (start >= offsets[row]) & (start + rule.length - (right - 1 - left) <= offsets[row + 1])
+            at, row = every[inside], row[inside]
+            _, same, times = np.unique(common_hashes(grams, at, left, right, rule), return_inverse=True, return_counts=True)
+            may[row[times[same] > 1]] = True
     return may
 
 
@@ -310,8 +344,7 @@ def kept_texts(
     rows = _keyed(docs, id_col, text_col)
     texts = _distinct_texts(rows, rule)
     shared = stored(_shared_seeds(texts, rule), "shared")
-    candidates = stored(_candidates(texts, shared, rule), "candidates")
-    blocks = stored(_sorted_blocks(candidates, rule), "blocks")
+    blocks = stored(_sorted_blocks(_candidates(texts, shared, rule), rule), "blocks")
     spans = _marks(blocks).groupBy("key").agg(F.collect_list(F.struct("first", "after")).alias("marks"))
 
     def cut(batches):

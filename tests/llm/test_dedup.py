@@ -66,6 +66,37 @@ def _blocks(spark, rows, rule):
     return suffix_dedup._candidates(found, suffix_dedup._shared_seeds(found, rule), rule).select("seed", "block").distinct()
 
 
+def test_strings_shorter_than_a_window_gather_no_stretches(spark, monkeypatch):
+    rng = random.Random(5)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    rows = [" ".join(x for _ in range(20) for x in (draw(12), "of the same twenty two")) for _ in range(50)]
+    assert _blocks(spark, rows, suffix_dedup.Repeats()).count() == 0
+    written, store = [], suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, name: written.append(name) or store(df, name))
+    check_removed(spark, list(enumerate(rows + texts_of_one_period())), suffix_dedup.Repeats())
+    assert written == ["shared", "blocks"]  # the stretches themselves go straight to their shards
+
+
+def texts_of_one_period():
+    return ["na " * 900, "xy" * 1500, "=" * 2000, "=" * 2500, "twenty bytes a line\n" * 70, "twenty bytes a line\n" * 90]
+
+
+def test_seeds_follow_the_window_alone():
+    import numpy as np
+
+    rule = suffix_dedup.Repeats()
+    rng = random.Random(6)
+    text = "".join(rng.choice("ab ") for _ in range(3000)) + "".join(texts_of_one_period())
+    whole = np.frombuffer(text.encode(), np.uint8)
+    seed, start = suffix_dedup.window_seeds(whole, np.array([0, len(whole)]), rule)
+    assert np.array_equal(start, np.arange(len(whole) - 49))
+    rows = np.lib.stride_tricks.sliding_window_view(whole, 50)
+    alone, _ = suffix_dedup.window_seeds(np.ascontiguousarray(rows).ravel(), np.arange(len(rows) + 1) * 50, rule)
+    assert np.array_equal(seed, alone)
+    last = slice(3000, None)  # periodic text: long stretches
+    assert len(suffix_dedup._stretches(seed[last], start[last], rule)[0]) < len(start[last]) / 9
+
+
 def test_links_equal_brute_force(spark):
     rows = texts()
     docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, class_id int")
