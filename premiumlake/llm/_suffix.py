@@ -165,10 +165,7 @@ def _order_of_names(names: np.ndarray) -> np.ndarray:
 
 def _symbol_hashes(s: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """64-bit hashes of ranges of symbols; the last one, which runs into the end, is unlike others."""
-    power, inverse = _text._power(len(s) + 1)
-    total = np.zeros(len(s) + 1, np.uint64)
-    np.cumsum(_text.mix(s.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
-    code = _text.mix((total[stop] - total[start]) * inverse[start] + (stop - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    code = _text.symbol_hashes(s, start, stop)
     code[-1] ^= np.uint64(0x5851F42D4C957F2D)
     return code
 
